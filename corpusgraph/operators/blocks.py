@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusgraph.sources.scratch import materialize
+from corpusgraph.sources.scratch import materialize, materialize_measured
 
 BLOCK_BYTES = 128 << 20
 MIN_BLOCK_ROWS = 256
@@ -63,7 +63,7 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class VectorTable:
-    """Checkpointed unit vectors ``(id, vec)`` with their number and dimension."""
+    """Stored unit vectors ``(id, vec)`` with their number and dimension."""
 
     rows: DataFrame
     count: int
@@ -78,9 +78,11 @@ class VectorTable:
         return max(MIN_BLOCK_ROWS, BLOCK_BYTES // (8 * max(self.dim, 1)))
 
     def subset(self, rows: DataFrame) -> VectorTable:
-        """Some of the rows, checkpointed."""
-        kept = materialize(rows.select("id", "vec"))
-        return VectorTable(kept, kept.count(), self.dim)
+        """Some of the rows, written out and counted."""
+        kept, found = materialize_measured(
+            rows.select("id", "vec"), "vectors", n=F.count(F.lit(1))
+        )
+        return VectorTable(kept, found["n"], self.dim)
 
 
 def load_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
@@ -90,12 +92,13 @@ def load_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
         F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")
     ).where(F.exists("vec", lambda x: x != 0))
     schema = f"id {plain.schema['id'].dataType.simpleString()}, vec array<double>"
-    rows = materialize(plain.mapInArrow(_unit_rows, schema))
-    found = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.size("vec")).alias("low"),
-        F.max(F.size("vec")).alias("high"),
-    ).first()
+    rows, found = materialize_measured(
+        plain.mapInArrow(_unit_rows, schema),
+        "vectors",
+        n=F.count(F.lit(1)),
+        low=F.min(F.size("vec")),
+        high=F.max(F.size("vec")),
+    )
     if found["low"] != found["high"]:
         raise ValueError(f"vectors of {found['low']} to {found['high']} elements")
     return VectorTable(rows, found["n"], found["high"] or 0)
@@ -175,13 +178,16 @@ def _cell_rows(pivots: np.ndarray, threshold: float, role: str):
     return assign
 
 
-def _placed(vectors: VectorTable, pivots: np.ndarray, threshold: float, role: str):
+def _in_one_cell(vectors: VectorTable, at_home: bool) -> DataFrame:
+    return vectors.rows.select(
+        "id", "vec", F.lit(0).alias("cell"), F.lit(at_home).alias("at_home")
+    )
+
+
+def _in_cells(
+    vectors: VectorTable, pivots: np.ndarray, threshold: float, role: str
+) -> DataFrame:
     """One row per vector and cell: ``(id, vec, cell, at_home)``."""
-    if len(pivots) <= 1:
-        at_home = F.lit(role != "query")
-        return vectors.rows.select(
-            "id", "vec", F.lit(0).alias("cell"), at_home.alias("at_home")
-        )
     assigned = vectors.rows.mapInArrow(
         _cell_rows(pivots, threshold, role),
         f"id {vectors.id_type}, vec array<double>, home int, visits array<int>",
@@ -222,12 +228,18 @@ def _block_count(rows: int, block_rows: int, wanted: int) -> int:
     return max(for_memory, for_cores)
 
 
+def _cell_sizes(placed: DataFrame) -> dict[tuple[int, bool], int]:
+    """Rows at home and visiting per cell: at most two numbers per pivot."""
+    counted = placed.groupBy("cell", "at_home").count().collect()
+    return {(r["cell"], r["at_home"]): r["count"] for r in counted}
+
+
 def _lay_out(
     placed: DataFrame,
-    vectors: VectorTable,
+    id_type: str,
+    sizes: dict[tuple[int, bool], int],
     within: bool,
     block_rows: int,
-    cells: int,
 ) -> Tiles:
     """Cut the cells into blocks and copy each row to the tiles of its block.
 
@@ -236,11 +248,7 @@ def _lay_out(
     """
     spark = placed.sparkSession
     cores = spark.sparkContext.defaultParallelism
-    if cells > 1:
-        # The layout reads the placed rows twice: to count cells, and to fill tiles.
-        placed = materialize(placed)
-    counted = placed.groupBy("cell", "at_home").count().collect()
-    sizes = {(r["cell"], r["at_home"]): r["count"] for r in counted}
+    cells = max(1, len({cell for cell, _ in sizes}))
     wanted = math.ceil(math.sqrt(4 * cores / cells)) if within else 2 * cores
     layout = []
     tiles = 0
@@ -276,7 +284,7 @@ def _lay_out(
         "vec",
     )
     partitions = max(1, min(tiles, 16 * cores))
-    return Tiles(rows, tiles, partitions, vectors.id_type)
+    return Tiles(rows, tiles, partitions, id_type)
 
 
 def _pivot_number(rows: int, block_rows: int) -> int:
@@ -294,9 +302,15 @@ def self_tiles(
     """Tiles in which every pair of rows above the threshold meets exactly once."""
     block_rows = block_rows or vectors.block_rows
     number = pivots or _pivot_number(vectors.count, block_rows)
-    points = choose_pivots(vectors, number) if number > 1 else np.empty((0, vectors.dim))
-    placed = _placed(vectors, points, threshold, "self")
-    return _lay_out(placed, vectors, True, block_rows, max(1, len(points)))
+    if number == 1:
+        placed = _in_one_cell(vectors, True)
+        sizes = {(0, True): vectors.count}
+    else:
+        points = choose_pivots(vectors, number)
+        # The layout reads the placed rows twice: to count cells, and to fill tiles.
+        placed = materialize(_in_cells(vectors, points, threshold, "self"), "cells")
+        sizes = _cell_sizes(placed)
+    return _lay_out(placed, vectors.id_type, sizes, True, block_rows)
 
 
 def cross_tiles(
@@ -312,11 +326,16 @@ def cross_tiles(
     """
     block_rows = block_rows or queries.block_rows
     number = pivots or _pivot_number(base.count, block_rows)
-    points = choose_pivots(base, number) if number > 1 else np.empty((0, base.dim))
-    placed = _placed(base, points, threshold, "base").unionByName(
-        _placed(queries, points, threshold, "query")
-    )
-    return _lay_out(placed, queries, False, block_rows, max(1, len(points)))
+    if number == 1:
+        placed = _in_one_cell(base, True).unionByName(_in_one_cell(queries, False))
+        sizes = {(0, True): base.count, (0, False): queries.count}
+    else:
+        points = choose_pivots(base, number)
+        homes = _in_cells(base, points, threshold, "base")
+        guests = _in_cells(queries, points, threshold, "query")
+        placed = materialize(homes.unionByName(guests), "cells")
+        sizes = _cell_sizes(placed)
+    return _lay_out(placed, queries.id_type, sizes, False, block_rows)
 
 
 # Inside a tile

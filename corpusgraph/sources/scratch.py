@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
 
@@ -33,10 +34,24 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/scratch/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint."""
+def materialize(
+    df: DataFrame, label: str = "step", partition_by: Sequence[str] = ()
+) -> DataFrame:
+    """Cut the lineage: write the frame to the shared folder and read it back.
+
+    Unlike an RDD checkpoint, the copy is columnar, so later steps read only the
+    columns they need and count rows from file footers.
+    """
     spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(f"{scratch_root(spark)}/checkpoints")
-    return df.checkpoint(eager=True)
+    path = scratch_dir(spark, label)
+    df.write.partitionBy(*partition_by).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def materialize_measured(
+    df: DataFrame, label: str, **metrics: Column
+) -> tuple[DataFrame, dict]:
+    """``materialize``, with aggregates over the rows taken during the write."""
+    seen = Observation()
+    named = [value.alias(name) for name, value in metrics.items()]
+    return materialize(df.observe(seen, *named), label), seen.get

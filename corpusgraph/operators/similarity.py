@@ -76,7 +76,7 @@ def similar_pairs(
     return result.select(*names, "low_copies", "high_copies")
 
 
-def _keep_best(partial: DataFrame, k: int) -> DataFrame:
+def keep_best(partial: DataFrame, k: int) -> DataFrame:
     """The k best over all tiles; a row has at most k candidates per tile."""
     ranked = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbour"))
     return (
@@ -114,7 +114,7 @@ def _reduce_best(tiles: Tiles, threshold: float, k: int, direction: str) -> Data
         return _neighbour_table(found, a, b, s, k, names)
 
     schema = f"id {id_type}, neighbour {id_type}, similarity double"
-    return _keep_best(tiles.reduce(best, schema), k)
+    return keep_best(tiles.reduce(best, schema), k)
 
 
 def nearest(

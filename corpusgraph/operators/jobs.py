@@ -9,12 +9,13 @@ done; what failed is not stored and is picked up by the next run.
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpusgraph.functions import text
 from corpusgraph.functions.vectors import has_dimension
@@ -37,21 +38,21 @@ Fetcher = Callable[[str], Answer]
 
 # The fields kept of a generation's metadata.
 GENERATION_FIELDS = (
-    ("provider_name", "string"),
-    ("model", "string"),
-    ("total_cost", "double"),
-    ("cache_discount", "double"),
-    ("upstream_inference_cost", "double"),
-    ("tokens_prompt", "int"),
-    ("tokens_completion", "int"),
-    ("native_tokens_prompt", "int"),
-    ("native_tokens_completion", "int"),
-    ("native_tokens_cached", "int"),
-    ("latency", "double"),
-    ("generation_time", "double"),
-    ("created_at", "timestamp"),
-    ("finish_reason", "string"),
-    ("streamed", "boolean"),
+    T.StructField("provider_name", T.StringType()),
+    T.StructField("model", T.StringType()),
+    T.StructField("total_cost", T.DoubleType()),
+    T.StructField("cache_discount", T.DoubleType()),
+    T.StructField("upstream_inference_cost", T.DoubleType()),
+    T.StructField("tokens_prompt", T.IntegerType()),
+    T.StructField("tokens_completion", T.IntegerType()),
+    T.StructField("native_tokens_prompt", T.IntegerType()),
+    T.StructField("native_tokens_completion", T.IntegerType()),
+    T.StructField("native_tokens_cached", T.IntegerType()),
+    T.StructField("latency", T.DoubleType()),
+    T.StructField("generation_time", T.DoubleType()),
+    T.StructField("created_at", T.TimestampType()),
+    T.StructField("finish_reason", T.StringType()),
+    T.StructField("streamed", T.BooleanType()),
 )
 
 
@@ -118,7 +119,7 @@ def extract_pairs(df: DataFrame, extractor: Extractor) -> DataFrame:
             extra = pd.DataFrame(found, columns=columns, index=batch.index)
             yield pd.concat([batch[given], extra], axis=1)
 
-    asked = inputs.mapInPandas(ask, f"{_ddl(df)}, {answers}, {timing}")
+    asked = inputs.mapInPandas(ask, f"{_ddl(df.schema)}, {answers}, {timing}")
     checked = validate_extractions(asked).withColumn(
         "reason", F.coalesce("_error", "reason")
     )
@@ -128,8 +129,8 @@ def extract_pairs(df: DataFrame, extractor: Extractor) -> DataFrame:
     ).select(*names, "processing_time_ms", "reason")
 
 
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
+def _ddl(fields: Iterable[T.StructField]) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
 
 
 def _answer(extractor: Extractor, title: str, abstract: str) -> tuple:
@@ -270,8 +271,8 @@ def fetch_generations(
     of None and a failing call leave ``found`` false.
     """
     given = ids.columns
-    names = [name for name, _ in GENERATION_FIELDS]
-    kinds = ", ".join(f"{name} {kind}" for name, kind in GENERATION_FIELDS)
+    names = [f.name for f in GENERATION_FIELDS]
+    kinds = _ddl(GENERATION_FIELDS)
 
     def look_up(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -282,7 +283,7 @@ def fetch_generations(
             extra["found"] = [a is not None for a in answers]
             yield pd.concat([batch[given], extra], axis=1)
 
-    return ids.mapInPandas(look_up, f"{_ddl(ids)}, {kinds}, found boolean")
+    return ids.mapInPandas(look_up, f"{_ddl(ids.schema)}, {kinds}, found boolean")
 
 
 def _metadata(fetcher: Fetcher, generation_id: str) -> Answer:

@@ -40,16 +40,16 @@ EXTRACTIONS = T.StructType(
 )
 
 
-def _metadata_schema(*leading: tuple[str, str]) -> T.StructType:
-    fields = [*leading, *jobs.GENERATION_FIELDS, ("fetched_at", "timestamp")]
-    rest = T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in fields))
+def _metadata_schema(*leading: T.StructField) -> T.StructType:
     key = T.StructField("generation_id", T.StringType(), False)
-    return T.StructType([key, *rest.fields])
+    fetched = T.StructField("fetched_at", T.TimestampType())
+    return T.StructType([key, *leading, *jobs.GENERATION_FIELDS, fetched])
 
 
-EXTRACTION_GENERATIONS = _metadata_schema((KEY, "string"))
+EXTRACTION_GENERATIONS = _metadata_schema(T.StructField(KEY, T.StringType()))
 EMBEDDING_GENERATIONS = _metadata_schema(
-    ("patents_in_batch", "int"), ("embeddings_in_batch", "int")
+    T.StructField("patents_in_batch", T.IntegerType()),
+    T.StructField("embeddings_in_batch", T.IntegerType()),
 )
 
 

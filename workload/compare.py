@@ -35,6 +35,19 @@ def local_session():
     )
 
 
+_KINDS = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def other_types(frame, description) -> list[str]:
+    """Columns whose types differ, such as a sum that became a wider integer."""
+    theirs = {d[0]: str(d[1]) for d in description}
+    return [
+        f"{name}: {kind} and {theirs[name]}"
+        for name, kind in frame.dtypes
+        if kind in _KINDS and theirs[name] != _KINDS[kind]
+    ]
+
+
 def difference(spark, connection, sf: str, name: str) -> str | None:
     """What differs between the two results, None when nothing does."""
     check = CHECKS[name]
@@ -47,6 +60,8 @@ def difference(spark, connection, sf: str, name: str) -> str | None:
     expected = rows_of(columns, result.fetchall())
     if sorted(frame.columns) != sorted(columns):
         return f"columns {sorted(frame.columns)} and {sorted(columns)}"
+    if other := other_types(frame, result.description):
+        return f"types: {other}"
     if got != expected:
         extra = [r for r in got if r not in set(expected)][:2]
         missing = [r for r in expected if r not in set(got)][:2]

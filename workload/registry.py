@@ -1,5 +1,5 @@
 """All checked queries."""
 
-from workload import tables, texts
+from workload import runs, similarity, tables, texts
 
-CHECKS = {**texts.CHECKS, **tables.CHECKS}
+CHECKS = {**texts.CHECKS, **tables.CHECKS, **runs.CHECKS, **similarity.CHECKS}

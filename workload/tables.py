@@ -267,7 +267,7 @@ SHARED_SQL = {
             round(sum(l_quantity), 2) quantity
         from lineitem group by rollup (l_returnflag, l_linestatus)""",
     "sql_window": """
-        select o_custkey, o_orderkey, place, round(running, 2) running
+        select o_custkey, o_orderkey, cast(place as int) place, round(running, 2) running
         from (select o_custkey, o_orderkey,
             rank() over (partition by o_custkey order by o_totalprice desc, o_orderkey)
                 place,

@@ -161,8 +161,8 @@ _SCORE = " + ".join(
     ]
 )
 _ANALYTICS = rf"""analysed as materialized (select *,
-    coalesce(len(regexp_extract_all(title, '\S+')), 0) word_count,
-    coalesce(length(title), 0) char_count,
+    coalesce(len(regexp_extract_all(title, '\S+')), 0)::int word_count,
+    coalesce(length(title), 0)::int char_count,
     coalesce(list_filter({_TAGS}, lambda k: contains(lower(title), k)), []) tags,
     coalesce(least({_SCORE}, 1.0::double), 0.0::double) clickbait_score
     from stories)"""
@@ -195,7 +195,7 @@ CHECKS = {
     "story_analytics": Check(
         story_analytics,
         with_views(
-            """select id, author, title, word_count, char_count, len(tags) tech_tag_count,
+            """select id, author, title, word_count, char_count, len(tags)::int tech_tag_count,
             clickbait_score, array_to_string(tags, ', ') tech_tags_str from analysed""",
             "stories",
             ctes=_ANALYTICS,

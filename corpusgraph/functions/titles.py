@@ -74,15 +74,20 @@ SHOUT_WEIGHT = 0.1
 MAX_SHOUTS = 3
 
 
-def keyword_tags(title: Column) -> Column:
-    """Keywords contained in the title, in list order; empty for NULL.
+def _hits(title: Column) -> list[Column]:
+    """Each keyword where the title contains it, else NULL.
 
-    One ``contains`` per keyword keeps the whole expression in generated code,
-    where ``lower(title)`` is computed once.
+    One ``contains`` per keyword stays in generated code, which computes
+    ``lower(title)`` once; a lambda over the keywords would be interpreted.
     """
     low = F.lower(title)
-    hits = [F.when(F.contains(low, F.lit(k)), F.lit(k)) for k in TECH_KEYWORDS]
-    return F.array_compact(F.array(*hits))
+    return [F.when(F.contains(low, F.lit(k)), F.lit(k)) for k in TECH_KEYWORDS]
+
+
+def keyword_tags(title: Column) -> Column:
+    """Keywords contained in the title, in list order; empty for NULL."""
+    nothing = F.array(F.lit(None).cast("string"))
+    return F.array_except(F.array(*_hits(title)), nothing)
 
 
 def clickbait_score(title: Column) -> Column:
@@ -95,10 +100,11 @@ def clickbait_score(title: Column) -> Column:
     def part(condition: Column, weight: float) -> Column:
         return F.when(condition, F.lit(weight)).otherwise(F.lit(0.0))
 
-    shouts = F.regexp_count(title, F.lit(r"(?U)\b[A-Z]{4,}\b"))
+    # The lookahead only spares most positions the costlier Unicode boundary.
+    shouts = F.regexp_count(title, F.lit(r"(?U)(?=[A-Z]{4})\b[A-Z]{4,}\b"))
     parts = [
         part(F.contains(title, F.lit("?")), QUESTION_WEIGHT),
-        part(title.rlike(r"(?U)\d"), DIGIT_WEIGHT),
+        part(title.rlike(r"\p{Nd}"), DIGIT_WEIGHT),
         *[part(F.contains(low, F.lit(p)), PHRASE_WEIGHT) for p in CLICKBAIT_PHRASES],
         F.lit(SHOUT_WEIGHT) * F.least(shouts, F.lit(MAX_SHOUTS)),
     ]

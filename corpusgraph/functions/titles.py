@@ -109,4 +109,5 @@ def clickbait_score(title: Column) -> Column:
         F.lit(SHOUT_WEIGHT) * F.least(shouts, F.lit(MAX_SHOUTS)),
     ]
     total = reduce(lambda left, right: left + right, parts)
-    return F.coalesce(F.least(total, F.lit(1.0)), F.lit(0.0))
+    # ``least`` skips NULLs, so a missing title has to be asked for.
+    return F.when(title.isNull(), F.lit(0.0)).otherwise(F.least(total, F.lit(1.0)))

@@ -26,10 +26,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources.scratch import materialize, materialize_measured
 
-BLOCK_BYTES = 128 << 20
+BLOCK_BYTES = 256 << 20
 MIN_BLOCK_ROWS = 256
+MAX_BLOCK_ROWS = 8192
 MAX_PIVOTS = 1024
 PIVOT_BYTES = 64 << 20
 STRIP_CELLS = 4 << 20
@@ -75,7 +77,8 @@ class VectorTable:
 
     @property
     def block_rows(self) -> int:
-        return max(MIN_BLOCK_ROWS, BLOCK_BYTES // (8 * max(self.dim, 1)))
+        fitting = BLOCK_BYTES // (8 * max(self.dim, 1))
+        return max(MIN_BLOCK_ROWS, min(MAX_BLOCK_ROWS, fitting))
 
     def subset(self, rows: DataFrame) -> VectorTable:
         """Some of the rows, written out and counted."""
@@ -114,9 +117,8 @@ def choose_pivots(vectors: VectorTable, wanted: int) -> np.ndarray:
     """
     room = PIVOT_BYTES // (8 * max(vectors.dim, 1))
     wanted = max(1, min(wanted, MAX_PIVOTS, room // 4))
-    sample = vectors.rows.orderBy(F.xxhash64("id", F.lit("pivot")), "id").limit(
-        4 * wanted
-    )
+    code = F.xxhash64("id", F.lit("pivot"))
+    sample = top_n(vectors.rows, "id", 4 * wanted, code).orderBy("id")
     candidates = np.array([row["vec"] for row in sample.select("vec").collect()])
     chosen: list[np.ndarray] = []
     for vector in candidates:
@@ -340,15 +342,16 @@ def cross_tiles(
 
 # Inside a tile
 
+_ARROW_IDS = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
 
-@dataclass(frozen=True)
-class TileMatches:
-    """Pairs of one tile as positions in ``ids``, which ascends."""
 
-    ids: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    similarity: np.ndarray
+def result_table(id_type: str, ids: dict, similarity: np.ndarray | None = None) -> pa.Table:
+    """Id columns, typed even when they are empty, and a similarity column."""
+    kind = _ARROW_IDS[id_type]
+    columns = {name: pa.array(values, kind) for name, values in ids.items()}
+    if similarity is not None:
+        columns["similarity"] = pa.array(similarity, pa.float64())
+    return pa.table(columns)
 
 
 def split_tile(tile: pa.Table):
@@ -363,41 +366,64 @@ def split_tile(tile: pa.Table):
 
 
 def strips(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Similarities of the left rows with all right rows, some rows at a time."""
-    height = max(1, STRIP_CELLS // max(1, len(right)))
+    """Similarities of the left rows with all right rows, some rows at a time.
+
+    They are rounded, so that exact ties do not depend on the order in which a matrix
+    product adds its terms.
+    """
+    if not len(left) or not len(right):
+        return
+    height = max(1, STRIP_CELLS // len(right))
     for start in range(0, len(left), height):
         sims = left[start : start + height] @ right.T
         yield start, np.round(sims, SIMILARITY_DIGITS)
 
 
-def tile_matches(tile: pa.Table, threshold: float) -> TileMatches | None:
-    """All pairs of different ids above the threshold, each unordered pair once.
-
-    Similarities are rounded, so that exact ties do not depend on the order in
-    which a matrix product adds its terms.
-    """
-    left_ids, left, right_ids, right, diagonal = split_tile(tile)
-    if not len(left) or not len(right):
-        return None
-    ids, ranks = np.unique(np.concatenate([left_ids, right_ids]), return_inverse=True)
-    left_rank, right_rank = ranks[: len(left_ids)], ranks[len(left_ids) :]
-    found = []
-    for start, sims in strips(left, right):
-        row, col = np.nonzero(sims >= threshold)
-        a, b = left_rank[row + start], right_rank[col]
-        keep = a < b if diagonal else a != b
-        found.append((a[keep], b[keep], sims[row[keep], col[keep]]))
-    a, b, s = (np.concatenate(parts) for parts in zip(*found))
-    return TileMatches(ids, a, b, s)
-
-
-def best_per_owner(
-    owner: np.ndarray, other: np.ndarray, similarity: np.ndarray, k: int
-) -> np.ndarray:
-    """Positions of each owner's k most similar others; lower others win ties."""
-    order = np.lexsort((other, -similarity, owner))
-    sorted_owner = owner[order]
-    starts = np.flatnonzero(np.r_[True, sorted_owner[1:] != sorted_owner[:-1]])
-    lengths = np.diff(np.r_[starts, len(order)])
-    place = np.arange(len(order)) - np.repeat(starts, lengths)
-    return order[place < k]
+class TilePairs:
+    """The pairs of a tile. Rows are positions in ``ids``, which ascends."""
+
+    def __init__(self, tile: pa.Table) -> None:
+        left_ids, self._left, right_ids, self._right, self._diagonal = split_tile(tile)
+        both = np.concatenate([left_ids, right_ids])
+        self.ids, rank = np.unique(both, return_inverse=True)
+        self._left_rank, self._right_rank = np.split(rank, [len(left_ids)])
+
+    def above(self, threshold: float) -> Iterator[tuple[np.ndarray, ...]]:
+        """``(left, right, similarity)`` of pairs of different ids at or above the
+        threshold, each unordered pair once, a strip of the tile at a time."""
+        for start, sims in strips(self._left, self._right):
+            row, col = np.nonzero(sims >= threshold)
+            a, b = self._left_rank[row + start], self._right_rank[col]
+            keep = a < b if self._diagonal else a != b
+            yield a[keep], b[keep], sims[row[keep], col[keep]]
+
+
+class Best:
+    """The k most similar others of each owner, while pairs arrive in any order."""
+
+    def __init__(self, k: int) -> None:
+        self._k = k
+        self._parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
+        self._size = 0
+        self._limit = STRIP_CELLS
+
+    def add(self, owner: np.ndarray, other: np.ndarray, similarity: np.ndarray) -> None:
+        self._parts.append((owner, other, similarity))
+        self._size += len(owner)
+        if self._size > self._limit:
+            kept = self.result()
+            self._parts, self._size = [kept], len(kept[0])
+            self._limit = max(STRIP_CELLS, 2 * self._size)
+
+    def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Owners, others and similarities; lower others win ties."""
+        owner, other, similarity = (np.concatenate(x) for x in zip(*self._parts))
+        if not len(owner):
+            return owner, other, similarity
+        order = np.lexsort((other, -similarity, owner))
+        ranked = owner[order]
+        starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
+        lengths = np.diff(np.r_[starts, len(order)])
+        place = np.arange(len(order)) - np.repeat(starts, lengths)
+        kept = order[place < self._k]
+        return owner[kept], other[kept], similarity[kept]

@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.operators.sampling import top_n
+
 
 def matching(df: DataFrame, constants: Mapping[str, object]) -> DataFrame:
     """Rows whose columns equal the constants; pushed down to the scan."""
@@ -32,7 +34,7 @@ def pending(
     """
     finished = matching(done, constants or {}).select(F.col(done_key or key).alias(key))
     rest = source.join(finished.distinct(), key, "left_anti").select(*source.columns)
-    return rest.orderBy(key).limit(limit) if limit else rest
+    return top_n(rest, key, limit) if limit else rest
 
 
 def pending_groups(

@@ -1,19 +1,39 @@
-"""Samples and row numbers that do not depend on partitioning."""
+"""Top rows, samples and row numbers that do not depend on partitioning."""
 
 from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgraph.sources.scratch import materialize
 
 
+def top_n(
+    df: DataFrame, key: str, n: int, by: Column | None = None, descending: bool = False
+) -> DataFrame:
+    """The first ``n`` rows by ``by`` and then key, for an ``n`` too large to send n
+    whole rows from every task to one. Keys must be unique; NULLs come last.
+
+    Only key and order are ranked: first within buckets of a hash of the key, then
+    among the best of all buckets. The rows themselves are picked by a join with the
+    ``n`` keys, so they are neither sorted nor moved.
+    """
+    buckets = 4 * df.sparkSession.sparkContext.defaultParallelism
+    first = F.desc_nulls_last("_by") if descending else F.asc_nulls_last("_by")
+    narrow = df.select(key, (F.lit(0) if by is None else by).alias("_by"))
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
+    ranked = Window.partitionBy(bucket).orderBy(first, key)
+    heads = narrow.withColumn("_place", F.row_number().over(ranked))
+    best = heads.where(F.col("_place") <= n).orderBy(first, key).limit(n)
+    return df.join(F.broadcast(best.select(key)), key, "left_semi")
+
+
 def seeded_sample(df: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:
     """``n`` rows in the order of a seeded hash of the key, all when there are fewer."""
     code = F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
-    return df.orderBy(code, key).limit(n)
+    return top_n(df, key, n, code)
 
 
 def with_position(df: DataFrame, *order: str, name: str = "position") -> DataFrame:

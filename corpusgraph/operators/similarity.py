@@ -2,32 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgraph.operators import blocks
-from corpusgraph.operators.blocks import Tiles, VectorTable, load_vectors
+from corpusgraph.operators.blocks import Best, TilePairs, Tiles, VectorTable, load_vectors
 from corpusgraph.sources.scratch import materialize
 
 
-def _neighbour_table(matches, owner, other, similarity, k, names):
-    kept = blocks.best_per_owner(owner, other, similarity, k)
-    columns = [matches.ids[owner[kept]], matches.ids[other[kept]], similarity[kept]]
-    return pa.table([pa.array(c) for c in columns], names=names)
-
-
-def _empty(id_type: str, names: list[str]) -> pa.Table:
-    ids = pa.string() if id_type == "string" else pa.from_numpy_dtype(_NUMPY[id_type])
-    return pa.table(
-        [pa.array([], ids), pa.array([], ids), pa.array([], pa.float64())], names=names
-    )
-
-
-_NUMPY = {"bigint": np.int64, "int": np.int32}
-
-
 def copy_groups(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """Rows with bit-equal vectors as one row: lowest id, vector, number of copies.
 
@@ -58,22 +44,22 @@ def similar_pairs(
     vectors = load_vectors(groups, "id", "vec")
     tiles = blocks.self_tiles(vectors, threshold, block_rows, pivots)
     id_type = tiles.id_type
-    names = ["low", "high", "similarity"]
 
-    def pairs(tile: pa.Table) -> pa.Table:
-        found = blocks.tile_matches(tile, threshold)
-        if found is None:
-            return _empty(id_type, names)
-        low = found.ids[np.minimum(found.left, found.right)]
-        high = found.ids[np.maximum(found.left, found.right)]
-        return pa.table([pa.array(c) for c in (low, high, found.similarity)], names=names)
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        meeting = TilePairs(pa.Table.from_batches(batches))
+        for a, b, similarity in meeting.above(threshold):
+            ids = {
+                "low": meeting.ids[np.minimum(a, b)],
+                "high": meeting.ids[np.maximum(a, b)],
+            }
+            yield from blocks.result_table(id_type, ids, similarity).to_batches()
 
     schema = f"low {id_type}, high {id_type}, similarity double"
     result = tiles.reduce(pairs, schema)
     for side in ("low", "high"):
         count = F.col("copies").alias(f"{side}_copies")
         result = result.join(groups.select(F.col("id").alias(side), count), side)
-    return result.select(*names, "low_copies", "high_copies")
+    return result.select("low", "high", "similarity", "low_copies", "high_copies")
 
 
 def keep_best(partial: DataFrame, k: int) -> DataFrame:
@@ -90,28 +76,25 @@ def _reduce_best(tiles: Tiles, threshold: float, k: int, direction: str) -> Data
     """Per-tile k best, then the k best of those.
 
     ``direction`` says whose neighbours are wanted: 'both' rows of a pair, only the
-    'higher' id's, or of a 'query' in the second block with a lower base id.
+    'higher' id's, or those of a 'query' in the second block, of which 'lower' keeps
+    base rows with lower ids.
     """
     id_type = tiles.id_type
-    names = ["id", "neighbour", "similarity"]
 
     def best(tile: pa.Table) -> pa.Table:
-        found = blocks.tile_matches(tile, threshold)
-        if found is None:
-            return _empty(id_type, names)
-        a, b, s = found.left, found.right, found.similarity
-        if direction == "both":
-            a, b, s = np.r_[a, b], np.r_[b, a], np.r_[s, s]
-        elif direction == "higher":
-            a, b = np.maximum(a, b), np.minimum(a, b)
-        elif direction == "query":
-            a, b = b, a
-        else:
-            lower = a < b
-            a, b, s = b[lower], a[lower], s[lower]
-        if not len(a):
-            return _empty(id_type, names)
-        return _neighbour_table(found, a, b, s, k, names)
+        meeting = TilePairs(tile)
+        kept = Best(k)
+        for a, b, s in meeting.above(threshold):
+            if direction == "both":
+                kept.add(np.r_[a, b], np.r_[b, a], np.r_[s, s])
+            elif direction == "higher":
+                kept.add(np.maximum(a, b), np.minimum(a, b), s)
+            else:
+                wanted = a < b if direction == "lower" else slice(None)
+                kept.add(b[wanted], a[wanted], s[wanted])
+        owner, other, s = kept.result()
+        ids = {"id": meeting.ids[owner], "neighbour": meeting.ids[other]}
+        return blocks.result_table(id_type, ids, s)
 
     schema = f"id {id_type}, neighbour {id_type}, similarity double"
     return keep_best(tiles.reduce(best, schema), k)

@@ -15,6 +15,7 @@ from corpusgraph.operators.incremental import (
     pending,
     pending_groups,
 )
+from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources.lake import Lake
 from corpusgraph.sources.scratch import materialize
 
@@ -136,7 +137,7 @@ def run_embedding(
     columns = ["problem_embedding", "solution_embedding"]
     todo = lacking_any(lake.read(table), columns).select(KEY, "problem", "solution")
     if limit:
-        todo = todo.orderBy(KEY).limit(limit)
+        todo = top_n(todo, KEY, limit)
     asked = materialize(
         jobs.embed_pairs(_spread(todo, concurrency), embedder, KEY, batch, dim), "answers"
     )

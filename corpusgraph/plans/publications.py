@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from corpusgraph.functions import text
 from corpusgraph.operators import profile
 from corpusgraph.operators.incremental import pending
+from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources.lake import Lake, WriteStats
 
 # Country and number of the newest publications, and the CSV columns.
@@ -53,12 +54,11 @@ def newest_publications(
 ) -> DataFrame:
     """The newest publications of a country, ties by number.
 
-    Only the sort keys and the nested columns in use are read, and each task passes
-    on at most ``n`` rows.
+    Dates and numbers are ranked alone; nested columns are read for the rows kept.
     """
     chosen = publications.where(F.col("country_code") == country)
-    newest = F.desc_nulls_last("publication_date")
-    return flatten(chosen).orderBy(newest, "publication_number").limit(n)
+    date = F.col("publication_date")
+    return flatten(top_n(chosen, "publication_number", n, date, descending=True))
 
 
 def append_csv(

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 EXPORT_FORMATS = ("parquet", "csv", "json", "ndjson")
 
+_EMPTY = "\x01"
 _CSV = {
     "header": "true",
     "quote": '"',
@@ -38,9 +39,15 @@ def folder_size(spark: SparkSession, path: str) -> int:
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV with a header and quoted line breaks, read in one pass by a known schema."""
-    reader = spark.read.schema(schema).options(**_CSV)
-    return reader.option("multiLine", "true").option("enforceSchema", "false").csv(path)
+    """CSV with a header and quoted line breaks, read in one pass by a known schema.
+
+    A bare empty field is NULL and a quoted one an empty text. The reader takes both
+    for NULL unless empty texts get a mark of their own.
+    """
+    reader = spark.read.schema(schema).options(**_CSV).option("emptyValue", _EMPTY)
+    raw = reader.option("multiLine", "true").option("enforceSchema", "false").csv(path)
+    texts = [f.name for f in schema if isinstance(f.dataType, T.StringType)]
+    return raw.replace(_EMPTY, "", subset=texts) if texts else raw
 
 
 def read_items(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

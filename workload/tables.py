@@ -233,13 +233,14 @@ def attach_namespaces(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_items(spark: SparkSession, sf: str) -> DataFrame:
-    """Landed lists (the parts of each order) and landed items (the parts)."""
-    line = F.struct("l_linenumber", "l_partkey")
-    parts = F.transform(F.array_sort(F.collect_list(line)), lambda x: x["l_partkey"])
-    lists = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(parts.alias("story_ids"))
-    priced = F.when(F.col("p_size") > 10, F.col("p_name"))
-    items = table(spark, sf, "part").select(
-        F.col("p_partkey").alias("id"), priced.alias("title"), F.col("p_brand").alias("by")
+    """Landed lists (each document's successors) and landed items (the documents, some
+    without a title); the last lists name items that do not exist."""
+    doc = F.col("doc_id")
+    documents = table(spark, sf, "documents")
+    lists = documents.select("doc_id", F.sequence(doc + 6, doc, F.lit(-1)).alias("story_ids"))
+    titled = F.when(F.col("lang") != "es", F.col("text"))
+    items = documents.select(
+        doc.alias("id"), titled.alias("title"), F.col("source").alias("by")
     )
     places = [scratch_dir(spark, label) for label in ("lists", "items")]
     lists.write.json(places[0])
@@ -386,11 +387,10 @@ CHECKS = {
     ),
     "enrich_items": Check(
         enrich_items,
-        """select l_orderkey, position, l_partkey id,
-            case when p_size > 10 then p_name end title, p_brand author
-        from (select l_orderkey, l_partkey, (row_number() over (partition by l_orderkey
-            order by l_linenumber, l_partkey) - 1)::int as position from lineitem)
-        left join part on p_partkey = l_partkey where position < 5""",
+        """select d.doc_id, place::int as position, d.doc_id + 6 - place id,
+            case when i.lang <> 'es' then i.text end title, i.source author
+        from documents d, (select unnest(range(5)) place)
+        left join documents i on i.doc_id = d.doc_id + 6 - place""",
     ),
     **{name: Check(_shared(name), sql) for name, sql in SHARED_SQL.items()},
 }

@@ -164,7 +164,8 @@ _ANALYTICS = rf"""analysed as materialized (select *,
     coalesce(len(regexp_extract_all(title, '\S+')), 0)::int word_count,
     coalesce(length(title), 0)::int char_count,
     coalesce(list_filter({_TAGS}, lambda k: contains(lower(title), k)), []) tags,
-    coalesce(least({_SCORE}, 1.0::double), 0.0::double) clickbait_score
+    case when title is null then 0.0::double else least({_SCORE}, 1.0::double) end
+        clickbait_score
     from stories)"""
 
 

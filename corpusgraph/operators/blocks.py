@@ -261,7 +261,13 @@ def _lay_out(
         vb = _block_count(guests, block_rows, wanted)
         tiles += (hb * (hb + 1) // 2 if within else 0) + hb * vb
         layout.append((cell, hb, vb))
-    sheet = spark.createDataFrame(layout, "cell int, hb int, vb int")
+    if len(layout) == 1:
+        _, hb, vb = layout[0]
+        sized = placed.withColumns({"hb": F.lit(hb), "vb": F.lit(vb)})
+    else:
+        # One row per cell, at most MAX_PIVOTS.
+        sheet = spark.createDataFrame(layout, "cell int, hb int, vb int")
+        sized = placed.join(F.broadcast(sheet), "cell")
 
     code = F.xxhash64("id")
     block = F.when(F.col("at_home"), F.pmod(code, F.col("hb"))).otherwise(
@@ -273,9 +279,7 @@ def _lay_out(
         F.sequence(F.lit(0), F.col("hb") - 1)
     )
     met = (F.col("hb") > 0) & (~F.col("at_home") | F.lit(within) | (F.col("vb") > 0))
-    # The sheet has one row per cell, at most MAX_PIVOTS.
-    blocked = placed.join(F.broadcast(sheet), "cell").where(met)
-    blocked = blocked.withColumn("blk", block.cast("int"))
+    blocked = sized.where(met).withColumn("blk", block.cast("int"))
     spread = blocked.select("cell", "id", "vec", "blk", F.explode(facing).alias("o"))
     rows = spread.select(
         "cell",

@@ -35,6 +35,7 @@ MAX_BLOCK_ROWS = 8192
 MAX_PIVOTS = 1024
 PIVOT_BYTES = 64 << 20
 STRIP_CELLS = 4 << 20
+KEPT_PAIRS = 1 << 20
 SIMILARITY_DIGITS = 9
 _SLACK = 1e-6
 
@@ -370,17 +371,18 @@ def split_tile(tile: pa.Table):
 
 
 def strips(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Similarities of the left rows with all right rows, some rows at a time.
-
-    They are rounded, so that exact ties do not depend on the order in which a matrix
-    product adds its terms.
-    """
+    """Similarities of the left rows with all right rows, some rows at a time."""
     if not len(left) or not len(right):
         return
     height = max(1, STRIP_CELLS // len(right))
     for start in range(0, len(left), height):
-        sims = left[start : start + height] @ right.T
-        yield start, np.round(sims, SIMILARITY_DIGITS)
+        yield start, left[start : start + height] @ right.T
+
+
+def rounded(similarity: np.ndarray) -> np.ndarray:
+    """Similarities rounded, so that exact ties do not depend on the order in which a
+    matrix product adds its terms."""
+    return np.round(similarity, SIMILARITY_DIGITS)
 
 
 class TilePairs:
@@ -395,29 +397,41 @@ class TilePairs:
     def above(self, threshold: float) -> Iterator[tuple[np.ndarray, ...]]:
         """``(left, right, similarity)`` of pairs of different ids at or above the
         threshold, each unordered pair once, a strip of the tile at a time."""
+        almost = threshold - 10.0**-SIMILARITY_DIGITS
         for start, sims in strips(self._left, self._right):
-            row, col = np.nonzero(sims >= threshold)
-            a, b = self._left_rank[row + start], self._right_rank[col]
-            keep = a < b if self._diagonal else a != b
-            yield a[keep], b[keep], sims[row[keep], col[keep]]
+            row, col = np.nonzero(sims >= almost)
+            a, b, s = self._left_rank[row + start], self._right_rank[col], sims[row, col]
+            s = rounded(s)
+            keep = (s >= threshold) & (a < b if self._diagonal else a != b)
+            yield a[keep], b[keep], s[keep]
 
 
 class Best:
-    """The k most similar others of each owner, while pairs arrive in any order."""
+    """The k most similar others of each owner, while pairs arrive in any order.
+
+    Owners are numbered from 0 to ``owners`` - 1. Once an owner has k others, pairs
+    below the least similar of them are not even kept.
+    """
 
-    def __init__(self, k: int) -> None:
+    def __init__(self, k: int, owners: int) -> None:
         self._k = k
         self._parts = [(np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0))]
         self._size = 0
-        self._limit = STRIP_CELLS
+        self._limit = KEPT_PAIRS
+        self._floor = np.full(owners, -np.inf)
 
     def add(self, owner: np.ndarray, other: np.ndarray, similarity: np.ndarray) -> None:
-        self._parts.append((owner, other, similarity))
-        self._size += len(owner)
+        useful = similarity >= self._floor[owner]
+        self._parts.append((owner[useful], other[useful], similarity[useful]))
+        self._size += int(useful.sum())
         if self._size > self._limit:
             kept = self.result()
             self._parts, self._size = [kept], len(kept[0])
-            self._limit = max(STRIP_CELLS, 2 * self._size)
+            self._limit = max(KEPT_PAIRS, 2 * self._size)
+            full = np.bincount(kept[0], minlength=len(self._floor)) == self._k
+            lowest = np.full(len(self._floor), np.inf)
+            np.minimum.at(lowest, kept[0], kept[2])
+            self._floor[full] = lowest[full]
 
     def result(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Owners, others and similarities; lower others win ties."""

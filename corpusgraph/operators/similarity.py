@@ -83,7 +83,7 @@ def _reduce_best(tiles: Tiles, threshold: float, k: int, direction: str) -> Data
 
     def best(tile: pa.Table) -> pa.Table:
         meeting = TilePairs(tile)
-        kept = Best(k)
+        kept = Best(k, len(meeting.ids))
         for a, b, s in meeting.above(threshold):
             if direction == "both":
                 kept.add(np.r_[a, b], np.r_[b, a], np.r_[s, s])

@@ -215,9 +215,9 @@ def test_best_keeps_the_same_rows_however_pairs_arrive():
     rng = np.random.default_rng(0)
     owner, other = rng.integers(0, 20, 5000), rng.permutation(5000)
     score = np.round(rng.random(5000), 2)
-    whole = blocks.Best(7)
+    whole = blocks.Best(7, 20)
     whole.add(owner, other, score)
-    parts = blocks.Best(7)
+    parts = blocks.Best(7, 20)
     parts._limit = 200
     for start in range(0, 5000, 90):
         piece = slice(start, start + 90)

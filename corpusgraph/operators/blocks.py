@@ -438,7 +438,9 @@ class Best:
         owner, other, similarity = (np.concatenate(x) for x in zip(*self._parts))
         if not len(owner):
             return owner, other, similarity
-        order = np.lexsort((other, -similarity, owner))
+        # Owner and descending similarity as one integer: two sort keys, not three.
+        score = np.rint((2.0 - similarity) * 10**SIMILARITY_DIGITS).astype(np.int64)
+        order = np.lexsort((other, (owner.astype(np.int64) << 32) + score))
         ranked = owner[order]
         starts = np.flatnonzero(np.r_[True, ranked[1:] != ranked[:-1]])
         lengths = np.diff(np.r_[starts, len(order)])

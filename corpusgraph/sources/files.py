@@ -31,11 +31,29 @@ class FileStats:
     size_bytes: int
 
 
-def folder_size(spark: SparkSession, path: str) -> int:
-    """Bytes below a folder, asked from the file system the path belongs to."""
+def _file_system(spark: SparkSession, path: str):
+    """The file system a path belongs to, and the path as it knows it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
-    return int(files.getContentSummary(target).getLength())
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()), target
+
+
+def folder_size(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder."""
+    system, target = _file_system(spark, path)
+    return int(system.getContentSummary(target).getLength())
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    system, target = _file_system(spark, path)
+    if not system.exists(target):
+        return []
+    found = system.listStatus(target)
+    return [f.getPath().toString() for f in found if f.isDirectory()]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    system, target = _file_system(spark, path)
+    system.delete(target, True)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:

@@ -197,6 +197,17 @@ class Lake:
         self._check_writable()
         self.spark.sql(f"DROP TABLE IF EXISTS {self.qualified(name)}")
 
+    def clean(self, name: str) -> int:
+        """Delete the versions of a table that are no longer its current one, and tell
+        how many. Readers of an old version must be done by then."""
+        self._check_writable()
+        current = self._folder(name).rstrip("/").rsplit("/", 1)[-1]
+        old = [p for p in files.subfolders(self.spark, f"{self.location}/{name}")
+               if not p.endswith(f"/{current}")]
+        for path in old:
+            files.delete_folder(self.spark, path)
+        return len(old)
+
     # Internals
 
     def _check_writable(self) -> None:

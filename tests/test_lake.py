@@ -40,6 +40,14 @@ def test_a_reader_keeps_the_version_it_started_with(spark, lake):
     assert lake.read("t").count() == 2
 
 
+def test_old_versions_go_only_when_told(spark, lake):
+    for n in (5, 3, 2):
+        lake.write(spark.range(n), "t")
+    assert lake.clean("t") == 2
+    assert lake.clean("t") == 0
+    assert lake.read("t").count() == 2
+
+
 def test_a_failing_write_leaves_the_table(spark, lake):
     lake.write(spark.range(5), "t")
     broken = spark.range(3).withColumn("id", F.raise_error(F.lit("no")).cast("bigint"))

@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusgraph.sources.scratch import materialize
+
 _BREAK = ". \n \n\n  "
 
 
@@ -193,15 +195,15 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def patents(spark: SparkSession, sf: str) -> DataFrame:
-    """Embedded extractions: the vectors forwards as problems, backwards as solutions,
-    with the texts of the documents as far as they go."""
+    """Embedded extractions, stored as a table: the vectors forwards as problems,
+    backwards as solutions, with the texts of the documents as far as they go."""
     found = vectors(spark, sf)
     last = table(spark, sf, "embeddings").count() * 4 - 1
     backwards = found.select(
         (F.lit(last) - F.col("id")).alias("id"), F.col("emb").alias("solution_embedding")
     )
     documents = table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
-    return (
+    joined = (
         found.withColumnRenamed("emb", "problem_embedding")
         .join(backwards, "id")
         .join(documents, "id", "left")
@@ -215,6 +217,7 @@ def patents(spark: SparkSession, sf: str) -> DataFrame:
             "solution_embedding",
         )
     )
+    return materialize(joined, "patents")
 
 
 def patent_number(number: Column) -> Column:

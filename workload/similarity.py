@@ -119,25 +119,30 @@ def clustered_graph_edges(spark: SparkSession, sf: str) -> DataFrame:
     return _edge_rows(graph.clustered_graph(inputs.patents(spark, sf)).edges)
 
 
+def _stored(spark: SparkSession, whole: graph.Graph) -> graph.Graph:
+    path = scratch_dir(spark, "graph")
+    graph.write_graph(whole, path)
+    return graph.read_graph(spark, path)
+
+
+def _first_half(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
+    middle = inputs.patent_number(F.lit(table(spark, sf, "embeddings").count() * 2))
+    return rows.where(F.col("publication_number") < middle)
+
+
 def graph_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """The first half in number order, then everything: the same as all at once."""
     rows = inputs.patents(spark, sf)
-    middle = table(spark, sf, "embeddings").count() * 2
-    first = rows.where(
-        F.col("publication_number") < inputs.patent_number(F.lit(middle))
-    )
-    whole = graph.update_clustered_graph(graph.clustered_graph(first), rows)
-    return _edge_rows(whole.edges)
+    first = graph.clustered_graph(_first_half(spark, sf, rows))
+    return _edge_rows(graph.update_clustered_graph(_stored(spark, first), rows).edges)
 
 
 def dense_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Edges of the first half together with those that the second half adds."""
     rows = inputs.patents(spark, sf)
-    middle = inputs.patent_number(F.lit(table(spark, sf, "embeddings").count() * 2))
-    first = rows.where(F.col("publication_number") < middle)
-    before = graph.dense_graph(first)
-    fresh = graph.pending_rows(rows, before.nodes)
-    added = graph.dense_graph(fresh, known=first)
+    first = _first_half(spark, sf, rows)
+    before = _stored(spark, graph.dense_graph(first))
+    added = graph.dense_graph(graph.pending_rows(rows, before.nodes), known=first)
     return _edge_rows(before.edges.unionByName(added.edges))
 
 
@@ -146,12 +151,8 @@ def graph_stats(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _replica(spark: SparkSession, sf: str) -> graph.Graph:
-    path = scratch_dir(spark, "replica")
-    copy = graph.replica(graph.dense_graph(inputs.patents(spark, sf)))
-    graph.write_graph(copy, path)
-    return graph.Graph(
-        spark.read.parquet(f"{path}/nodes"), spark.read.parquet(f"{path}/edges")
-    )
+    whole = graph.dense_graph(inputs.patents(spark, sf))
+    return _stored(spark, graph.replica(whole))
 
 
 def graph_replica_nodes(spark: SparkSession, sf: str) -> DataFrame:

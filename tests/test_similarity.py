@@ -229,7 +229,7 @@ def test_best_keeps_the_same_rows_however_pairs_arrive():
 def test_distribution_equals_numpy(spark, monkeypatch):
     monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 64)
     matrix = families()[:-1]
-    sampled = distribution.sample_pairs(frame(spark, matrix), "id", "v", size=300)
+    sampled = distribution.sample_pairs(frame(spark, matrix), "id", ["v"], size=300)["v"]
     assert sampled.tiles.number > 1
     rows = sampled.tiles.rows.select("id").distinct().collect()
     chosen = sorted(r["id"] for r in rows)
@@ -265,7 +265,7 @@ def test_distribution_equals_numpy(spark, monkeypatch):
 
 
 def test_distribution_of_equal_vectors(spark):
-    sampled = distribution.sample_pairs(frame(spark, np.ones((5, 3))), "id", "v")
+    sampled = distribution.sample_pairs(frame(spark, np.ones((5, 3))), "id", ["v"])["v"]
     assert sampled.histogram()[0][3] == 10
     assert sampled.statistics()["std"] == 0
     assert sampled.box()["outliers"] == 0

@@ -165,15 +165,13 @@ def graph_replica_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 # Distributions
 
-_SIDES = ("problem", "solution")
-
 
 def _distributions(spark: SparkSession, sf: str):
-    rows = inputs.patents(spark, sf)
-    for side in _SIDES:
-        yield side, distribution.sample_pairs(
-            rows, "publication_number", f"{side}_embedding"
-        )
+    columns = {"problem": "problem_embedding", "solution": "solution_embedding"}
+    found = distribution.sample_pairs(
+        inputs.patents(spark, sf), "publication_number", list(columns.values())
+    )
+    return [(side, found[column]) for side, column in columns.items()]
 
 
 def similarity_stats(spark: SparkSession, sf: str) -> DataFrame:

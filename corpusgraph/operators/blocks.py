@@ -90,8 +90,8 @@ class VectorTable:
 
 
 def load_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
-    """Unit vectors of a frame. Ids must be unique. Rows without a vector, and zero
-    vectors, are left out: they are similar to nothing."""
+    """Unit vectors of a frame, whose ids must be unique. Rows without a vector, and
+    zero vectors, are left out: they are similar to nothing."""
     plain = df.select(
         F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")
     ).where(F.exists("vec", lambda x: x != 0))
@@ -105,6 +105,9 @@ def load_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
     )
     if found["low"] != found["high"]:
         raise ValueError(f"vectors of {found['low']} to {found['high']} elements")
+    repeated = rows.groupBy("id").count().where("count > 1").select("id").first()
+    if repeated:
+        raise ValueError(f"id {repeated['id']!r} has more than one vector")
     return VectorTable(rows, found["n"], found["high"] or 0)
 
 

@@ -59,11 +59,16 @@ GENERATION_FIELDS = (
 # Extraction
 
 
+def all_missing(*columns: str) -> Column:
+    """True where every one of the texts is NULL or empty."""
+    return F.forall(
+        F.array(*[text.is_missing(F.col(c)) for c in columns]), lambda missing: missing
+    )
+
+
 def reject_missing(df: DataFrame, *columns: str) -> tuple[DataFrame, DataFrame]:
     """Rows with at least one text, and the rows where all are NULL or empty."""
-    missing = F.lit(True)
-    for column in columns:
-        missing = missing & text.is_missing(F.col(column))
+    missing = all_missing(*columns)
     return df.where(~missing), df.where(missing)
 
 
@@ -96,37 +101,37 @@ def extract_pairs(df: DataFrame, extractor: Extractor) -> DataFrame:
     ``generation_id``, ``processing_time_ms`` and ``reason``. Rows without any text
     are not asked about; a failing call rejects its row.
     """
-    usable, missing = reject_missing(df, "title_text", "abstract_text")
-    inputs = usable.withColumns(
+    inputs = df.withColumns(
         {
+            "_missing": all_missing("title_text", "abstract_text"),
             "_title": text.truncate(F.col("title_text"), TITLE_LIMIT),
             "_abstract": text.truncate(F.col("abstract_text"), ABSTRACT_LIMIT),
         }
     )
     given = df.columns
-    answers = "problem string, solution string, generation_id string"
-    timing = "processing_time_ms int, _error string"
-    names = [*given, "problem", "solution", "generation_id"]
+    names = ["problem", "solution", "generation_id", "processing_time_ms", "_error"]
 
     def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [
-                _answer(extractor, title, abstract)
-                for title, abstract in zip(batch["_title"], batch["_abstract"])
+                _answer(extractor, title, abstract) if not missing else _NO_INPUT
+                for missing, title, abstract in zip(
+                    batch["_missing"], batch["_title"], batch["_abstract"]
+                )
             ]
-            columns = ["problem", "solution", "generation_id"]
-            columns += ["processing_time_ms", "_error"]
-            extra = pd.DataFrame(found, columns=columns, index=batch.index)
+            extra = pd.DataFrame(found, columns=names, index=batch.index, dtype=object)
             yield pd.concat([batch[given], extra], axis=1)
 
+    answers = "problem string, solution string, generation_id string"
+    timing = "processing_time_ms int, _error string"
     asked = inputs.mapInPandas(ask, f"{_ddl(df.schema)}, {answers}, {timing}")
-    checked = validate_extractions(asked).withColumn(
-        "reason", F.coalesce("_error", "reason")
-    )
-    skipped = missing.withColumn("reason", F.lit("no input"))
-    return checked.drop("_error").unionByName(
-        skipped.select(*given, "reason"), allowMissingColumns=True
-    ).select(*names, "processing_time_ms", "reason")
+    checked = validate_extractions(asked)
+    reason = F.coalesce("_error", "reason")
+    return checked.withColumn("reason", reason).drop("_error")
+
+
+# Stands for the answer of a row that has nothing to ask about.
+_NO_INPUT = (None, None, None, None, "no input")
 
 
 def _ddl(fields: Iterable[T.StructField]) -> str:
@@ -209,13 +214,19 @@ def embed_pairs(
     todo = df
     if {"problem_embedding", "solution_embedding"} <= set(df.columns):
         todo = lacking_any(df, ["problem_embedding", "solution_embedding"])
-    usable, missing = reject_missing(todo, "problem", "solution")
-    inputs = model_inputs(usable).select(key, "problem_input", "solution_input")
+    inputs = model_inputs(todo).select(
+        key,
+        all_missing("problem", "solution").alias("missing"),
+        "problem_input",
+        "solution_input",
+    )
     key_type = inputs.schema[key].dataType.simpleString()
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for rows in _slices(batches, batch):
-            yield _embedded(rows, embedder, key)
+            empty = rows["missing"].astype(bool)
+            yield _embedded(rows[~empty].reset_index(drop=True), embedder, key)
+            yield _unasked(rows[empty], key)
 
     asked = inputs.mapInPandas(
         call,
@@ -224,9 +235,7 @@ def embed_pairs(
     )
     right = has_dimension(dim, F.col("problem_embedding"), F.col("solution_embedding"))
     wrong = F.when(~right, F.lit("wrong dimension"))
-    checked = asked.withColumn("reason", F.coalesce(F.col("reason"), wrong))
-    skipped = missing.select(key, F.lit("no input").alias("reason"))
-    return checked.unionByName(skipped, allowMissingColumns=True)
+    return asked.withColumn("reason", F.coalesce(F.col("reason"), wrong))
 
 
 def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
@@ -241,20 +250,29 @@ def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame
         yield rest.reset_index(drop=True)
 
 
+def _unasked(rows: pd.DataFrame, key: str) -> pd.DataFrame:
+    result = pd.DataFrame({key: rows[key]})
+    for column in ("problem_embedding", "solution_embedding", "embedding_generation_id"):
+        result[column] = None
+    result["reason"] = "no input"
+    return result
+
+
 def _embedded(rows: pd.DataFrame, embedder: Embedder, key: str) -> pd.DataFrame:
     result = pd.DataFrame({key: rows[key]})
     pairs = rows[["problem_input", "solution_input"]]
     texts = [t for pair in pairs.itertuples(index=False) for t in pair]
     try:
-        vectors = [[float(x) for x in v] for v in embedder(texts)]
+        vectors = [[float(x) for x in v] for v in embedder(texts)] if texts else []
         if len(vectors) != len(texts):
             raise ValueError(f"{len(vectors)} vectors for {len(texts)} texts")
         error = None
     except Exception as problem:
         vectors, error = [None] * len(texts), f"failed: {problem}"
+    made = None if error or not texts else f"emb-{rows[key].iloc[0]}"
     result["problem_embedding"] = vectors[0::2]
     result["solution_embedding"] = vectors[1::2]
-    result["embedding_generation_id"] = None if error else f"emb-{rows[key].iloc[0]}"
+    result["embedding_generation_id"] = made
     result["reason"] = error
     return result
 

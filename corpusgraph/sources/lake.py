@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources import files
 
 _REQUIRED = "corpusgraph.required"
@@ -171,21 +172,17 @@ class Lake:
         return self.write(changed, name)
 
     def pull(
-        self,
-        source: Lake,
-        name: str,
-        limit: int | None = None,
-        order_by: Sequence[str] = (),
+        self, source: Lake, name: str, limit: int | None = None, key: str | None = None
     ) -> int:
         """Copy a table from another namespace, replacing the one here.
 
-        A limit of 0 or None copies everything. ``order_by`` says which rows a
-        limit keeps.
+        A limit of 0 or None copies everything. With a unique ``key`` a limit keeps the
+        first rows by it, else any rows.
         """
+        self._check_writable()
         rows = source.read(name)
         if limit:
-            rows = rows.orderBy(*order_by).limit(limit) if order_by else rows.limit(limit)
-        self._check_writable()
+            rows = top_n(rows, key, limit) if key else rows.limit(limit)
         self.drop(name)
         return self._create(rows, name).rows
 

@@ -1,8 +1,8 @@
 """Where intermediate tables go.
 
-On a cluster the folder is the one named in ``spark.checkpoint.dir``; it is
-shared by all executors, so a lost executor costs no data. Only a local session
-without that setting gets a temporary folder of its own.
+On a cluster the folder is the one named in ``spark.checkpoint.dir``, which all
+executors share, so a lost executor costs no data. Only a local session without that
+setting gets a temporary folder of its own.
 """
 
 from __future__ import annotations
@@ -14,19 +14,24 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
+
+
+def _configured(spark: SparkSession) -> str | None:
+    return spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for checkpoints and intermediate tables."""
-    context = spark.sparkContext
-    root = spark.conf.get(_SETTING, None) or context.getConf().get(_SETTING)
+    """The shared folder for intermediate tables."""
+    root = _configured(spark)
     if root:
         return root.rstrip("/")
+    context = spark.sparkContext
     if not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
-    root = tempfile.mkdtemp(prefix="corpusgraph-")
-    spark.conf.set(_SETTING, root)
-    return root
+    if context.applicationId not in _local_roots:
+        _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="corpusgraph-")
+    return _local_roots[context.applicationId]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

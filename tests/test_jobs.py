@@ -142,6 +142,15 @@ def test_embedding_batches_fail_together(spark):
     assert failed == {"k03", "k04", "k05"}
 
 
+def test_embedding_skips_rows_without_texts(spark):
+    seen = pairs(spark, 5).withColumns(
+        {c: F.when(F.col(KEY) != "k02", F.col(c)) for c in ("problem", "solution")}
+    )
+    found = jobs.embed_pairs(seen, lambda t: [[1.0]] * len(t), batch=2, dim=1).collect()
+    assert {r[KEY]: r["reason"] for r in found if r["reason"]} == {"k02": "no input"}
+    assert len(found) == 5
+
+
 def test_embedding_checks_count_and_dimension(spark):
     found = jobs.embed_pairs(pairs(spark, 4), lambda t: [[1.0]] * 3, batch=2, dim=1)
     assert {r["reason"] for r in found.collect()} == {"failed: 3 vectors for 4 texts"}

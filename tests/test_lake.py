@@ -109,7 +109,7 @@ def test_namespaces(spark):
         assert there.tables() == ["numbers"]
         assert here.pull(there, "numbers") == 10
         assert here.pull(there, "numbers", limit=0) == 10
-        assert here.pull(there, "numbers", limit=4, order_by=["id"]) == 4
+        assert here.pull(there, "numbers", limit=4, key="id") == 4
         assert rows(spark.sql("select max(id) from numbers")) == [(3,)]
         for change in (
             lambda: there.write(spark.range(1), "numbers"),
@@ -188,3 +188,15 @@ def test_items_without_a_field_give_null(spark):
     lines.write.text(path)
     schema = T.StructType().add("id", "long").add("title", "string").add("by", "string")
     assert rows(files.read_items(spark, path, schema)) == [(1, None, "x"), (2, "t", None)]
+
+
+def test_scratch_follows_the_session_and_is_local_only_in_local_runs(spark, monkeypatch):
+    from corpusgraph.sources import scratch
+
+    monkeypatch.setattr(scratch, "_configured", lambda _: "hdfs:///shared/")
+    assert scratch.scratch_root(spark) == "hdfs:///shared"
+    monkeypatch.setattr(scratch, "_configured", lambda _: None)
+    assert scratch.scratch_root(spark) == scratch.scratch_root(spark)
+    cluster = type("Session", (), {"sparkContext": type("C", (), {"master": "yarn"})})
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch.scratch_root(cluster)

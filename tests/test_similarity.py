@@ -127,6 +127,12 @@ def test_vectors_of_different_lengths_are_refused(spark):
         blocks.load_vectors(df, "id", "v")
 
 
+def test_repeated_ids_are_refused(spark):
+    df = spark.createDataFrame([(1, [1.0]), (1, [2.0])], "id int, v array<double>")
+    with pytest.raises(ValueError, match="id 1 has more than one vector"):
+        blocks.load_vectors(df, "id", "v")
+
+
 def test_no_vectors_at_all(spark):
     empty = spark.createDataFrame([], "id bigint, v array<double>")
     assert sim.knn(empty, "id", "v").count() == 0

@@ -139,7 +139,7 @@ def pull_table(spark: SparkSession, sf: str) -> DataFrame:
 
 def pull_limit(spark: SparkSession, sf: str) -> DataFrame:
     here, there = _namespaces(spark, sf, "part")
-    here.pull(there, "part", limit=100, order_by=["p_partkey"])
+    here.pull(there, "part", limit=100, key="p_partkey")
     return here.read("part")
 
 

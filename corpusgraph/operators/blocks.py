@@ -34,6 +34,7 @@ MIN_BLOCK_ROWS = 256
 MAX_BLOCK_ROWS = 8192
 MAX_PIVOTS = 1024
 PIVOT_BYTES = 64 << 20
+BROADCAST_BYTES = 64 << 20
 STRIP_CELLS = 4 << 20
 KEPT_PAIRS = 1 << 20
 SIMILARITY_DIGITS = 9
@@ -43,6 +44,8 @@ _SLACK = 1e-6
 def to_matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """A list column of equal lengths as a matrix, without a copy per row."""
     rows = len(column)
+    if not rows:
+        return np.empty((0, 0))
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     return column.flatten().to_numpy(zero_copy_only=False).reshape(rows, -1)
@@ -76,6 +79,10 @@ class VectorTable:
     def id_type(self) -> str:
         return self.rows.schema["id"].dataType.simpleString()
 
+    @property
+    def size_bytes(self) -> int:
+        return 8 * self.count * self.dim
+
     @property
     def block_rows(self) -> int:
         fitting = BLOCK_BYTES // (8 * max(self.dim, 1))
@@ -211,6 +218,8 @@ def _in_cells(
 
 # Blocks and tiles
 
+PairReducer = Callable[["BlockPairs"], pa.Table]
+
 
 @dataclass(frozen=True)
 class Tiles:
@@ -221,8 +230,12 @@ class Tiles:
     partitions: int
     id_type: str
 
+    def reduce_pairs(self, reducer: PairReducer, schema: str) -> DataFrame:
+        """Run ``reducer`` on the pairs of each tile; it emits rows of ``schema``."""
+        return self.reduce(lambda tile: reducer(BlockPairs(*split_tile(tile))), schema)
+
     def reduce(self, reducer: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
-        """Run ``reducer`` on each tile; it emits rows of ``schema``."""
+        """Run ``reducer`` on the rows of each tile."""
         spread = self.rows.repartition(self.partitions, "cell", "ta", "tb")
         return spread.groupBy("cell", "ta", "tb").applyInArrow(reducer, schema)
 
@@ -348,6 +361,43 @@ def cross_tiles(
     return _lay_out(placed, queries.id_type, sizes, False, block_rows)
 
 
+def reduce_cross(
+    base: VectorTable,
+    queries: VectorTable,
+    threshold: float,
+    reducer: PairReducer,
+    schema: str,
+    **layout,
+) -> DataFrame:
+    """Run ``reducer`` on pairs of blocks, base rows left and queries right, that
+    together hold every pair above the threshold once.
+
+    When one side is small, counted in bytes, it is broadcast and the other side stays
+    where it is. Beyond that size, or when a layout is given, the sides meet in tiles.
+    """
+    small, large = sorted((base, queries), key=lambda v: v.size_bytes)
+    if layout or small.size_bytes > BROADCAST_BYTES:
+        tiles = cross_tiles(base, queries, threshold, **layout)
+        return tiles.reduce_pairs(reducer, schema)
+    context = large.rows.sparkSession.sparkContext
+    held = small.rows.toArrow()
+    sent = context.broadcast((held["id"].to_numpy(), to_matrix(held["vec"])))
+    base_is_small = small is base
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = sent.value
+            far = (batch["id"].to_numpy(zero_copy_only=False), to_matrix(batch["vec"]))
+            sides = (*near, *far) if base_is_small else (*far, *near)
+            yield from reducer(BlockPairs(*sides)).to_batches()
+
+    cores = context.defaultParallelism
+    rows = large.rows
+    if large.size_bytes < cores * BROADCAST_BYTES:
+        rows = rows.repartition(cores)
+    return rows.mapInArrow(meet, schema)
+
+
 # Inside a tile
 
 _ARROW_IDS = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
@@ -388,24 +438,31 @@ def rounded(similarity: np.ndarray) -> np.ndarray:
     return np.round(similarity, SIMILARITY_DIGITS)
 
 
-class TilePairs:
-    """The pairs of a tile. Rows are positions in ``ids``, which ascends."""
+class BlockPairs:
+    """The pairs of two blocks. Rows are positions in ``ids``, which ascends."""
 
-    def __init__(self, tile: pa.Table) -> None:
-        left_ids, self._left, right_ids, self._right, self._diagonal = split_tile(tile)
+    def __init__(
+        self,
+        left_ids: np.ndarray,
+        left: np.ndarray,
+        right_ids: np.ndarray,
+        right: np.ndarray,
+        same: bool = False,
+    ) -> None:
+        self._left, self._right, self._same = left, right, same
         both = np.concatenate([left_ids, right_ids])
         self.ids, rank = np.unique(both, return_inverse=True)
         self._left_rank, self._right_rank = np.split(rank, [len(left_ids)])
 
     def above(self, threshold: float) -> Iterator[tuple[np.ndarray, ...]]:
         """``(left, right, similarity)`` of pairs of different ids at or above the
-        threshold, each unordered pair once, a strip of the tile at a time."""
+        threshold, each unordered pair once, some left rows at a time."""
         almost = threshold - 10.0**-SIMILARITY_DIGITS
         for start, sims in strips(self._left, self._right):
             row, col = np.nonzero(sims >= almost)
             a, b, s = self._left_rank[row + start], self._right_rank[col], sims[row, col]
             s = rounded(s)
-            keep = (s >= threshold) & (a < b if self._diagonal else a != b)
+            keep = (s >= threshold) & (a < b if self._same else a != b)
             yield a[keep], b[keep], s[keep]
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusgraph.operators import blocks
-from corpusgraph.operators.blocks import Best, TilePairs, Tiles, VectorTable, load_vectors
+from corpusgraph.operators.blocks import Best, BlockPairs, VectorTable, load_vectors
 from corpusgraph.sources.scratch import materialize
 
 
@@ -46,7 +46,7 @@ def similar_pairs(
     id_type = tiles.id_type
 
     def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meeting = TilePairs(pa.Table.from_batches(batches))
+        meeting = BlockPairs(*blocks.split_tile(pa.Table.from_batches(batches)))
         for a, b, similarity in meeting.above(threshold):
             ids = {
                 "low": meeting.ids[np.minimum(a, b)],
@@ -63,7 +63,7 @@ def similar_pairs(
 
 
 def keep_best(partial: DataFrame, k: int) -> DataFrame:
-    """The k best over all tiles; a row has at most k candidates per tile."""
+    """The k best over all blocks; a row has at most k candidates per pair of blocks."""
     ranked = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbour"))
     return (
         partial.withColumn("rank", F.row_number().over(ranked))
@@ -72,19 +72,17 @@ def keep_best(partial: DataFrame, k: int) -> DataFrame:
     )
 
 
-def _reduce_best(tiles: Tiles, threshold: float, k: int, direction: str) -> DataFrame:
-    """Per-tile k best, then the k best of those.
+def _best(id_type: str, threshold: float, k: int, direction: str):
+    """A reducer to the k best per row of two blocks, and its schema.
 
     ``direction`` says whose neighbours are wanted: 'both' rows of a pair, only the
-    'higher' id's, or those of a 'query' in the second block, of which 'lower' keeps
-    base rows with lower ids.
+    'higher' id's, or those of a 'query' on the right, of which 'lower' keeps base rows
+    with lower ids.
     """
-    id_type = tiles.id_type
 
-    def best(tile: pa.Table) -> pa.Table:
-        meeting = TilePairs(tile)
-        kept = Best(k, len(meeting.ids))
-        for a, b, s in meeting.above(threshold):
+    def reducer(pairs: BlockPairs) -> pa.Table:
+        kept = Best(k, len(pairs.ids))
+        for a, b, s in pairs.above(threshold):
             if direction == "both":
                 kept.add(np.r_[a, b], np.r_[b, a], np.r_[s, s])
             elif direction == "higher":
@@ -93,11 +91,10 @@ def _reduce_best(tiles: Tiles, threshold: float, k: int, direction: str) -> Data
                 wanted = a < b if direction == "lower" else slice(None)
                 kept.add(b[wanted], a[wanted], s[wanted])
         owner, other, s = kept.result()
-        ids = {"id": meeting.ids[owner], "neighbour": meeting.ids[other]}
+        ids = {"id": pairs.ids[owner], "neighbour": pairs.ids[other]}
         return blocks.result_table(id_type, ids, s)
 
-    schema = f"id {id_type}, neighbour {id_type}, similarity double"
-    return keep_best(tiles.reduce(best, schema), k)
+    return reducer, f"id {id_type}, neighbour {id_type}, similarity double"
 
 
 def nearest(
@@ -114,7 +111,9 @@ def nearest(
     added in id order. Columns: ``id``, ``neighbour``, ``similarity``, ``rank``.
     """
     tiles = blocks.self_tiles(vectors, threshold, block_rows, pivots)
-    return _reduce_best(tiles, threshold, k, "higher" if lower_only else "both")
+    direction = "higher" if lower_only else "both"
+    reducer, schema = _best(tiles.id_type, threshold, k, direction)
+    return keep_best(tiles.reduce_pairs(reducer, schema), k)
 
 
 def nearest_in(
@@ -123,15 +122,16 @@ def nearest_in(
     k: int,
     threshold: float,
     lower_only: bool = False,
-    block_rows: int | None = None,
-    pivots: int | None = None,
+    **layout,
 ) -> DataFrame:
     """Each query's k most similar base rows at or above the threshold.
 
     A base row with the query's own id is left out. Columns as in ``nearest``.
     """
-    tiles = blocks.cross_tiles(base, queries, threshold, block_rows, pivots)
-    return _reduce_best(tiles, threshold, k, "lower" if lower_only else "query")
+    direction = "lower" if lower_only else "query"
+    reducer, schema = _best(queries.id_type, threshold, k, direction)
+    found = blocks.reduce_cross(base, queries, threshold, reducer, schema, **layout)
+    return keep_best(found, k)
 
 
 def knn(

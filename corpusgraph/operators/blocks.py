@@ -140,22 +140,51 @@ def choose_pivots(vectors: VectorTable, wanted: int) -> np.ndarray:
     return np.array(chosen).reshape(len(chosen), vectors.dim)
 
 
-def _visits(matrix: np.ndarray, pivots: np.ndarray, threshold: float):
+def _angles(cosines: np.ndarray) -> np.ndarray:
+    return np.arccos(np.clip(cosines, -1.0, 1.0))
+
+
+def cell_radii(vectors: VectorTable, pivots: np.ndarray) -> np.ndarray:
+    """The widest angle between each pivot and the vectors of its cell; negative
+    infinity for empty cells. One number per pivot and batch leaves the tasks."""
+
+    def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                dots = to_matrix(batch.column("vec")) @ pivots.T
+                found = np.full(len(pivots), -np.inf)
+                np.maximum.at(found, dots.argmax(axis=1), _angles(dots.max(axis=1)))
+                cells = np.flatnonzero(found >= 0).astype(np.int32)
+                columns = [pa.array(cells), pa.array(found[cells])]
+                yield pa.RecordBatch.from_arrays(columns, ["cell", "angle"])
+
+    found = vectors.rows.mapInArrow(widest, "cell int, angle double")
+    radii = np.full(len(pivots), -np.inf)
+    for row in found.groupBy("cell").agg(F.max("angle").alias("angle")).collect():
+        radii[row["cell"]] = row["angle"]
+    return radii
+
+
+def _visits(
+    matrix: np.ndarray, pivots: np.ndarray, radii: np.ndarray, threshold: float
+) -> tuple[np.ndarray, np.ndarray]:
     """Nearest pivot of each row, and a mask of the cells it has to visit.
 
-    A partner y in cell j is at least as near to pivot j as to pivot i. Its distance
-    to x is at most ``reach``, so x lies at most ``reach`` beyond the plane halfway
-    between the two pivots.
+    A partner y of x in cell j is at least as near to pivot j as to pivot i of x. The
+    distance of x and y is at most ``reach``, so x lies at most ``reach`` beyond the
+    plane halfway between the two pivots. And the angle between x and pivot j is at
+    most that between x and y plus the radius of the cell.
     """
     reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
     dots = matrix @ pivots.T
     home = dots.argmax(axis=1)
     gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
     beyond = dots[np.arange(len(dots)), home][:, None] - dots
-    return home, beyond <= reach * gaps[home] + _SLACK
+    close = _angles(dots) <= radii + math.acos(max(-1.0, min(1.0, threshold))) + _SLACK
+    return home, close & (beyond <= reach * gaps[home] + _SLACK)
 
 
-def _cell_rows(pivots: np.ndarray, threshold: float, role: str):
+def _cell_rows(pivots: np.ndarray, radii: np.ndarray, threshold: float, role: str):
     """A partition function that lists the cells of each vector.
 
     ``role`` is 'self' (a home, and visits to lower cells, so that each pair meets
@@ -166,7 +195,8 @@ def _cell_rows(pivots: np.ndarray, threshold: float, role: str):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            home, reachable = _visits(to_matrix(batch.column("vec")), pivots, threshold)
+            matrix = to_matrix(batch.column("vec"))
+            home, reachable = _visits(matrix, pivots, radii, threshold)
             cells = np.arange(len(pivots))[None, :]
             if role == "self":
                 reachable &= cells < home[:, None]
@@ -198,11 +228,15 @@ def _in_one_cell(vectors: VectorTable, at_home: bool) -> DataFrame:
 
 
 def _in_cells(
-    vectors: VectorTable, pivots: np.ndarray, threshold: float, role: str
+    vectors: VectorTable,
+    pivots: np.ndarray,
+    radii: np.ndarray,
+    threshold: float,
+    role: str,
 ) -> DataFrame:
     """One row per vector and cell: ``(id, vec, cell, at_home)``."""
     assigned = vectors.rows.mapInArrow(
-        _cell_rows(pivots, threshold, role),
+        _cell_rows(pivots, radii, threshold, role),
         f"id {vectors.id_type}, vec array<double>, home int, visits array<int>",
     )
 
@@ -330,8 +364,11 @@ def self_tiles(
         sizes = {(0, True): vectors.count}
     else:
         points = choose_pivots(vectors, number)
+        radii = cell_radii(vectors, points)
         # The layout reads the placed rows twice: to count cells, and to fill tiles.
-        placed = materialize(_in_cells(vectors, points, threshold, "self"), "cells")
+        placed = materialize(
+            _in_cells(vectors, points, radii, threshold, "self"), "cells"
+        )
         sizes = _cell_sizes(placed)
     return _lay_out(placed, vectors.id_type, sizes, True, block_rows)
 
@@ -354,8 +391,9 @@ def cross_tiles(
         sizes = {(0, True): base.count, (0, False): queries.count}
     else:
         points = choose_pivots(base, number)
-        homes = _in_cells(base, points, threshold, "base")
-        guests = _in_cells(queries, points, threshold, "query")
+        radii = cell_radii(base, points)
+        homes = _in_cells(base, points, radii, threshold, "base")
+        guests = _in_cells(queries, points, radii, threshold, "query")
         placed = materialize(homes.unionByName(guests), "cells")
         sizes = _cell_sizes(placed)
     return _lay_out(placed, queries.id_type, sizes, False, block_rows)

@@ -74,20 +74,26 @@ SHOUT_WEIGHT = 0.1
 MAX_SHOUTS = 3
 
 
-def _hits(title: Column) -> list[Column]:
-    """Each keyword where the title contains it, else NULL.
+def _contained(title: Column) -> list[Column]:
+    """Whether the title contains each keyword.
 
     One ``contains`` per keyword stays in generated code, which computes
     ``lower(title)`` once; a lambda over the keywords would be interpreted.
     """
     low = F.lower(title)
-    return [F.when(F.contains(low, F.lit(k)), F.lit(k)) for k in TECH_KEYWORDS]
+    return [F.contains(low, F.lit(k)) for k in TECH_KEYWORDS]
 
 
 def keyword_tags(title: Column) -> Column:
     """Keywords contained in the title, in list order; empty for NULL."""
+    hits = [F.when(c, F.lit(k)) for c, k in zip(_contained(title), TECH_KEYWORDS)]
     nothing = F.array(F.lit(None).cast("string"))
-    return F.array_except(F.array(*_hits(title)), nothing)
+    return F.array_except(F.array(*hits), nothing)
+
+
+def keyword_counts(title: Column) -> list[Column]:
+    """Aggregates named after the keywords: the number of titles with each."""
+    return [F.count_if(c).alias(k) for c, k in zip(_contained(title), TECH_KEYWORDS)]
 
 
 def clickbait_score(title: Column) -> Column:

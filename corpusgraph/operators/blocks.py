@@ -29,15 +29,21 @@ from pyspark.sql import functions as F
 from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources.scratch import materialize, materialize_measured
 
+# A block is limited in bytes and rows, for the memory of a task; small tables are cut
+# into more blocks than memory asks for, to use all cores, but not below the minimum.
 BLOCK_BYTES = 256 << 20
-MIN_BLOCK_ROWS = 256
 MAX_BLOCK_ROWS = 8192
+MIN_BLOCK_ROWS = 256
+# Pivots, and the smaller side of a search, are sent to all tasks up to these sizes.
 MAX_PIVOTS = 1024
 PIVOT_BYTES = 64 << 20
 BROADCAST_BYTES = 64 << 20
+# Similarities computed, and pairs kept, at a time within a tile.
 STRIP_CELLS = 4 << 20
 KEPT_PAIRS = 1 << 20
+
 SIMILARITY_DIGITS = 9
+# Allows for rounding errors in the bounds, which must never lose a pair.
 _SLACK = 1e-6
 
 
@@ -130,7 +136,7 @@ def choose_pivots(vectors: VectorTable, wanted: int) -> np.ndarray:
     wanted = max(1, min(wanted, MAX_PIVOTS, room // 4))
     code = F.xxhash64("id", F.lit("pivot"))
     sample = top_n(vectors.rows, "id", 4 * wanted, code).orderBy("id")
-    candidates = np.array([row["vec"] for row in sample.select("vec").collect()])
+    candidates = to_matrix(sample.select("vec").toArrow()["vec"])
     chosen: list[np.ndarray] = []
     for vector in candidates:
         if not chosen or np.max(np.array(chosen) @ vector) < 0.95:

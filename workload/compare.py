@@ -82,7 +82,8 @@ def main(sf: str, names: list[str]) -> int:
             found = f"{type(problem).__name__}: {str(problem)[:600]}"
         wrong += found is not None
         took = time.monotonic() - start
-        print(f"{'ok  ' if found is None else 'DIFF'} {took:6.2f}s {name} {(found or '')[:1500]}", flush=True)
+        verdict = "ok  " if found is None else "DIFF"
+        print(f"{verdict} {took:6.2f}s {name} {(found or str())[:1500]}", flush=True)
     return wrong
 
 

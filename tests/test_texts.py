@@ -49,9 +49,9 @@ def test_truncate_and_missing(spark):
 
 
 def test_parse_model_splits_at_the_first_slash(spark):
-    found = values(spark, ["openrouter/meta-llama/x", "nomodel", "/y"], text.parse_model)
+    found = values(spark, ["maker/family/x", "nomodel", "/y"], text.parse_model)
     assert [tuple(r) for r in found] == [
-        ("openrouter", "meta-llama/x", "openrouter/meta-llama/x"),
+        ("maker", "family/x", "maker/family/x"),
         ("unknown", "nomodel", "nomodel"),
         ("", "y", "/y"),
     ]

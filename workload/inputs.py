@@ -115,7 +115,7 @@ def extractions(spark: SparkSession, sf: str) -> DataFrame:
             _heading().alias("title_text"),
             F.col("text").alias("abstract_text"),
             F.when(F.col("quality") == 1, "m1").otherwise("m2").alias("model_name"),
-            F.lit("openrouter").alias("model_provider"),
+            F.lit("maker").alias("model_provider"),
             F.when(F.col("toxic") == 1, "v_b").otherwise("v_a").alias("prompt_version"),
             F.concat(F.lit("gen-"), "doc_id").alias("generation_id"),
             F.col("text").alias("problem"),
@@ -267,7 +267,7 @@ SQL = {
         select {_NUMBER_SQL} publication_number, split_part(text, chr(10), 1) title_text,
             text abstract_text,
             case when quality = 1 then 'm1' else 'm2' end model_name,
-            'openrouter' model_provider,
+            'maker' model_provider,
             case when toxic = 1 then 'v_b' else 'v_a' end prompt_version,
             concat('gen-', doc_id) generation_id, text problem,
             split_part(text, chr(10), -1) solution,

@@ -37,6 +37,11 @@ def test_word_count_splits_like_unicode_whitespace(spark, rows):
     assert values(spark, rows, text.word_count) == [len(r.split()) for r in rows]
 
 
+def test_long_runs_take_linear_time(spark):
+    gap = " " * 300_000
+    assert values(spark, [f"a{gap}b{gap}\n{gap}c{gap}"], text.clean_text) == [f"a{gap}b\nc"]
+
+
 def test_missing_texts_count_zero(spark):
     assert values(spark, [None, ""], text.word_count) == [0, 0]
     assert values(spark, [None, "añ😀"], text.char_count) == [0, 3]

@@ -58,10 +58,11 @@ def latest_generations(generations: DataFrame, n: int = LATEST) -> DataFrame:
     return generations.orderBy(newest, "generation_id").limit(n)
 
 
-def generation_preview(generations: DataFrame) -> DataFrame:
-    """Display form of each call."""
+def generation_preview(generations: DataFrame, *others: str) -> DataFrame:
+    """Display form of each call, with ``others`` of its columns."""
     return generations.select(
         "generation_id",
+        *others,
         F.concat(F.substring("generation_id", 1, 16), F.lit("...")).alias("short_id"),
         display.provider_label(F.col("provider_name")).alias("provider"),
         display.dollars(F.col("total_cost")).alias("cost"),
@@ -70,3 +71,9 @@ def generation_preview(generations: DataFrame) -> DataFrame:
         ),
         display.millis(F.col("latency")).alias("latency"),
     )
+
+
+def batch_preview(generations: DataFrame) -> DataFrame:
+    """Display form of each batched call; a missing batch size is 0."""
+    sizes = ("patents_in_batch", "embeddings_in_batch")
+    return generation_preview(generations.fillna(0, subset=list(sizes)), *sizes)

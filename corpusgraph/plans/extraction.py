@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusgraph.functions import display
 from corpusgraph.operators import jobs
 from corpusgraph.operators.incremental import (
     lacking_any,
@@ -21,6 +22,11 @@ from corpusgraph.sources.scratch import materialize
 
 KEY = "publication_number"
 
+# Columns of the stored tables, and rows and lengths of previews.
+PREVIEW_ROWS = 3
+PREVIEW_TEXT = 100
+PREVIEW_ID = 16
+PREVIEW_BATCH_ID = 20
 EXTRACTIONS = T.StructType(
     [
         T.StructField(KEY, T.StringType(), False),
@@ -146,6 +152,33 @@ def run_embedding(
     return RunReport(asked.count(), good.count())
 
 
+def extraction_preview(extractions: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
+    """The first extractions by key, in display form."""
+    return extractions.orderBy(KEY).limit(n).select(
+        KEY,
+        display.shorten(F.col("generation_id"), PREVIEW_ID).alias("generation_id"),
+        display.shorten(F.col("problem"), PREVIEW_TEXT).alias("problem"),
+        display.shorten(F.col("solution"), PREVIEW_TEXT).alias("solution"),
+    )
+
+
+def embedding_preview(extractions: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
+    """Dimensions of the first embedded rows by key; 0 for a missing vector."""
+    embedded = extractions.where(F.col("problem_embedding").isNotNull())
+    short_id = F.substring("embedding_generation_id", 1, PREVIEW_BATCH_ID)
+
+    def dimension(column: str):
+        size = F.when(F.col(column).isNotNull(), F.size(column)).otherwise(0)
+        return size.alias(column.replace("embedding", "dim"))
+
+    return embedded.orderBy(KEY).limit(n).select(
+        KEY,
+        dimension("problem_embedding"),
+        dimension("solution_embedding"),
+        F.concat(short_id, F.lit("...")).alias("generation_id"),
+    )
+
+
 def unfetched_generations(extractions: DataFrame, fetched: DataFrame) -> DataFrame:
     """Generation ids of extractions without metadata; repeated ids are kept."""
     return pending(extractions.select("generation_id", KEY), fetched, "generation_id")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusgraph.functions import text, titles
 from corpusgraph.operators import jobs
-from corpusgraph.plans import costs
+from corpusgraph.plans import costs, extraction
 from corpusgraph.plans import publications as pubs
 from corpusgraph.plans import stories
 from workload import inputs
@@ -121,6 +121,18 @@ def generation_preview(spark: SparkSession, sf: str) -> DataFrame:
     return costs.generation_preview(inputs.generations(spark, sf))
 
 
+def batch_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return costs.batch_preview(inputs.batches(spark, sf))
+
+
+def extraction_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return extraction.extraction_preview(inputs.extractions(spark, sf))
+
+
+def embedding_preview(spark: SparkSession, sf: str) -> DataFrame:
+    return extraction.embedding_preview(inputs.extractions(spark, sf))
+
+
 def latest_generations(spark: SparkSession, sf: str) -> DataFrame:
     return costs.latest_generations(inputs.generations(spark, sf))
 
@@ -188,6 +200,21 @@ _NULLABLE = (
 ).split()
 
 
+_SHOWN = """generation_id, substr(generation_id, 1, 16) || '...' short_id,
+    case when coalesce(provider_name, '') = '' then 'Unknown' else provider_name end
+        provider,
+    printf('$%.6f', total_cost) as cost,
+    tokens_prompt || '+' || tokens_completion tokens,
+    printf('%.0fms', round_even(latency, 0)) latency"""
+
+
+def _short(column: str, limit: int) -> str:
+    return (
+        f"case when length({column}) > {limit} then substr({column}, 1, {limit}) "
+        f"|| '...' else {column} end"
+    )
+
+
 def _avg(expression: str, name: str) -> str:
     return f"{sql_r6(f'coalesce(avg({expression}), 0)')} {name}"
 
@@ -322,14 +349,33 @@ CHECKS = {
     ),
     "generation_preview": Check(
         generation_preview,
+        with_views(f"select {_SHOWN} from generations", "generations"),
+    ),
+    "batch_preview": Check(
+        batch_preview,
         with_views(
-            """select generation_id, substr(generation_id, 1, 16) || '...' short_id,
-            case when coalesce(provider_name, '') = '' then 'Unknown' else provider_name
-                end provider,
-            printf('$%.6f', total_cost) as cost,
-            tokens_prompt || '+' || tokens_completion tokens,
-            printf('%.0fms', round_even(latency, 0)) latency from generations""",
-            "generations",
+            f"select {_SHOWN}, patents_in_batch, embeddings_in_batch from batches",
+            "batches",
+        ),
+    ),
+    "extraction_preview": Check(
+        extraction_preview,
+        with_views(
+            f"""select publication_number, {_short('generation_id', 16)} generation_id,
+            {_short('problem', 100)} problem, {_short('solution', 100)} solution
+            from extractions order by publication_number limit 3""",
+            "extractions",
+        ),
+    ),
+    "embedding_preview": Check(
+        embedding_preview,
+        with_views(
+            """select publication_number, len(problem_embedding)::int problem_dim,
+            coalesce(len(solution_embedding), 0)::int solution_dim,
+            substr(embedding_generation_id, 1, 20) || '...' generation_id
+            from extractions where problem_embedding is not null
+            order by publication_number limit 3""",
+            "extractions",
         ),
     ),
     "latest_generations": Check(

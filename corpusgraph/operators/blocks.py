@@ -124,6 +124,17 @@ def load_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
     return VectorTable(rows, found["n"], found["high"] or 0)
 
 
+def stored_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
+    """Vectors of a stored table that are of length one already, without a copy."""
+    rows = df.select(F.col(id_col).alias("id"), F.col(vec_col).alias("vec")).where(
+        F.exists("vec", lambda x: x != 0)
+    )
+    found = rows.agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("dim")
+    ).first()
+    return VectorTable(rows, found["n"], found["dim"] or 0)
+
+
 # Cells
 
 

@@ -54,9 +54,9 @@ def materialize(
 
 
 def materialize_measured(
-    df: DataFrame, label: str, **metrics: Column
+    df: DataFrame, label: str, partition_by: Sequence[str] = (), **metrics: Column
 ) -> tuple[DataFrame, dict]:
     """``materialize``, with aggregates over the rows taken during the write."""
     seen = Observation()
     named = [value.alias(name) for name, value in metrics.items()]
-    return materialize(df.observe(seen, *named), label), seen.get
+    return materialize(df.observe(seen, *named), label, partition_by), seen.get

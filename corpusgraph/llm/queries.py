@@ -19,6 +19,33 @@ def op3_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
+    """Where the token ids of each document lie in sequences of 2,048."""
+    import public_tokenizers
+
+    from corpusgraph.llm.packing import pack
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    path = public_tokenizers.path
+    return pack(docs, path("byte_bpe_50k.json"), path("byte_bpe_50k.tiktoken")).drop("ids")
+
+
+def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
+    """Shard and place of each document, near equal in bytes, and its virtual slot."""
+    from corpusgraph.llm.shards import assign_shards
+
+    return assign_shards(_table(spark, sf, "documents").select("doc_id", "text")).select(
+        "doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        F.col("position").alias("slot"),
+        F.lit(None).cast("int").alias("grown_shard"),
+        F.col("slot").alias("virtual_slot"),
+    )
+
+
 def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Words left per document after removing repeated windows of 13 words."""
     from corpusgraph.llm.substrings import remove_repeated_windows
@@ -31,6 +58,8 @@ def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op6_packing": op6_packing,
+    "op7_sharding": op7_sharding,
     "op9_substring_dedup": op9_substring_dedup,
 }
 

@@ -18,18 +18,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.llm.words import Words, batch_words, window_hashes, window_texts
-from corpusgraph.sources.scratch import materialize
 
 WINDOW = 13
 BUCKET_BYTES = 16 << 20  # of text; about three million windows
 BATCH_WINDOWS = 1 << 20
 
 _OTHER_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
-_SENT = "bucket int, ids binary, ends binary, hashes binary"
+_SENT = "bucket int, doc_id bigint, ids binary, ends binary, hashes binary"
 _HITS = "doc_id bigint, hashes binary"
 _U8 = np.uint64
 
@@ -97,11 +97,12 @@ def _send(size: int, buckets: int):
         doc, hashes, bucket = (np.concatenate(part) for part in zip(*held, strict=True))
         ids, rank = np.unique(doc, return_inverse=True)
         sent, hits = _settle(ids, rank, hashes, bucket)
-        rows = [(None, None, *row) for row in sent]
-        rows += [(doc, found, None, None, None, None) for doc, found in hits]
+        rows = [(at, None, *entry) for at, *entry in sent]
+        # Settled hits pass through any bucket, on their way to their documents.
+        rows += [(doc % buckets, doc, None, None, found) for doc, found in hits]
         columns = list(zip(*rows, strict=True))
-        types = (pa.int64(), pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.binary())
-        names = ["doc_id", "found", "bucket", "ids", "ends", "hashes"]
+        types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        names = ["bucket", "doc_id", "ids", "ends", "hashes"]
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.RecordBatch.from_arrays(arrays, names)
 
@@ -154,6 +155,9 @@ def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     current, rows = None, []
     for batch in batches:
+        settled = batch.column(1).is_valid()
+        yield batch.select(names).filter(settled)
+        batch = batch.filter(pc.invert(settled)).drop_columns("doc_id")
         for bucket, *entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if bucket != current and rows:
                 yield from emit(rows)
@@ -230,18 +234,13 @@ def repeated_windows(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     source = source.filter("doc_id is not null and text is not null")
     buckets = bucket_count(source, "text", bucket_bytes)
-    entries = materialize(
-        source.mapInArrow(_send(size, buckets), f"doc_id bigint, found binary, {_SENT}"),
-        "window-entries",
-    )
-    sent = entries.filter("bucket is not null").select("bucket", "ids", "ends", "hashes")
-    answered = (
-        sent.repartition(buckets, "bucket")
+    hits = (
+        source.mapInArrow(_send(size, buckets), _SENT)
+        .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
         .mapInArrow(_answer, _HITS)
     )
-    settled = entries.filter("found is not null").select("doc_id", F.col("found").alias("hashes"))
-    return answered.unionByName(settled).groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
+    return hits.groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
 
 
 def remove_repeated_windows(

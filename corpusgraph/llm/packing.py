@@ -30,7 +30,8 @@ RANGE_TOKENS = 1 << 22
 CACHE_UNITS = 200_000
 
 # White space of the tokenizer's pattern (Unicode White_Space).
-_SPACE = "\t-\r \x85\xa0  -     　"
+_WIDE = (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_SPACE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, *_WIDE)))
 # The pattern never joins characters across these units, whatever stands around them.
 _UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
 _SPECIAL = "<|endoftext|>"

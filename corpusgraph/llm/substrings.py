@@ -18,19 +18,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from corpusgraph.llm.words import Words, batch_words, window_hashes, window_texts
+from corpusgraph.llm.words import Words, batch_words, mix, window_hashes, window_texts
 
 WINDOW = 13
-BUCKET_BYTES = 16 << 20  # of text; about three million windows
+BUCKET_BYTES = 8 << 20  # of text; about 1.5 million windows
 BATCH_WINDOWS = 1 << 20
 
 _OTHER_BASE = np.uint64(0xC2B2AE3D27D4EB4F)
-_SENT = "bucket int, doc_id bigint, ids binary, ends binary, hashes binary"
-_HITS = "doc_id bigint, hashes binary"
+_SENT = "bucket int, settled boolean, ids binary, ends binary, hashes binary"
 _U8 = np.uint64
 
 
@@ -52,30 +52,41 @@ def _by_document(ids: np.ndarray, rank: np.ndarray, hashes: np.ndarray) -> list[
     ]
 
 
-def _settle(ids, rank, hashes, bucket) -> tuple[list, list]:
-    """What a batch sends to the buckets, and the hits that it finds by itself.
-
-    ``ids`` are the documents in order, the other arrays describe windows.
-    """
-    order = np.argsort(hashes)
-    rank, hashes, bucket = rank[order], hashes[order], bucket[order]
-    at = _groups(hashes)
-    least = np.minimum.reduceat(rank, at)
-    late = rank > np.repeat(least, np.diff(np.append(at, len(rank))))
-    hits = _by_document(ids, rank[late], hashes[late])
-    rank, hashes, bucket = least, hashes[at], bucket[at]
+def _by_bucket(ids, rank, hashes, bucket) -> list[tuple[int, bytes, bytes, bytes]]:
+    """(bucket, its documents, where the hashes of each end, hashes)."""
     order = np.argsort(bucket * _U8(1 << 32) + rank.astype(_U8))
     rank, hashes, bucket = rank[order], hashes[order], bucket[order]
-    sent = []
+    out = []
     at = np.append(_groups(bucket), len(bucket))
     for a, b in zip(at[:-1], at[1:], strict=True):
         first = _groups(rank[a:b])
         ends = np.append(first[1:], b - a).astype(np.int32)
         documents = ids[rank[a:b][first]].astype(np.int64)
-        sent.append(
+        out.append(
             (int(bucket[a]), documents.tobytes(), ends.tobytes(), hashes[a:b].tobytes())
         )
-    return sent, hits
+    return out
+
+
+def _rows(entries: list[tuple], settled: bool = False) -> pa.RecordBatch:
+    columns = list(zip(*entries, strict=True))
+    arrays = [pa.array(columns[0], pa.int32()), pa.array([settled] * len(entries))]
+    arrays += [pa.array(c, pa.binary()) for c in columns[1:]]
+    return pa.RecordBatch.from_arrays(arrays, ["bucket", "settled", "ids", "ends", "hashes"])
+
+
+def _settle(ids, rank, hashes, bucket) -> tuple[tuple, tuple]:
+    """What a batch sends to the buckets, and the hits that it finds by itself.
+
+    ``ids`` are the documents in order, the other arrays describe windows.
+    """
+    order = np.argsort(hashes)
+    rank, hashes, bucket = rank[order], hashes[order], bucket[order]
+    at = _groups(hashes)
+    least = np.minimum.reduceat(rank, at)
+    late = rank > np.repeat(least, np.diff(np.append(at, len(rank))))
+    hits = (rank[late], hashes[late], bucket[late])
+    return (least, hashes[at], bucket[at]), hits
 
 
 def _windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -93,18 +104,14 @@ def _windows(words: Words, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarra
 def _send(size: int, buckets: int):
     """Batches of (doc_id, text) to entries for buckets and settled hits."""
 
-    def flush(held: list) -> pa.RecordBatch:
+    def flush(held: list) -> Iterator[pa.RecordBatch]:
         doc, hashes, bucket = (np.concatenate(part) for part in zip(*held, strict=True))
         ids, rank = np.unique(doc, return_inverse=True)
         sent, hits = _settle(ids, rank, hashes, bucket)
-        rows = [(at, None, *entry) for at, *entry in sent]
-        # Settled hits pass through any bucket, on their way to their documents.
-        rows += [(doc % buckets, doc, None, None, found) for doc, found in hits]
-        columns = list(zip(*rows, strict=True))
-        types = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
-        names = ["bucket", "doc_id", "ids", "ends", "hashes"]
-        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
-        return pa.RecordBatch.from_arrays(arrays, names)
+        yield _rows(_by_bucket(ids, *sent))
+        if len(hits[0]):
+            # Settled hits pass through any bucket, on their way to their documents.
+            yield _rows(_by_bucket(ids, *hits), settled=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
@@ -116,56 +123,83 @@ def _send(size: int, buckets: int):
                     held.append((ids[start + text], hashes, other % _U8(buckets)))
                     count += len(hashes)
                 if count >= BATCH_WINDOWS:
-                    yield flush(held)
+                    yield from flush(held)
                     held, count = [], 0
         if held:
-            yield flush(held)
+            yield from flush(held)
 
     return run
 
 
-def _reduce(rows: list[tuple[bytes, bytes, bytes]]) -> list[tuple]:
-    """Hits of one bucket: windows that a smaller document has."""
-    ids, counts, hashes = [], [], []
+def _entries(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Documents in order, and the place of its document among them for each hash."""
+    none = np.zeros(0, dtype=np.int64)
+    ids, counts, hashes = [none], [none], [none.astype(_U8)]
     for documents, ends, values in rows:
         ids.append(np.frombuffer(documents, dtype=np.int64))
         counts.append(np.diff(np.frombuffer(ends, dtype=np.int32), prepend=0))
         hashes.append(np.frombuffer(values, dtype=_U8))
-    ids, rank = np.unique(np.concatenate(ids), return_inverse=True)
-    rank = np.repeat(rank, np.concatenate(counts))
-    hashes = np.concatenate(hashes)
+    found, rank = np.unique(np.concatenate(ids), return_inverse=True)
+    return found, np.repeat(rank, np.concatenate(counts)), np.concatenate(hashes)
+
+
+def _reduce(rows: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hits of one bucket: windows that a smaller document has."""
+    ids, rank, hashes = _entries(rows)
     order = np.argsort(hashes)
     rank, hashes = rank[order], hashes[order]
     at = _groups(hashes)
-    least = np.minimum.reduceat(rank, at)
+    least = np.minimum.reduceat(rank, at) if len(at) else at
     late = rank > np.repeat(least, np.diff(np.append(at, len(rank))))
-    return _by_document(ids, rank[late], hashes[late])
+    return ids, rank[late], hashes[late]
 
 
-def _answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Entries, sorted by bucket, to hits; one bucket is held at a time."""
-    names = ["doc_id", "hashes"]
-
-    def emit(rows: list) -> Iterator[pa.RecordBatch]:
-        found = _reduce(rows)
-        for at in range(0, len(found), 4096):
-            ids, values = zip(*found[at : at + 4096], strict=True)
-            arrays = [pa.array(ids, pa.int64()), pa.array(values, pa.binary())]
-            yield pa.RecordBatch.from_arrays(arrays, names)
-
+def _by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, list[tuple]]]:
+    """The rows of each key, without it; rows are sorted by their first column."""
     current, rows = None, []
     for batch in batches:
-        settled = batch.column(1).is_valid()
-        yield batch.select(names).filter(settled)
-        batch = batch.filter(pc.invert(settled)).drop_columns("doc_id")
-        for bucket, *entry in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if bucket != current and rows:
-                yield from emit(rows)
+        for key, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            if key != current and rows:
+                yield current, rows
                 rows = []
-            current = bucket
-            rows.append(entry)
+            current = key
+            rows.append(row)
     if rows:
-        yield from emit(rows)
+        yield current, rows
+
+
+def _answer(shards: int):
+    """Entries, sorted by bucket, to hits for shards of documents; one bucket at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, rows in _by_key(batches):
+            ids, rank, hashes = _reduce([row[1:] for row in rows if not row[0]])
+            own = [row[1:] for row in rows if row[0]]
+            if own:
+                found = _entries(own)
+                both = np.concatenate([ids, found[0]])
+                hashes = np.concatenate([hashes, found[2]])
+                rank = np.concatenate([rank, found[1] + len(ids)])
+                ids, again = np.unique(both, return_inverse=True)
+                rank = again[rank]
+            if len(hashes):
+                shard = mix(ids.astype(_U8)) % _U8(shards)
+                yield _rows(_by_bucket(ids, rank, hashes, shard[rank]))
+
+    return run
+
+
+def _collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Hits, sorted by shard, to one row per document; one shard is held at a time."""
+    for _, rows in _by_key(batches):
+        ids, rank, hashes = _entries([row[1:] for row in rows])
+        found, values = zip(*_by_document(ids, rank, hashes), strict=True)
+        for at in range(0, len(found), 4096):
+            arrays = [
+                pa.array(found[at : at + 4096], pa.int64()),
+                pa.array(values[at : at + 4096], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "found"])
 
 
 def _covered(hit: np.ndarray, size: int) -> np.ndarray:
@@ -176,14 +210,28 @@ def _covered(hit: np.ndarray, size: int) -> np.ndarray:
     return np.cumsum(steps)[: len(hit)] > 0
 
 
+def _shrink(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed for the shuffle; null stays null."""
+    packer = zstandard.ZstdCompressor(level=3)
+    for batch in batches:
+        texts = batch.column(1).cast(pa.large_binary())
+        packed = [None if t is None else packer.compress(t) for t in texts.to_pylist()]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(packed, pa.binary()), *batch.columns[2:]],
+            batch.schema.names,
+        )
+
+
 def _cut(size: int):
     """Batches of (row, text, hits) to (row, kept text, words, removed, intervals)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpack = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             found = batch.column(1).to_pylist()
             out: list[list] = [[], [], [], []]
-            for start, stop, words in batch_words(batch.column(0)):
+            texts = [t if t is None else unpack(t) for t in batch.column(0).to_pylist()]
+            for start, stop, words in batch_words(pa.array(texts, pa.large_binary())):
                 raw = words.data.tobytes()
                 ends = words.start + words.length
                 for row in range(start, stop):
@@ -192,7 +240,7 @@ def _cut(size: int):
                     if found[row]:
                         own = Words(words.data, words.start[a:b], words.length[a:b], None)
                         hashes = window_hashes(own.hashes(), size)
-                        hits = np.frombuffer(b"".join(found[row]), dtype=_U8)
+                        hits = np.frombuffer(found[row], dtype=_U8)
                         hit = np.zeros(b - a, dtype=bool)
                         hit[: len(hashes)] = np.isin(hashes, hits)
                         gone = _covered(hit, size)
@@ -234,13 +282,15 @@ def repeated_windows(
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     source = source.filter("doc_id is not null and text is not null")
     buckets = bucket_count(source, "text", bucket_bytes)
-    hits = (
+    return (
         source.mapInArrow(_send(size, buckets), _SENT)
         .repartition(buckets, "bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(_answer, _HITS)
+        .mapInArrow(_answer(buckets), _SENT)
+        .repartition(buckets, "bucket")
+        .sortWithinPartitions("bucket")
+        .mapInArrow(_collect, "doc_id bigint, found binary")
     )
-    return hits.groupBy("doc_id").agg(F.collect_list("hashes").alias("found"))
 
 
 def remove_repeated_windows(
@@ -270,10 +320,16 @@ def remove_repeated_windows(
         F.col(text_col).alias("_text"),
         F.struct(*others).alias("_row"),
     )
-    joined = rows.join(found.withColumnRenamed("doc_id", "_doc_id"), "_doc_id", "left")
+    row = rows.schema["_row"]
+    packed = rows.mapInArrow(
+        _shrink, T.StructType([rows.schema["_doc_id"], T.StructField("_text", T.BinaryType()), row])
+    )
+    joined = packed.join(found.withColumnRenamed("doc_id", "_doc_id"), "_doc_id", "left")
+    added = T.StructType.fromDDL(
+        "kept_text string, n_words bigint, n_removed bigint, "
+        "removed array<struct<start:bigint,end:bigint>>"
+    )
     cut = joined.select("_text", "found", "_row").mapInArrow(
-        _cut(size),
-        f"_row {rows.schema['_row'].dataType.simpleString()}, kept_text string, "
-        "n_words bigint, n_removed bigint, removed array<struct<start:bigint,end:bigint>>",
+        _cut(size), T.StructType([row, *added.fields])
     )
     return cut.select("_row.*", *made)

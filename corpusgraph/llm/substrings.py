@@ -257,9 +257,10 @@ def _cut(size: int):
             types = (pa.binary(), pa.int64(), pa.int64(), pa.list_(span))
             made = [pa.array(c, t) for c, t in zip(out, types, strict=True)]
             made[0] = made[0].cast(pa.string())
+            whole = pa.array(texts, pa.binary()).cast(pa.string())
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[2:], *made],
-                [*batch.schema.names[2:], "kept_text", "n_words", "n_removed", "removed"],
+                [*batch.columns[2:], whole, *made],
+                [*batch.schema.names[2:], "_text", "kept_text", "n_words", "n_removed", "removed"],
             )
 
     return run
@@ -313,7 +314,8 @@ def remove_repeated_windows(
     nothing. An empty table gives an empty table.
     """
     made = ("kept_text", "n_words", "n_removed", "removed")
-    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in made]
+    apart = (*made, text_col.lower())
+    others = [F.col(f"`{c}`") for c in docs.columns if c.lower() not in apart]
     found = repeated_windows(docs, id_col, text_col, size, bucket_bytes)
     rows = docs.select(
         F.col(id_col).cast("long").alias("_doc_id"),
@@ -326,10 +328,10 @@ def remove_repeated_windows(
     )
     joined = packed.join(found.withColumnRenamed("doc_id", "_doc_id"), "_doc_id", "left")
     added = T.StructType.fromDDL(
-        "kept_text string, n_words bigint, n_removed bigint, "
+        "_text string, kept_text string, n_words bigint, n_removed bigint, "
         "removed array<struct<start:bigint,end:bigint>>"
     )
     cut = joined.select("_text", "found", "_row").mapInArrow(
         _cut(size), T.StructType([row, *added.fields])
     )
-    return cut.select("_row.*", *made)
+    return cut.select("_row.*", F.col("_text").alias(text_col), *made)

@@ -9,9 +9,11 @@ ever padded and neighbours on the curve share sequences.
 
 from __future__ import annotations
 
+import base64
 import re
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusgraph.llm.words import Words, row_slices, split_words, text_bytes
 from corpusgraph.sources.scratch import materialize_measured
 
 SEQUENCE = 2048
@@ -27,36 +30,76 @@ DIMENSIONS = 3
 ORDER = 16  # bits of the curve per dimension
 BUCKETS = 4096  # of the hashed vector
 RANGE_TOKENS = 1 << 22
-CACHE_UNITS = 200_000
+CACHE_UNITS = 1 << 21
+SPREAD = 6.0  # brings mean directions to about unit size
 
-# White space of the tokenizer's pattern (Unicode White_Space).
-_WIDE = (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
-_SPACE = "".join(map(chr, (*range(9, 14), 32, 0x85, 0xA0, *_WIDE)))
-# The pattern never joins characters across these units, whatever stands around them.
-_UNIT = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]")
-_SPECIAL = "<|endoftext|>"
+# A text with one of these is encoded whole: white space beyond ASCII, the special token.
+_WIDE = (0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)
+_WHOLE = re.compile(b"|".join([*(chr(c).encode() for c in _WIDE), rb"<\|endoftext\|>"]))
+
+
+def segments(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and length of units that the tokenizer's pattern never joins, in order.
+
+    A unit is a word with one space before it; the white space before that is one unit
+    less its last character, which is a unit of its own unless it is the word's space;
+    white space at the end of a text is one unit. Texts that need it are one unit.
+    """
+    whole = np.zeros(len(bounds) - 1, dtype=bool)
+    for found in _WHOLE.finditer(data.tobytes()):
+        whole[np.searchsorted(bounds, found.start(), side="right") - 1] = True
+    words = split_words(data, bounds)
+    text = words.text_of_word()
+    ends = words.start + words.length
+    before = bounds[:-1][text]
+    if len(text):
+        same = np.flatnonzero(text[1:] == text[:-1]) + 1
+        before[same] = ends[same - 1]
+    gap = words.start - before
+    space = (gap > 0) & (words.data[words.start - 1] == 32)
+    last = bounds[:-1].copy()
+    filled = words.counts > 0
+    last[filled] = ends[words.first[1:][filled] - 1]
+    parts = [
+        (words.start - space, words.length + space, text),
+        (words.start - 1, ((gap > 0) & ~space).astype(np.int64), text),
+        (before, gap - 1, text),
+        (last, bounds[1:] - last, np.arange(len(whole))),
+    ]
+    start, length, text = (np.concatenate(c) for c in zip(*parts, strict=True))
+    kept = (length > 0) & ~whole[text]
+    start = np.concatenate([start[kept], bounds[:-1][whole]])
+    length = np.concatenate([length[kept], np.diff(bounds)[whole]])
+    order = np.argsort(start)
+    return start[order], length[order]
 
 
 class Encoder:
     """Ids of texts, remembering the ids of units that were seen before.
 
     ``ranks`` is a rank file of the same vocabulary as the tokenizer file; the ids are the
-    same and the library is faster. The memory is emptied when it is full.
+    same and the library is faster. A unit is remembered in the place that its hash
+    names, as long as that place is free, so memory is bounded.
     """
 
     def __init__(self, tokenizer: str, ranks: str | None = None):
-        self._known: dict[str, bytes] = {}
+        self._hash = np.zeros(CACHE_UNITS, dtype=np.uint64)
+        self._length = np.zeros(CACHE_UNITS, dtype=np.int32)
+        self._start = np.zeros(CACHE_UNITS, dtype=np.int64)
+        self._count = np.zeros(CACHE_UNITS, dtype=np.int64)
+        self._flat = np.zeros(1 << 20, dtype=np.uint32)
+        self._used = 0
         if ranks:
-            import base64
-
             import tiktoken
             from public_tokenizers import PATTERN
 
             with open(ranks, "rb") as lines:
                 table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-            special = {_SPECIAL: len(table)}
             coder = tiktoken.Encoding(
-                "ranks", pat_str=PATTERN, mergeable_ranks=table, special_tokens=special
+                "ranks",
+                pat_str=PATTERN,
+                mergeable_ranks=table,
+                special_tokens={"<|endoftext|>": len(table)},
             )
             self._encode = lambda text: coder.encode(text, allowed_special="all")
         else:
@@ -65,24 +108,59 @@ class Encoder:
             coder = Tokenizer.from_file(tokenizer)
             self._encode = lambda text: coder.encode(text, add_special_tokens=False).ids
 
-    def _whole(self, text: str) -> bytes:
-        return np.asarray(self._encode(text), dtype="<u4").tobytes()
-
-    def __call__(self, text: str) -> np.ndarray:
-        if _SPECIAL in text:
-            return np.frombuffer(self._whole(text), dtype="<u4")
-        known = self._known
-        if len(known) > CACHE_UNITS:
-            known.clear()
-        out = []
-        for unit in _UNIT.findall(text):
-            ids = known.get(unit)
-            if ids is None:
-                ids = self._whole(unit)
-                if len(unit) < 64:
-                    known[unit] = ids
-            out.append(ids)
-        return np.frombuffer(b"".join(out), dtype="<u4")
+    def _append(self, ids: list[int]) -> None:
+        end = self._used + len(ids)
+        if end > len(self._flat):
+            self._flat = np.concatenate([self._flat, np.zeros(end, dtype=np.uint32)])
+        self._flat[self._used : end] = ids
+        self._used = end
+
+    def __call__(self, data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in ``data``, and where each text's ids begin and end."""
+        start, length = segments(data, bounds)
+        padded = np.append(data, np.zeros(8, dtype=np.uint8))
+        hashes = Words(padded, start, length, start).hashes()
+        place = (hashes >> np.uint64(32)) % np.uint64(CACHE_UNITS)
+        hit = (self._hash[place] == hashes) & (self._length[place] == length)
+        first, count = self._start[place], self._count[place]
+        missed = np.flatnonzero(~hit)
+        _, one, again = np.unique(hashes[missed], return_index=True, return_inverse=True)
+        one = missed[one]
+        base, raw = self._used, data.tobytes()
+        made = np.zeros(len(one) + 1, dtype=np.int64)
+        for k, (a, n) in enumerate(zip(start[one].tolist(), length[one].tolist(), strict=True)):
+            self._append(self._encode(raw[a : a + n].decode()))
+            made[k + 1] = self._used - base
+        made += base
+        first[missed], count[missed] = made[:-1][again], np.diff(made)[again]
+        total = np.cumsum(count)
+        at = np.repeat(first - (total - count), count)
+        at += np.arange(len(at))
+        ids = self._flat[at]
+        cut = np.append(0, total)[np.searchsorted(start, bounds)]
+        self._remember(base, one, hashes, length, place, made)
+        return ids, cut
+
+    def _remember(self, base, one, hashes, length, place, made) -> None:
+        """Keep what found a free place, and drop the ids of the rest."""
+        free = np.flatnonzero((self._length[place[one]] == 0) & (length[one] < 64))
+        _, kept = np.unique(place[one[free]], return_index=True)
+        free = np.sort(free[kept])
+        sizes = np.diff(made)[free]
+        ids = [self._flat[made[k] : made[k + 1]] for k in free.tolist()]
+        spots = place[one[free]]
+        self._hash[spots], self._length[spots] = hashes[one[free]], length[one[free]]
+        self._start[spots] = base + np.cumsum(sizes) - sizes
+        self._count[spots] = sizes
+        ids = np.concatenate(ids) if ids else np.zeros(0, dtype=np.uint32)
+        self._flat[base : base + len(ids)] = ids
+        self._used = base + len(ids)
+
+
+@lru_cache(maxsize=1)
+def encoder(tokenizer: str, ranks: str | None) -> Encoder:
+    """One encoder per worker process, so later tasks profit from its memory."""
+    return Encoder(tokenizer, ranks)
 
 
 def hilbert_keys(points: np.ndarray, order: int = ORDER) -> np.ndarray:
@@ -122,38 +200,42 @@ def projection(dimensions: int = DIMENSIONS, buckets: int = BUCKETS) -> np.ndarr
     return made.astype(np.float32)
 
 
-def curve_key(ids: np.ndarray, directions: np.ndarray, order: int = ORDER) -> int:
-    """The curve key of one document's ids; no ids lie in the middle of the space."""
+def curve_keys(
+    ids: np.ndarray, cut: np.ndarray, directions: np.ndarray, order: int = ORDER
+) -> np.ndarray:
+    """Curve keys of documents: their mean direction, in cells of the unit cube."""
     buckets = (ids.astype(np.uint64) * np.uint64(0x9E3779B1) >> np.uint64(7)) % np.uint64(len(directions))
-    counts = np.bincount(buckets.astype(np.int64), minlength=len(directions))
-    weights = np.log1p(counts).astype(np.float32)
-    length = float(np.sqrt((weights**2).sum())) or 1.0
-    point = (weights @ directions) / length  # each coordinate about standard normal
-    cells = ((np.tanh(point / 2) + 1) / 2 * ((1 << order) - 1)).astype(np.int64)
-    return int(hilbert_keys(cells[None, :], order)[0])
+    sums = np.add.reduceat(directions[buckets], cut[:-1], axis=0, dtype=np.float64)
+    means = sums / np.diff(cut)[:, None] * SPREAD
+    cells = ((np.tanh(means) + 1) / 2 * ((1 << order) - 1)).astype(np.int64)
+    return hilbert_keys(cells, order)
 
 
 def _encode_batches(tokenizer: str, ranks: str | None, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, directions = Encoder(tokenizer, ranks), projection()
+        encode, directions = encoder(tokenizer, ranks), projection()
         for batch in batches:
-            texts = batch.column(1)
-            # Few rows at a time: ids of long texts would fill the memory of the JVM too.
-            for start in range(0, batch.num_rows, 256):
-                keys, blobs, sizes = [], [], []
-                for text in texts.slice(start, 256):
-                    ids = encoder(text.as_py() or "")
-                    ids = np.append(ids, np.uint32(end_id))
-                    narrow = "<u2" if ids.max() < 1 << 16 else "<u4"
-                    keys.append(curve_key(ids, directions))
-                    blobs.append(ids.astype(narrow).tobytes())
-                    sizes.append(len(ids))
+            data, bounds = text_bytes(batch.column(1))
+            for start, stop in row_slices(bounds):
+                part = data[bounds[start] : bounds[stop]]
+                plain, cut = encode(part, bounds[start : stop + 1] - bounds[start])
+                cut = cut + np.arange(len(cut))
+                ids = np.full(cut[-1], end_id, dtype=np.uint32)
+                inner = np.ones(len(ids), dtype=bool)
+                inner[cut[1:] - 1] = False
+                ids[inner] = plain
+                narrow = "<u2" if ids.max() < 1 << 16 else "<u4"
+                raw = ids.astype(narrow)
+                ends = pa.py_buffer((cut * raw.itemsize).astype(np.int32))
+                blobs = pa.Array.from_buffers(
+                    pa.binary(), stop - start, [None, ends, pa.py_buffer(raw)]
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(start, 256),
-                        pa.array(keys, pa.int64()),
-                        pa.array(sizes, pa.int64()),
-                        pa.array(blobs, pa.binary()),
+                        batch.column(0).slice(start, stop - start),
+                        pa.array(curve_keys(ids, cut, directions)),
+                        pa.array(np.diff(cut)),
+                        blobs,
                     ],
                     ["doc_id", "curve", "tokens", "ids"],
                 )

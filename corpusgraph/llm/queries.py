@@ -12,6 +12,31 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines removed per document, and a digest of the text that is left."""
+    from corpusgraph.llm.lines import remove_repeated_lines
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return remove_repeated_lines(docs).select(
+        "doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
+def op4_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark words and items per document."""
+    from corpusgraph.llm.contamination import contamination, is_contaminated
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return contamination(docs, _table(spark, sf, "benchmark")).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        is_contaminated().alias("contaminated"),
+    )
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Fingerprint and component of near-duplicates per document."""
     from corpusgraph.llm.simhash import near_duplicates
@@ -46,6 +71,13 @@ def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Counts and verdict per document."""
+    from corpusgraph.llm.quality import judge
+
+    return judge(_table(spark, sf, "documents").select("doc_id", "text", "lang", "source"))
+
+
 def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Words left per document after removing repeated windows of 13 words."""
     from corpusgraph.llm.substrings import remove_repeated_windows
@@ -57,9 +89,12 @@ def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
+    "op4_decontamination": op4_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
+    "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
 }
 

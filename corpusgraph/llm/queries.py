@@ -88,6 +88,18 @@ def op9_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
+    """Write all pages as an archive, read it back, and tell each page's record."""
+    from corpusgraph.llm.warc import read_archive, write_archive
+    from corpusgraph.sources.scratch import scratch_dir
+
+    folder = scratch_dir(spark, "warc")
+    write_archive(_table(spark, sf, "pages").select("page_id", "url", "html"), folder)
+    return read_archive(spark, folder, with_payload=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_decontamination": op4_decontamination,
@@ -96,6 +108,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
+    "op10_warc": op10_warc,
 }
 
 

@@ -44,6 +44,13 @@ def op3_simhash_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return near_duplicates(_table(spark, sf, "documents").select("doc_id", "text"))
 
 
+def op5_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    """Log probabilities of each document under the model and under counts alone."""
+    from corpusgraph.llm.language_model import score
+
+    return score(_table(spark, sf, "documents").select("doc_id", "text"))
+
+
 def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
     """Where the token ids of each document lie in sequences of 2,048."""
     import public_tokenizers
@@ -104,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_packing": op6_packing,
     "op7_sharding": op7_sharding,
     "op8_quality_rules": op8_quality_rules,

@@ -12,6 +12,34 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """Licence of each document, its own or inherited.
+
+    The table has no paths, so a document lies at source/language/thousand/hundred, and
+    the one whose id ends a hundred is the licence file of its directory, or of the
+    directory above where the id ends a thousand.
+    """
+    from corpusgraph.llm.licenses import scan_licenses
+
+    folder = F.concat_ws("/", "source", "lang", F.expr("doc_id div 1000"))
+    inner = F.concat_ws("/", folder, F.expr("doc_id div 100"))
+    doc = F.col("doc_id")
+    path = (
+        F.when(doc % 1000 == 999, F.concat_ws("/", folder, F.concat(F.lit("LICENSE-"), doc)))
+        .when(doc % 100 == 99, F.concat_ws("/", inner, F.concat(F.lit("LICENSE-"), doc)))
+        .otherwise(F.concat_ws("/", inner, F.concat(F.lit("file-"), doc)))
+    )
+    files = _table(spark, sf, "documents").select(path.alias("path"), "text")
+    found = scan_licenses(files)
+    number = lambda c: F.element_at(F.split(c, "-"), -1).cast("long")
+    return found.select(
+        number("path").alias("doc_id"),
+        "license",
+        F.round("similarity", 6).alias("similarity"),
+        number("declared_in").alias("declared_in"),
+    )
+
+
 def op2_line_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Lines removed per document, and a digest of the text that is left."""
     from corpusgraph.llm.lines import remove_repeated_lines
@@ -108,6 +136,7 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
     "op4_decontamination": op4_decontamination,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,

@@ -21,40 +21,35 @@ _KEY = ["hash", "other", "bytes"]
 
 
 def chunked(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
-    """``rows`` (…, text) with ``chunks``: arrays (text, lines), in order, null text none.
+    """``rows`` (…, text) with ``chunks``, in order; a null text has null.
 
-    Joined by line breaks, the chunks of a text are the text.
+    Every line carries a mark before it: ``b`` begins a chunk, ``c`` continues one. Equal
+    chunks are equal strings, and ``unmarked`` gives the lines back.
     """
     keep = [c for c in rows.columns if c != "text"]
     rows = rows.select(*keep, F.split("text", "\n", -1).alias("_lines"))
     rows = rows.select(*keep, "_lines", F.transform("_lines", lambda line: F.xxhash64(line)).alias("_hashes"))
-    # The hash of a line and the two before it: places before the first count as null.
-    nulls = F.expr("array(cast(null as bigint), cast(null as bigint))")
+    # Before a line stand the hashes of the three lines above it, or nulls.
+    nulls = F.expr("array_repeat(cast(null as bigint), 3)")
     rows = rows.select(*keep, "_lines", F.concat(nulls, "_hashes").alias("_padded"))
-    rolled = F.transform(
-        runs(F.col("_padded"), 3),
-        lambda run, at: F.when(F.pmod(F.xxhash64(run), F.lit(classes)) == 0, at + 1),
+    above = F.slice(runs(F.col("_padded"), 3), 1, F.size("_lines"))
+    begins = lambda run: run["2"].isNull() | (F.pmod(F.xxhash64(run), F.lit(classes)) == 0)
+    marked = F.zip_with(
+        "_lines", above, lambda line, run: F.concat(F.when(begins(run), "b").otherwise("c"), line)
     )
-    ends = F.array_union(F.array_compact(rolled), F.array(F.size("_lines")))
-    rows = rows.select(*keep, "_lines", ends.alias("_ends"))
-    begins = F.concat(F.array(F.lit(0)), F.slice("_ends", 1, F.size("_ends") - 1))
-    rows = rows.select(*keep, "_lines", F.arrays_zip(begins.alias("a"), F.col("_ends").alias("b")).alias("_cuts"))
-    size = lambda cut: cut["b"] - cut["a"]
-    chunk = F.transform(
-        "_cuts",
-        lambda cut: F.struct(
-            F.array_join(F.slice("_lines", cut["a"] + 1, size(cut)), "\n").alias("text"),
-            size(cut).alias("lines"),
-        ),
-    )
-    return rows.select(*keep, F.when(F.col("_lines").isNotNull(), chunk).alias("chunks"))
+    return rows.select(*keep, F.split(F.array_join(marked, "\n"), "\n(?=b)", -1).alias("chunks"))
+
+
+def unmarked(chunks: Column) -> Column:
+    """The text of some chunks."""
+    return F.regexp_replace(F.array_join(chunks, "\n"), r"(^|\n)[bc]", "$1")
 
 
 def _exploded(rows: DataFrame, classes: int) -> DataFrame:
-    """(doc_id, place, text, lines, key) of chunks of several lines that hold any word."""
-    chunks = chunked(rows, classes).select("doc_id", F.posexplode("chunks").alias("place", "c"))
-    chunks = chunks.select("doc_id", "place", "c.text", "c.lines").filter("lines > 1")
-    return chunks.filter(F.col("text").rlike(r"[^\x20\x09-\x0D]")).select(
+    """(doc_id, place, text, key) of chunks of several lines that hold any word."""
+    chunks = chunked(rows, classes).select("doc_id", F.posexplode("chunks").alias("place", "text"))
+    chunks = chunks.filter(F.col("text").contains("\n") & F.col("text").rlike(r"(^|\n)[bc][\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D]"))
+    return chunks.select(
         "*",
         F.xxhash64("text").alias("hash"),
         F.xxhash64(F.lit(1), "text").alias("other"),
@@ -102,14 +97,18 @@ def remove_repeated_lines(
     whole = whole.join(gone, F.col("_id") == F.col("_gone_id"), "left").select("_row", "_gone", "text")
     touched = whole.filter("_gone is not null and text is not null")
     cut = chunked(touched, classes)
-    kept = F.filter("chunks", lambda c, at: ~F.array_contains("_gone", at))
-    lines = F.aggregate("chunks", F.lit(0), lambda n, c: n + c["lines"])
-    left = F.aggregate("_kept", F.lit(0), lambda n, c: n + c["lines"])
-    cut = cut.select("_row", lines.alias("_all"), kept.alias("_kept")).select(
+    # Places of chunks to stay, and the chunks there: no scan of the places per chunk.
+    places = F.array_except(F.sequence(F.lit(0), F.size("chunks") - 1), F.col("_gone"))
+    cut = cut.select("_row", "chunks", places.alias("_places"))
+    kept = F.transform("_places", lambda at: F.get("chunks", at))
+    cut = cut.select("_row", "chunks", kept.alias("_kept"))
+    lines = F.size(F.split(F.array_join("chunks", "\n"), "\n", -1))
+    left = F.when(F.size("_kept") == 0, 0).otherwise(F.size(F.split(F.array_join("_kept", "\n"), "\n", -1)))
+    cut = cut.select(
         "_row",
-        F.array_join(F.transform("_kept", lambda c: c["text"]), "\n").alias(text_col),
-        F.col("_all").cast("long").alias("n_lines"),
-        (F.col("_all") - left).cast("long").alias("n_removed"),
+        unmarked(F.col("_kept")).alias(text_col),
+        lines.cast("long").alias("n_lines"),
+        (lines - left).cast("long").alias("n_removed"),
     )
     count = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
     plain = whole.filter("_gone is null or text is null").select(

@@ -72,8 +72,8 @@ def rebalance(
 ) -> SlotMap:
     """The next version: single slots move until no shard is far from the mean.
 
-    A slot leaves the largest shard for the smallest as long as that brings them closer,
-    and is the largest such slot, so few slots move. More ``shards`` than before start
+    A slot leaves the largest shard that it can for the smallest as long as that brings
+    them closer, and is the largest such slot, so few slots move. More ``shards`` than before start
     empty. Sizes that are near equal already leave the map as it is.
     """
     shards = shards or old.shards
@@ -83,19 +83,21 @@ def rebalance(
     totals = replace(old, shards=shards, size_of=tuple(sizes)).sizes()
     mean = sum(sizes) / shards
     while True:
-        most = max(range(shards), key=lambda s: (totals[s], -s))
         least = min(range(shards), key=lambda s: (totals[s], s))
-        gap = totals[most] - totals[least]
-        if gap <= tolerance * mean:
+        moves = []
+        # From the largest shard that has a slot small enough to bring the two closer.
+        for most in sorted(range(shards), key=lambda s: (-totals[s], s)):
+            gap = totals[most] - totals[least]
+            if gap <= tolerance * mean:
+                break
+            moves = [s for s, own in enumerate(shard_of) if own == most and 0 < 2 * sizes[s] <= gap]
+            if moves:
+                break
+        if not moves:
             break
-        fitting = [
-            s for s, shard in enumerate(shard_of) if shard == most and 0 < 2 * sizes[s] <= gap
-        ]
-        if not fitting:
-            break
-        slot = max(fitting, key=lambda s: (sizes[s], -s))
+        slot = max(moves, key=lambda s: (sizes[s], -s))
+        totals[shard_of[slot]] -= sizes[slot]
         shard_of[slot] = least
-        totals[most] -= sizes[slot]
         totals[least] += sizes[slot]
     return SlotMap(old.version + 1, shards, tuple(shard_of), tuple(sizes))
 

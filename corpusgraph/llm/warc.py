@@ -232,10 +232,17 @@ def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
 
 def parse_records(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
     """Headers and block of every record of a file of gzip members."""
-    while data:
-        unpack = zlib.decompressobj(31)
-        whole = unpack.decompress(data)
-        data = unpack.unused_data
+    at = 0
+    while at < len(data):
+        unpack, parts = zlib.decompressobj(31), []
+        while not unpack.eof:
+            part = data[at : at + (1 << 14)]
+            if not part:
+                raise ValueError("the file ends within a record")
+            parts.append(unpack.decompress(part))
+            at += len(part)
+        at -= len(unpack.unused_data)
+        whole = b"".join(parts)
         head, _, block = whole.partition(b"\r\n\r\n")
         lines = head.decode().split("\r\n")[1:]
         headers = dict(line.split(": ", 1) for line in lines)

@@ -14,11 +14,12 @@ def top_n(
     df: DataFrame, key: str, n: int, by: Column | None = None, descending: bool = False
 ) -> DataFrame:
     """The first ``n`` rows by ``by`` and then key, for an ``n`` too large to send n
-    whole rows from every task to one. Keys must be unique; NULLs come last.
+    whole rows from every task to one. NULLs of ``by`` come last; repeated and NULL
+    keys are rows like others, and of equal rows any is as good.
 
     Only key and order are ranked: first within buckets of a hash of the key, then
-    among the best of all buckets. The rows themselves are picked by a join with the
-    ``n`` keys, so they are neither sorted nor moved.
+    among the best of all buckets. The rows themselves are picked by a join with at
+    most ``n`` keys; where keys repeat, the first ``n`` of the picked rows stay.
     """
     buckets = 4 * df.sparkSession.sparkContext.defaultParallelism
     first = F.desc_nulls_last("_by") if descending else F.asc_nulls_last("_by")
@@ -27,7 +28,12 @@ def top_n(
     ranked = Window.partitionBy(bucket).orderBy(first, key)
     heads = narrow.withColumn("_place", F.row_number().over(ranked))
     best = heads.where(F.col("_place") <= n).orderBy(first, key).limit(n)
-    return df.join(F.broadcast(best.select(key)), key, "left_semi")
+    keys = best.select(F.col(key).alias("_key")).distinct()
+    picked = df.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
+    if by is None:
+        return picked.orderBy(key).limit(n)
+    order = by.desc_nulls_last() if descending else by.asc_nulls_last()
+    return picked.orderBy(order, key).limit(n)
 
 
 def seeded_sample(df: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:

@@ -27,7 +27,7 @@ def scratch_root(spark: SparkSession) -> str:
     if root:
         return root.rstrip("/")
     context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if context.master.startswith("local-cluster") or not context.master.startswith("local"):
         raise RuntimeError(f"set {_SETTING} to a folder that all executors share")
     if context.applicationId not in _local_roots:
         _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="corpusgraph-")

@@ -68,6 +68,8 @@ def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             matrix = to_matrix(batch.column("vec"))
+            if not np.isfinite(matrix).all():
+                raise ValueError("vectors must be finite")
             norms = np.linalg.norm(matrix, axis=1, keepdims=True)
             unit = _to_lists(matrix / np.where(norms == 0, 1.0, norms))
             yield pa.RecordBatch.from_arrays([batch.column("id"), unit], ["id", "vec"])
@@ -102,12 +104,16 @@ class VectorTable:
         return VectorTable(kept, found["n"], self.dim)
 
 
-def load_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
-    """Unit vectors of a frame, whose ids must be unique. Rows without a vector, and
-    zero vectors, are left out: they are similar to nothing."""
+def load_vectors(
+    df: DataFrame, id_col: str, vec_col: str, keep_zero: bool = False
+) -> VectorTable:
+    """Unit vectors of a frame, whose ids must be unique. Rows without a vector are left
+    out, and so are zero vectors, which are similar to nothing, unless ``keep_zero``.
+    Vectors with elements that are not finite are refused."""
+    used = F.size("vec") > 0 if keep_zero else F.exists("vec", lambda x: x != 0)
     plain = df.select(
         F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")
-    ).where(F.exists("vec", lambda x: x != 0))
+    ).where(used)
     schema = f"id {plain.schema['id'].dataType.simpleString()}, vec array<double>"
     rows, found = materialize_measured(
         plain.mapInArrow(_unit_rows, schema),

@@ -155,15 +155,20 @@ class Lake:
     ) -> WriteStats:
         """Set ``columns`` on every stored row whose keys match.
 
-        Several updates of one key leave the one that is last by ``order_by``.
-        The pick is an aggregate, so a key with many updates is reduced before
-        the shuffle, and the join keeps the stored table's rows where they are
-        when the updates are small.
+        Several updates of one key leave the one that is last by ``order_by``, NULL
+        first; of equal ones the last by the values as JSON. Without ``order_by``
+        several updates of one key are refused. The pick is an aggregate, so a key with
+        many updates is reduced before the shuffle, and the join keeps the stored
+        table's rows where they are when the updates are small.
         """
         self._check_writable()
-        newest = updates.groupBy(*keys).agg(
-            F.max_by(F.struct(*columns), order_by or F.lit(0)).alias("_new")
-        )
+        new = F.struct(*columns)
+        if order_by:
+            pick = F.max_by(new, F.struct(order_by, F.to_json(new)))
+        else:
+            complaint = F.lit(f"{name}: several updates of one key need an order")
+            pick = F.when(F.count(F.lit(1)) > 1, F.raise_error(complaint)).otherwise(F.first(new))
+        newest = updates.groupBy(*keys).agg(pick.alias("_new"))
         joined = self.read(name).join(newest, list(keys), "left")
         hit = F.col("_new").isNotNull()
         changed = joined.withColumns(
@@ -177,14 +182,21 @@ class Lake:
         """Copy a table from another namespace, replacing the one here.
 
         A limit of 0 or None copies everything. With a unique ``key`` a limit keeps the
-        first rows by it, else any rows.
+        first rows by it, else any rows. The copy is complete before the table here
+        changes: a failure leaves it as it was, and a table may be pulled onto itself.
+        With equal columns the change is one move of the location.
         """
         self._check_writable()
         rows = source.read(name)
         if limit:
             rows = top_n(rows, key, limit) if key else rows.limit(limit)
-        self.drop(name)
-        return self._create(rows, name).rows
+        stats = self._store(rows, name)
+        if self.exists(name) and self._same_form(name, rows.schema):
+            self._point(name, stats.path)
+        else:
+            self.drop(name)
+            self._register(name, rows.schema, stats.path)
+        return stats.rows
 
     def export(self, name: str, fmt: str, path: str) -> files.FileStats:
         return files.export(self.read(name), path, fmt)
@@ -240,6 +252,11 @@ class Lake:
         found = details.where("col_name = 'Location'").select("data_type").first()
         return found[0]
 
+    def _same_form(self, name: str, schema: T.StructType) -> bool:
+        """Whether a table has these columns and requires none of them."""
+        stored = self.read(name).schema.simpleString()
+        return stored == schema.simpleString() and not self._required(name)
+
     def _required(self, name: str) -> list[str]:
         listed = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(name)}")
         value = listed.where(F.col("key") == _REQUIRED).select("value").first()

@@ -200,3 +200,29 @@ def test_scratch_follows_the_session_and_is_local_only_in_local_runs(spark, monk
     cluster = type("Session", (), {"sparkContext": type("C", (), {"master": "yarn"})})
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch.scratch_root(cluster)
+
+
+def test_several_updates_of_a_key_need_an_order(spark, lake):
+    lake.write(spark.createDataFrame([("a", 1), ("b", 1)], "k string, v int"), "t")
+    updates = spark.createDataFrame([("a", 2), ("a", 3)], "k string, v int")
+    with pytest.raises(Exception, match="need an order"):
+        lake.update_by_key("t", updates, ["k"], ["v"])
+    assert rows(lake.read("t")) == [("a", 1), ("b", 1)]
+
+
+def test_failing_pull_leaves_the_table(spark):
+    places = [(f"{n}_{id(spark)}", scratch_dir(spark, n)) for n in ("near", "far")]
+    far = Lake(spark, *places[1])
+    far.write(spark.range(3), "numbers")
+    current = spark.catalog.currentDatabase()
+    here, there = attach(spark, *places)
+    try:
+        here.pull(there, "numbers")
+        there.read = lambda name: far.read(name).select(F.raise_error(F.lit("lost")).cast("long").alias("id"))
+        with pytest.raises(Exception, match="lost"):
+            here.pull(there, "numbers")
+        assert rows(here.read("numbers")) == [(0,), (1,), (2,)]
+        assert here.pull(here, "numbers", limit=2, key="id") == 2
+        assert rows(here.read("numbers")) == [(0,), (1,)]
+    finally:
+        spark.catalog.setCurrentDatabase(current)

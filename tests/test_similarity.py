@@ -275,3 +275,30 @@ def test_distribution_of_equal_vectors(spark):
     assert sampled.histogram()[0][3] == 10
     assert sampled.statistics()["std"] == 0
     assert sampled.box()["outliers"] == 0
+
+
+def test_distribution_counts_zero_vectors(spark):
+    matrix = np.array([[1.0, 0.0], [1.0, 1.0], [0.0, 0.0], [0.0, 1.0]])
+    pairs = distribution.sample_pairs(frame(spark, matrix), "id", ["v"])["v"]
+    values = np.array([np.sqrt(0.5), 0, 0, 0, np.sqrt(0.5), 0])
+    stats = pairs.statistics()
+    assert stats["num_pairs"] == 6
+    assert stats["mean"] == pytest.approx(values.mean(), abs=1e-8)
+    assert stats["median"] == 0
+    assert sum(row[3] for row in pairs.histogram()) == 6
+
+
+@pytest.mark.parametrize("rows", [0, 1])
+def test_distribution_without_pairs(spark, rows):
+    df = frame(spark, np.ones((1, 3))).limit(rows)
+    pairs = distribution.sample_pairs(df, "id", ["v"])["v"]
+    stats = pairs.statistics()
+    assert stats.pop("num_pairs") == 0
+    assert set(stats.values()) == {None}
+    assert pairs.histogram() == [] and pairs.cumulative() == []
+    assert pairs.box()["median"] is None and pairs.box()["outliers"] == 0
+
+
+def test_vectors_must_be_finite(spark):
+    with pytest.raises(Exception, match="vectors must be finite"):
+        blocks.load_vectors(frame(spark, np.array([[1.0, np.nan]])), "id", "v")

@@ -313,14 +313,12 @@ _NUMBERED = f"""plain as materialized ({_PLAIN_NODES}),
     numbered as materialized (select *, row_number() over (order by node_id) - 1 number
         from plain)"""
 
-_SAMPLED = """
-    sampled as materialized (select id from units
-        order by md5('42:P' || lpad(id::varchar, 9, '0')) limit 500),
+_COMPARED = """
     chosen as materialized (
-        select 'problem' side, id, unit::double[64] v from sampled join units using (id)
+        select 'problem' side, id, unit::double[64] v from units
         union all
-        select 'solution', u.id, unit::double[64]
-        from sampled x join units u on u.id = (select max(id) from units) - x.id),
+        select 'solution', u.id, u.unit::double[64]
+        from units x join units u on u.id = (select max(id) from units) - x.id),
     compared as materialized (
         select side, round(array_inner_product(a.v, b.v), 9) s
         from chosen a join chosen b using (side) where a.id < b.id)"""
@@ -514,7 +512,7 @@ CHECKS = {
             {sql_r6('quantile_cont(s, 0.5)')} median, {_means('50', '60', '70', '80')}
             from compared group by side""",
             "units",
-            ctes=_SAMPLED,
+            ctes=_COMPARED,
         ),
     ),
     "similarity_histogram": Check(
@@ -527,7 +525,7 @@ CHECKS = {
                     count(*) n from compared join ends using (side) group by all)
                 using (side, bin)""",
             "units",
-            ctes=f"{_SAMPLED}, ends as materialized (select side, min(s) low, max(s) high "
+            ctes=f"{_COMPARED}, ends as materialized (select side, min(s) low, max(s) high "
             "from compared group by side)",
         ),
     ),
@@ -539,7 +537,7 @@ CHECKS = {
                 pct_at_or_above
             from compared, (select unnest(range(100)) step) group by side, step""",
             "units",
-            ctes=_SAMPLED,
+            ctes=_COMPARED,
         ),
     ),
     "similarity_box": Check(
@@ -554,7 +552,7 @@ CHECKS = {
                 quantile_cont(s, 0.5) q2, quantile_cont(s, 0.75) q3
                 from compared group by side) using (side) group by side, q1, q2, q3""",
             "units",
-            ctes=_SAMPLED,
+            ctes=_COMPARED,
         ),
     ),
 }

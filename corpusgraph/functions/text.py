@@ -54,9 +54,10 @@ def char_count(text: Column) -> Column:
     return F.coalesce(F.length(text), F.lit(0))
 
 
-def truncate(text: Column, limit: int) -> Column:
-    """The first ``limit`` characters, '' for NULL: the input limit of a model."""
-    return F.coalesce(F.substring(text, 1, limit), F.lit(""))
+def truncate(text: Column, limit: int | None) -> Column:
+    """The first ``limit`` characters, all without a limit, and '' for NULL."""
+    kept = text if limit is None else F.substring(text, 1, limit)
+    return F.coalesce(kept, F.lit(""))
 
 
 def is_missing(text: Column) -> Column:

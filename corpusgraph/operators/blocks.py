@@ -1,7 +1,7 @@
 """Exact similarity joins over blocks of vectors.
 
-Every job here compares rows pair by pair, yet only ever emits a bounded number
-of rows per input row (the k best, or one flag), or the pairs above a threshold.
+Every job here compares rows pair by pair, yet only emits a bounded number of rows per
+input row (the k best, or one flag), or the pairs above a threshold, strip by strip.
 It is done in three steps:
 
 1. *Cells.* Each vector goes to the cell of its nearest pivot. It also visits a
@@ -63,18 +63,31 @@ def _to_lists(matrix: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(matrix.ravel()))
 
 
+def _finite(batch: pa.RecordBatch) -> np.ndarray:
+    matrix = to_matrix(batch.column("vec"))
+    if not np.isfinite(matrix).all():
+        raise ValueError("vectors must be finite")
+    return matrix
+
+
 def _unit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Scale every vector of a partition to length one."""
     for batch in batches:
         if batch.num_rows:
-            matrix = to_matrix(batch.column("vec"))
-            if not np.isfinite(matrix).all():
-                raise ValueError("vectors must be finite")
+            matrix = _finite(batch)
             norms = np.linalg.norm(matrix, axis=1, keepdims=True)
             unit = _to_lists(matrix / np.where(norms == 0, 1.0, norms))
             yield pa.RecordBatch.from_arrays([batch.column("id"), unit], ["id", "vec"])
 
 
+def _same_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Vectors of length one, bit by bit as they are."""
+    for batch in batches:
+        if batch.num_rows:
+            _finite(batch)
+            yield batch
+
+
 @dataclass(frozen=True)
 class VectorTable:
     """Stored unit vectors ``(id, vec)`` with their number and dimension."""
@@ -105,18 +118,23 @@ class VectorTable:
 
 
 def load_vectors(
-    df: DataFrame, id_col: str, vec_col: str, keep_zero: bool = False
+    df: DataFrame,
+    id_col: str,
+    vec_col: str,
+    keep_zero: bool = False,
+    unit: bool = False,
 ) -> VectorTable:
     """Unit vectors of a frame, whose ids must be unique. Rows without a vector are left
     out, and so are zero vectors, which are similar to nothing, unless ``keep_zero``.
-    Vectors with elements that are not finite are refused."""
+    Vectors with elements that are not finite are refused. ``unit`` says that the
+    vectors are of length one already and must not change."""
     used = F.size("vec") > 0 if keep_zero else F.exists("vec", lambda x: x != 0)
     plain = df.select(
         F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("vec")
     ).where(used)
     schema = f"id {plain.schema['id'].dataType.simpleString()}, vec array<double>"
     rows, found = materialize_measured(
-        plain.mapInArrow(_unit_rows, schema),
+        plain.mapInArrow(_same_rows if unit else _unit_rows, schema),
         "vectors",
         n=F.count(F.lit(1)),
         low=F.min(F.size("vec")),
@@ -275,7 +293,7 @@ def _in_cells(
 
 # Blocks and tiles
 
-PairReducer = Callable[["BlockPairs"], pa.Table]
+PairReducer = Callable[["BlockPairs"], Iterator[pa.Table]]
 
 
 @dataclass(frozen=True)
@@ -288,11 +306,16 @@ class Tiles:
     id_type: str
 
     def reduce_pairs(self, reducer: PairReducer, schema: str) -> DataFrame:
-        """Run ``reducer`` on the pairs of each tile; it emits rows of ``schema``."""
-        return self.reduce(lambda tile: reducer(BlockPairs(*split_tile(tile))), schema)
+        """Run ``reducer`` on the pairs of each tile; it yields rows of ``schema``."""
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in reducer(BlockPairs(*split_tile(pa.Table.from_batches(batches)))):
+                yield from part.to_batches()
+
+        return self.reduce(run, schema)
 
-    def reduce(self, reducer: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
-        """Run ``reducer`` on the rows of each tile."""
+    def reduce(self, reducer: Callable, schema: str) -> DataFrame:
+        """Run ``reducer`` on the rows of each tile, a table or its batches."""
         spread = self.rows.repartition(self.partitions, "cell", "ta", "tb")
         return spread.groupBy("cell", "ta", "tb").applyInArrow(reducer, schema)
 
@@ -450,7 +473,8 @@ def reduce_cross(
             near = sent.value
             far = (batch["id"].to_numpy(zero_copy_only=False), to_matrix(batch["vec"]))
             sides = (*near, *far) if base_is_small else (*far, *near)
-            yield from reducer(BlockPairs(*sides)).to_batches()
+            for part in reducer(BlockPairs(*sides)):
+                yield from part.to_batches()
 
     cores = context.defaultParallelism
     rows = large.rows

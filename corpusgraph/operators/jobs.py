@@ -22,8 +22,8 @@ from corpusgraph.functions.vectors import has_dimension
 from corpusgraph.operators.incremental import lacking_any
 from corpusgraph.operators.sampling import in_batches
 
-# Input limits, shortest accepted answer, rows per embedding call, and
-# the dimension of the embedding model.
+# Input limits that a caller may ask for, shortest accepted answer, rows
+# per embedding call, and the dimension of the embedding model.
 TITLE_LIMIT = 200
 ABSTRACT_LIMIT = 1000
 EMBED_LIMIT = 8000
@@ -94,8 +94,13 @@ def validate_extractions(df: DataFrame) -> DataFrame:
     )
 
 
-def extract_pairs(df: DataFrame, extractor: Extractor) -> DataFrame:
-    """Ask for problem and solution of each title and abstract.
+def extract_pairs(
+    df: DataFrame,
+    extractor: Extractor,
+    title_limit: int | None = None,
+    abstract_limit: int | None = None,
+) -> DataFrame:
+    """Ask for problem and solution of each title and abstract, whole without limits.
 
     The result has the input's columns plus ``problem``, ``solution``,
     ``generation_id``, ``processing_time_ms`` and ``reason``. Rows without any text
@@ -104,8 +109,8 @@ def extract_pairs(df: DataFrame, extractor: Extractor) -> DataFrame:
     inputs = df.withColumns(
         {
             "_missing": all_missing("title_text", "abstract_text"),
-            "_title": text.truncate(F.col("title_text"), TITLE_LIMIT),
-            "_abstract": text.truncate(F.col("abstract_text"), ABSTRACT_LIMIT),
+            "_title": text.truncate(F.col("title_text"), title_limit),
+            "_abstract": text.truncate(F.col("abstract_text"), abstract_limit),
         }
     )
     given = df.columns
@@ -153,11 +158,11 @@ def _answer(extractor: Extractor, title: str, abstract: str) -> tuple:
 # Embedding
 
 
-def model_inputs(df: DataFrame) -> DataFrame:
-    """Add the instruction texts of problem and solution."""
+def model_inputs(df: DataFrame, limit: int | None = None) -> DataFrame:
+    """Add the instruction texts of problem and solution, whole without a limit."""
 
     def query(task: str, column: str) -> Column:
-        return text.instruct(task, text.truncate(F.col(column), EMBED_LIMIT))
+        return text.instruct(task, text.truncate(F.col(column), limit))
 
     return df.withColumns(
         {
@@ -203,18 +208,19 @@ def embed_pairs(
     key: str = "publication_number",
     batch: int = EMBED_BATCH,
     dim: int = EMBEDDING_DIM,
+    limit: int | None = None,
 ) -> DataFrame:
     """Embed problem and solution of the rows that lack a vector.
 
     Each call gets the texts of ``batch`` rows in pairs; a call that fails or returns
     a wrong number of vectors rejects all of its rows, and a vector of a wrong
-    dimension rejects its row. Columns: key, ``problem_embedding``,
+    dimension rejects its row. ``limit`` cuts the texts. Columns: key, ``problem_embedding``,
     ``solution_embedding``, ``embedding_generation_id``, ``reason``.
     """
     todo = df
     if {"problem_embedding", "solution_embedding"} <= set(df.columns):
         todo = lacking_any(df, ["problem_embedding", "solution_embedding"])
-    inputs = model_inputs(todo).select(
+    inputs = model_inputs(todo, limit).select(
         key,
         all_missing("problem", "solution").alias("missing"),
         "problem_input",

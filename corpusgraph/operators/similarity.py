@@ -42,26 +42,101 @@ def similar_pairs(
     """
     groups = materialize(copy_groups(df, id_col, vec_col))
     vectors = load_vectors(groups, "id", "vec")
-    tiles = blocks.self_tiles(vectors, threshold, block_rows, pivots)
-    id_type = tiles.id_type
-
-    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        meeting = BlockPairs(*blocks.split_tile(pa.Table.from_batches(batches)))
-        for a, b, similarity in meeting.above(threshold):
-            ids = {
-                "low": meeting.ids[np.minimum(a, b)],
-                "high": meeting.ids[np.maximum(a, b)],
-            }
-            yield from blocks.result_table(id_type, ids, similarity).to_batches()
-
-    schema = f"low {id_type}, high {id_type}, similarity double"
-    result = tiles.reduce(pairs, schema)
+    found = all_lower(vectors, threshold, block_rows=block_rows, pivots=pivots)
+    result = found.withColumnsRenamed({"neighbour": "low", "id": "high"})
     for side in ("low", "high"):
         count = F.col("copies").alias(f"{side}_copies")
         result = result.join(groups.select(F.col("id").alias(side), count), side)
     return result.select("low", "high", "similarity", "low_copies", "high_copies")
 
 
+def _every(id_type: str, threshold: float, direction: str):
+    """A reducer to all pairs of two blocks, and its schema; directions as in ``_best``."""
+
+    def reducer(pairs: BlockPairs) -> Iterator[pa.Table]:
+        for a, b, s in pairs.above(threshold):
+            if direction == "higher":
+                owner, other = np.maximum(a, b), np.minimum(a, b)
+            else:
+                wanted = a < b if direction == "lower" else slice(None)
+                owner, other, s = b[wanted], a[wanted], s[wanted]
+            ids = {"id": pairs.ids[owner], "neighbour": pairs.ids[other]}
+            yield blocks.result_table(id_type, ids, s)
+
+    return reducer, f"id {id_type}, neighbour {id_type}, similarity double"
+
+
+def all_lower(vectors: VectorTable, threshold: float, **layout) -> DataFrame:
+    """Every pair of rows at or above the threshold: ``(id, neighbour, similarity)``,
+    where the neighbour is the lower id."""
+    tiles = blocks.self_tiles(vectors, threshold, **layout)
+    return tiles.reduce_pairs(*_every(tiles.id_type, threshold, "higher"))
+
+
+def all_in(
+    base: VectorTable,
+    queries: VectorTable,
+    threshold: float,
+    lower_only: bool = False,
+    **layout,
+) -> DataFrame:
+    """Every query's base rows at or above the threshold, columns as in ``all_lower``.
+
+    With ``lower_only`` a query only sees base rows with lower ids.
+    """
+    direction = "lower" if lower_only else "query"
+    reducer, schema = _every(queries.id_type, threshold, direction)
+    return blocks.reduce_cross(base, queries, threshold, reducer, schema, **layout)
+
+
+def first_copies(vectors: VectorTable, known: VectorTable | None = None) -> DataFrame:
+    """``(id, new, first)``: for each row the first one with an equal vector, that is
+    the lowest id, a known row before a new one.
+
+    Vectors are shuffled as 128 bits of hash. Two different vectors among n share them
+    with a chance of n * n / 2 ** 129.
+    """
+
+    def marked(table: VectorTable, new: bool) -> DataFrame:
+        halves = [F.xxhash64("vec").alias("m0"), F.xxhash64(F.lit(1), "vec").alias("m1")]
+        return table.rows.select("id", F.lit(new).alias("new"), *halves)
+
+    rows = marked(vectors, True)
+    if known is not None:
+        rows = rows.unionByName(marked(known, False))
+    least = F.min(F.struct("new", "id")).alias("least")
+    groups = rows.groupBy("m0", "m1").agg(least)
+    joined = rows.join(groups, ["m0", "m1"])
+    return joined.select("id", "new", F.col("least.id").alias("first"))
+
+
+def linked(
+    vectors: VectorTable, threshold: float, known: VectorTable | None = None
+) -> DataFrame:
+    """Every row's similar earlier rows: ``(id, neighbour, similarity)``.
+
+    Rows with equal vectors are a group. Its first row is linked to the first rows of
+    all similar groups, every other row to its first row alone, so that the result is
+    complete but does not grow with the square of a group of copies. ``known`` rows
+    are earlier than all others; links among them are left out.
+    """
+    groups = materialize(first_copies(vectors, known), "copies")
+    copies = groups.where(F.col("id") != F.col("first"))
+
+    def firsts(table: VectorTable, new: bool) -> VectorTable:
+        later = copies.where(F.col("new") == new).select("id")
+        return table.subset(table.rows.join(later, "id", "left_anti"))
+
+    leading = firsts(vectors, True)
+    found = all_lower(leading, threshold)
+    if known is not None:
+        found = found.unionByName(all_in(firsts(known, False), leading, threshold))
+    own = copies.where("new").select(
+        "id", F.col("first").alias("neighbour"), F.lit(1.0).alias("similarity")
+    )
+    return found.unionByName(own)
+
+
 def keep_best(partial: DataFrame, k: int) -> DataFrame:
     """The k best over all blocks; a row has at most k candidates per pair of blocks."""
     ranked = Window.partitionBy("id").orderBy(F.desc("similarity"), F.asc("neighbour"))
@@ -80,7 +155,7 @@ def _best(id_type: str, threshold: float, k: int, direction: str):
     with lower ids.
     """
 
-    def reducer(pairs: BlockPairs) -> pa.Table:
+    def reducer(pairs: BlockPairs) -> Iterator[pa.Table]:
         kept = Best(k, len(pairs.ids))
         for a, b, s in pairs.above(threshold):
             if direction == "both":
@@ -92,7 +167,7 @@ def _best(id_type: str, threshold: float, k: int, direction: str):
                 kept.add(b[wanted], a[wanted], s[wanted])
         owner, other, s = kept.result()
         ids = {"id": pairs.ids[owner], "neighbour": pairs.ids[other]}
-        return blocks.result_table(id_type, ids, s)
+        yield blocks.result_table(id_type, ids, s)
 
     return reducer, f"id {id_type}, neighbour {id_type}, similarity double"
 

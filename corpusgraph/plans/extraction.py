@@ -90,6 +90,8 @@ def run_extraction(
     prompt_version: str,
     limit: int | None = None,
     concurrency: int | None = None,
+    title_limit: int | None = None,
+    abstract_limit: int | None = None,
 ) -> RunReport:
     """Extract from the publications that this model and prompt have not done yet.
 
@@ -107,9 +109,10 @@ def run_extraction(
         limit=limit,
     )
     # Stored before it is counted and appended: a second read must not call the model.
-    asked = materialize(
-        jobs.extract_pairs(_spread(todo, concurrency), extractor), "answers"
+    answers = jobs.extract_pairs(
+        _spread(todo, concurrency), extractor, title_limit, abstract_limit
     )
+    asked = materialize(answers, "answers")
     good = asked.where(F.col("reason").isNull()).withColumns(
         {
             "model_name": F.lit(name),
@@ -138,15 +141,17 @@ def run_embedding(
     dim: int = jobs.EMBEDDING_DIM,
     limit: int | None = None,
     concurrency: int | None = None,
+    text_limit: int | None = None,
 ) -> RunReport:
     """Fill the vectors of all rows that lack one."""
     columns = ["problem_embedding", "solution_embedding"]
     todo = lacking_any(lake.read(table), columns).select(KEY, "problem", "solution")
     if limit:
         todo = top_n(todo, KEY, limit)
-    asked = materialize(
-        jobs.embed_pairs(_spread(todo, concurrency), embedder, KEY, batch, dim), "answers"
+    answers = jobs.embed_pairs(
+        _spread(todo, concurrency), embedder, KEY, batch, dim, text_limit
     )
+    asked = materialize(answers, "answers")
     good = asked.where(F.col("reason").isNull())
     lake.update_by_key(table, good, [KEY], [*columns, "embedding_generation_id"])
     return RunReport(asked.count(), good.count())

@@ -11,9 +11,8 @@ from corpusgraph.operators.incremental import pending
 from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources.lake import Lake, WriteStats
 
-# Country and number of the newest publications, and the CSV columns.
+# Country of the newest publications, and the CSV columns.
 COUNTRY = "US"
-NEWEST = 10_000
 CSV_COLUMNS = (
     "publication_number",
     "application_number",
@@ -50,9 +49,9 @@ def flatten(publications: DataFrame) -> DataFrame:
 
 
 def newest_publications(
-    publications: DataFrame, country: str = COUNTRY, n: int = NEWEST
+    publications: DataFrame, n: int, country: str = COUNTRY
 ) -> DataFrame:
-    """The newest publications of a country, ties by number.
+    """The ``n`` newest publications of a country, ties by number.
 
     Dates and numbers are ranked alone; nested columns are read for the rows kept.
     """

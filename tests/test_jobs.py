@@ -115,8 +115,10 @@ def test_extraction_keeps_failures_apart(spark):
         ],
         f"{KEY} string, title_text string, abstract_text string",
     )
+    cut = jobs.extract_pairs(df, model, jobs.TITLE_LIMIT, jobs.ABSTRACT_LIMIT)
+    assert cut.where(F.col(KEY) == "1").first()["problem"] == "200 1000 characters"
     found = {r[KEY]: r for r in jobs.extract_pairs(df, model).collect()}
-    assert found["1"]["problem"] == "200 1000 characters"
+    assert found["1"]["problem"] == "300 3000 characters"
     assert found["2"]["problem"] == "0 3 characters"
     assert found["3"]["reason"] == "failed: down"
     assert found["4"]["reason"] == "no generation id"

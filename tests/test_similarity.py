@@ -154,11 +154,11 @@ def test_row_functions(spark):
     assert tuple(found[2]) == (None, None, False)
 
 
-def one_at_a_time(sims, merge=0.9, link=0.8, k=10):
+def one_at_a_time(sims, merge=0.9, link=0.8):
     """Add the rows in order: merge with the best leader or become one."""
     leaders, members, links = [], {}, {}
     for t in range(len(sims)):
-        near = sorted((-sims[t, o], o) for o in leaders if sims[t, o] >= link)[:k]
+        near = sorted((-sims[t, o], o) for o in leaders if sims[t, o] >= link)
         own = near[0][1] if near and -near[0][0] >= merge else t
         members[t] = own
         for score, o in near:
@@ -175,10 +175,17 @@ def chained(n=240):
     return np.stack([np.cos(angle), np.sin(angle), np.arange(n) * 0.02], axis=1)
 
 
+def wheel(spokes=25):
+    """Rows far from each other, and a last one that is related to all of them."""
+    rows = np.c_[np.full(spokes, 0.85), np.eye(spokes) * 0.5268]
+    return np.vstack([rows, np.eye(spokes + 1)[0]])
+
+
 @pytest.mark.parametrize(
     ("matrix", "options"),
     [
         (families()[:-1], {}),
+        (wheel(), {}),
         (families(3)[:-1], {"block_rows": 60, "pivots": 8, "finish_rows": 10}),
         (chained(), {}),
         (chained(60), {"finish_rows": 1}),
@@ -302,3 +309,24 @@ def test_distribution_without_pairs(spark, rows):
 def test_vectors_must_be_finite(spark):
     with pytest.raises(Exception, match="vectors must be finite"):
         blocks.load_vectors(frame(spark, np.array([[1.0, np.nan]])), "id", "v")
+
+
+def test_links_are_complete_and_copies_hang_on_their_first(spark):
+    """More than 200 partners of a row, and equal vectors among them."""
+    angle = np.arange(260) * 0.003
+    matrix = np.stack([np.cos(angle), np.sin(angle)], axis=1)
+    matrix[[7, 90, 259]] = matrix[3]
+    vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
+    found = sim.linked(vectors, 0.6).collect()
+    firsts = [i for i in range(259) if i not in (7, 90)]
+    expected = {(b, a) for a in firsts for b in firsts if a < b}
+    expected |= {(i, 3) for i in (7, 90, 259)}
+    assert len(found) == len(expected)
+    assert {(r["id"], r["neighbour"]) for r in found} == expected
+
+    known = vectors.subset(vectors.rows.where("id >= 90"))
+    fresh = vectors.subset(vectors.rows.where("id < 90"))
+    later = {(r["id"], r["neighbour"]) for r in sim.linked(fresh, 0.6, known).collect()}
+    assert {(3, 90), (7, 90)} <= later
+    assert (3, 100) not in later and (2, 90) in later and (2, 259) not in later
+    assert len(later) == 2 + 88 * 87 // 2 + 88 * 169

@@ -97,19 +97,28 @@ def cleaned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def extractions(spark: SparkSession, sf: str) -> DataFrame:
-    """Extractions of the labelled documents; some have one vector or both."""
+    """Extractions of all documents, labelled or not; vectors are taken in turn, and some
+    rows lack one or both."""
     embeddings = table(spark, sf, "embeddings")
+    number = F.lit(embeddings.count())
     vector = F.col("embedding").cast("array<double>")
     problem = embeddings.select(
-        F.col("vec_id").alias("doc_id"), vector.alias("problem_embedding"), "label"
+        F.col("vec_id").alias("p_id"), vector.alias("problem_embedding"), "label"
     )
     solution = embeddings.select(
-        F.col("vec_id").alias("n_chars"), vector.alias("solution_embedding")
+        F.col("vec_id").alias("s_id"), vector.alias("solution_embedding")
+    )
+    labels = table(spark, sf, "labels")
+    documents = table(spark, sf, "documents").join(labels, "doc_id", "left")
+    numbered = documents.withColumns(
+        {
+            "p_id": F.when(F.col("doc_id") % 7 != 3, F.col("doc_id") % number),
+            "s_id": F.when(F.col("doc_id") % 11 != 2, F.col("n_chars") % number),
+        }
     )
-    labelled = table(spark, sf, "documents").join(table(spark, sf, "labels"), "doc_id")
     return (
-        labelled.join(problem, "doc_id", "left")
-        .join(solution, "n_chars", "left")
+        numbered.join(problem, "p_id", "left")
+        .join(solution, "s_id", "left")
         .select(
             _number().alias("publication_number"),
             _heading().alias("title_text"),
@@ -155,10 +164,10 @@ _METERED = (
 
 
 def generations(spark: SparkSession, sf: str) -> DataFrame:
-    """Metadata of model calls: all events but errors, whose metadata was not found."""
-    found = table(spark, sf, "events").where(F.col("event_type") != "error")
+    """Metadata of model calls, one per event; that of errors was not found."""
     key = F.concat(F.lit("gen-"), "event_id").alias("generation_id")
-    return _metered(found).select(key, *_METERED)
+    known = [F.when(F.col("event_type") != "error", F.col(c)).alias(c) for c in _METERED]
+    return _metered(table(spark, sf, "events")).select(key, *known)
 
 
 def batches(spark: SparkSession, sf: str) -> DataFrame:
@@ -196,17 +205,26 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
 
 def patents(spark: SparkSession, sf: str) -> DataFrame:
     """Embedded extractions, stored as a table: the vectors forwards as problems,
-    backwards as solutions, with the texts of the documents as far as they go."""
+    backwards as solutions, with the texts of all documents. Documents are dealt to the
+    vectors in turn; fewer documents than vectors are dealt again."""
     found = vectors(spark, sf)
-    last = table(spark, sf, "embeddings").count() * 4 - 1
+    number = table(spark, sf, "embeddings").count() * 4
     backwards = found.select(
-        (F.lit(last) - F.col("id")).alias("id"), F.col("emb").alias("solution_embedding")
+        (F.lit(number - 1) - F.col("id")).alias("id"),
+        F.col("emb").alias("solution_embedding"),
+    )
+    documents = table(spark, sf, "documents")
+    slots = min(number, documents.count())
+    # One or a few texts each: the ratio of the two tables.
+    dealt = F.array_sort(F.collect_list(F.struct("doc_id", "text")))
+    texts = documents.groupBy((F.col("doc_id") % number).alias("slot")).agg(
+        F.array_join(dealt["text"], "\n").alias("text")
     )
-    documents = table(spark, sf, "documents").withColumnRenamed("doc_id", "id")
     joined = (
         found.withColumnRenamed("emb", "problem_embedding")
         .join(backwards, "id")
-        .join(documents, "id", "left")
+        .withColumn("slot", F.col("id") % slots)
+        .join(texts, "slot", "left")
         .select(
             patent_number(F.col("id")).alias("publication_number"),
             _heading().alias("title_text"),
@@ -273,12 +291,15 @@ SQL = {
             split_part(text, chr(10), -1) solution,
             p.embedding problem_embedding, s.embedding solution_embedding,
             'emb-' || p.label embedding_generation_id
-        from documents join labels using (doc_id)
-        left join embeddings p on p.vec_id = doc_id
-        left join embeddings s on s.vec_id = n_chars""",
+        from (select *, (select count(*) from embeddings) number from documents)
+        left join labels using (doc_id)
+        left join embeddings p on doc_id % 7 <> 3 and p.vec_id = doc_id % number
+        left join embeddings s on doc_id % 11 <> 2 and s.vec_id = n_chars % number""",
     "generations": f"""
         select concat('gen-', event_id) generation_id, {_METERED_SQL}
-        from events where event_type <> 'error'""",
+        from events where event_type <> 'error'
+        union all select concat('gen-', event_id), null, null, null, null, null, null
+        from events where event_type = 'error'""",
     "batches": f"""
         select concat('emb-', event_id) generation_id, (user_id % 11)::int
             patents_in_batch, (user_id % 11 * 2)::int embeddings_in_batch, {_METERED_SQL}
@@ -297,7 +318,12 @@ SQL = {
         select 'P' || lpad(v.id::varchar, 9, '0') publication_number, v.id,
             split_part(text, chr(10), 1) title_text, text abstract_text, text problem,
             split_part(text, chr(10), -1) solution
-        from vectors v left join documents on doc_id = v.id""",
+        from vectors v left join (
+            select doc_id % (select count(*) from vectors) slot,
+                string_agg(text, chr(10) order by doc_id) as text
+            from documents group by 1) d
+        on d.slot = v.id % least((select count(*) from vectors),
+            (select count(*) from documents))""",
     "pairs": """
         select a.id i, b.id j, round(array_inner_product(a.unit::double[64],
             b.unit::double[64]), 9) s
@@ -307,6 +333,11 @@ SQL = {
     "backwards": """
         select last - j i, last - i j, s
         from pairs, (select max(id) last from units)""",
+    "firsts": """
+        select id, min(id) over (partition by emb) as first from vectors""",
+    "backfirsts": """
+        select last - id id, min(last - id) over (partition by emb) as first
+        from vectors, (select max(id) last from vectors)""",
 }
 
 _USES = {
@@ -314,6 +345,8 @@ _USES = {
     "patents": ["vectors"],
     "pairs": ["vectors", "units"],
     "backwards": ["vectors", "units", "pairs"],
+    "firsts": ["vectors"],
+    "backfirsts": ["vectors"],
 }
 
 

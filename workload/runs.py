@@ -62,7 +62,8 @@ def pending_extractions(spark: SparkSession, sf: str) -> DataFrame:
 
 def pending_generations(spark: SparkSession, sf: str) -> DataFrame:
     return extraction.unfetched_generations(
-        inputs.extractions(spark, sf), inputs.generations(spark, sf)
+        inputs.extractions(spark, sf),
+        inputs.generations(spark, sf).where(F.col("fetched_at").isNotNull()),
     )
 
 
@@ -187,8 +188,8 @@ def fetch_generations(spark: SparkSession, sf: str) -> DataFrame:
 def resume_two_runs(spark: SparkSession, sf: str) -> DataFrame:
     """A run that stops early and a second one leave what a single run leaves."""
     lake = _lake(spark)
-    lake.write(inputs.cleaned(spark, sf), "cleaned")
-    for limit in (735, None):
+    given = lake.write(inputs.cleaned(spark, sf), "cleaned").rows
+    for limit in (given // 2, None):
         extraction.run_extraction(
             lake, "cleaned", "extractions", extractor, ("p", "m"), "v_a", limit
         )
@@ -208,7 +209,7 @@ def resume_two_runs(spark: SparkSession, sf: str) -> DataFrame:
 # Comparison SQL
 
 _INPUTS = [
-    f"'Instruct: {task}' || chr(10) || 'Query: ' || substr({column}, 1, 8000)"
+    f"'Instruct: {task}' || chr(10) || 'Query: ' || {column}"
     for task, column in (
         (jobs.text.PROBLEM_TASK, "problem"),
         (jobs.text.SOLUTION_TASK, "solution"),
@@ -229,12 +230,10 @@ _ANSWERS = rf"""answers as materialized (select *, case when generation_id is nu
         'no generation id' when length(problem) < 10 or length(solution) < 10 then
         'too short' end reason
     from (select publication_number, title_text,
-        regexp_replace(substr(title_text, 1, 200), {_STRIP}) problem,
-        regexp_replace(split_part(substr(abstract_text, 1, 1000), chr(10), -1), {_STRIP})
-            solution,
-        case when length(substr(title_text, 1, 200)) <> length(substr(abstract_text, 1,
-            1000)) then concat('gen-', length(substr(abstract_text, 1, 1000))) end
-            generation_id
+        regexp_replace(title_text, {_STRIP}) problem,
+        regexp_replace(split_part(abstract_text, chr(10), -1), {_STRIP}) solution,
+        case when length(title_text) <> length(abstract_text)
+            then concat('gen-', length(abstract_text)) end generation_id
         from cleaned))"""
 _SIZES = (
     f"sized as materialized (select *, {_INPUTS[0]} pi, {_INPUTS[1]} si from extractions)"
@@ -255,7 +254,8 @@ CHECKS = {
         pending_generations,
         with_views(
             """select generation_id, publication_number from extractions
-            where generation_id not in (select generation_id from generations)""",
+            where generation_id not in (select generation_id from generations
+                where fetched_at is not null)""",
             "extractions",
             "generations",
         ),

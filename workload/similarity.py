@@ -247,7 +247,7 @@ def _leader_ctes(name: str, pairs: str) -> str:
     {name}_links as materialized (select leader src, neighbour dst,
         arg_max(s, r.id) similarity
         from {name}_ranked r join {name}_members m on m.id = r.id
-        where r.place <= 10 and s < 0.9 and leader <> neighbour group by 1, 2)"""
+        where s < 0.9 and leader <> neighbour group by 1, 2)"""
 
 
 _FORWARD = _leader_ctes("p", "pairs")
@@ -282,11 +282,13 @@ _CLUSTERED = _weighted(
 )
 
 
-def _dense(label: str, pairs: str) -> str:
+def _dense(label: str, pairs: str, firsts: str) -> str:
     return f"""select {_node(label, 'i')} src, {_node(label, 'j')} dst,
         'SIMILAR_{label.upper()}' as type, s similarity
-        from (select *, row_number() over (partition by j order by s desc, i) place
-            from {pairs} where s >= 0.6) where place <= 199"""
+        from {pairs} join {firsts} a on a.id = i join {firsts} b on b.id = j
+        where s >= 0.6 and a.first = i and b.first = j
+        union all select {_node(label, 'first')}, {_node(label, 'id')},
+            'SIMILAR_{label.upper()}', 1.0 from {firsts} where first <> id"""
 
 
 _DENSE = f"""
@@ -296,9 +298,9 @@ _DENSE = f"""
         null from vectors
     union all select {_node('Solution', 'id')}, {_node('Problem', 'id')}, 'SOLVES', null
         from vectors
-    union all {_dense('Problem', 'pairs')}
-    union all {_dense('Solution', 'backwards')}"""
-_DENSE_VIEWS = ("vectors", "pairs", "backwards")
+    union all {_dense('Problem', 'pairs', 'firsts')}
+    union all {_dense('Solution', 'backwards', 'backfirsts')}"""
+_DENSE_VIEWS = ("vectors", "pairs", "backwards", "firsts", "backfirsts")
 
 _PLAIN_NODES = """
     select 'Patent:' || publication_number node_id, 'Patent' as label, publication_number,
@@ -449,11 +451,16 @@ CHECKS = {
         with_views(_CLUSTERED, "backwards", ctes=_BOTH, recursive=True),
     ),
     "dense_problem_edges": Check(
-        dense_problem_edges, with_views(_weighted(_dense("Problem", "pairs")), "pairs")
+        dense_problem_edges,
+        with_views(_weighted(_dense("Problem", "pairs", "firsts")), "pairs", "firsts"),
     ),
     "dense_solution_edges": Check(
         dense_solution_edges,
-        with_views(_weighted(_dense("Solution", "backwards")), "backwards"),
+        with_views(
+            _weighted(_dense("Solution", "backwards", "backfirsts")),
+            "backwards",
+            "backfirsts",
+        ),
     ),
     "dense_incremental": Check(
         dense_incremental, with_views(_weighted(_DENSE), *_DENSE_VIEWS)

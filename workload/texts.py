@@ -41,7 +41,7 @@ def stamp_fetched_at(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def newest_publications(spark: SparkSession, sf: str) -> DataFrame:
-    newest = pubs.newest_publications(inputs.publications(spark, sf))
+    newest = pubs.newest_publications(inputs.publications(spark, sf), n=100)
     return newest.withColumn("assignee", F.array_join("assignee", ","))
 
 
@@ -64,14 +64,24 @@ def date_range(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def model_inputs(spark: SparkSession, sf: str) -> DataFrame:
-    rows = inputs.extractions(spark, sf)
-    limited = rows.withColumns(
+    """Whole texts as a model gets them."""
+    return _inputs(spark, sf, None, None, None)
+
+
+def truncated_inputs(spark: SparkSession, sf: str) -> DataFrame:
+    """The same at a model's input limits."""
+    limits = (jobs.TITLE_LIMIT, jobs.ABSTRACT_LIMIT, jobs.EMBED_LIMIT)
+    return _inputs(spark, sf, *limits)
+
+
+def _inputs(spark: SparkSession, sf: str, title, abstract, pair) -> DataFrame:
+    rows = inputs.extractions(spark, sf).withColumns(
         {
-            "title_input": text.truncate(F.col("title_text"), jobs.TITLE_LIMIT),
-            "abstract_input": text.truncate(F.col("abstract_text"), jobs.ABSTRACT_LIMIT),
+            "title_input": text.truncate(F.col("title_text"), title),
+            "abstract_input": text.truncate(F.col("abstract_text"), abstract),
         }
     )
-    return jobs.model_inputs(limited).select(
+    return jobs.model_inputs(rows, pair).select(
         "publication_number",
         "title_input",
         "abstract_input",
@@ -203,9 +213,10 @@ _NULLABLE = (
 _SHOWN = """generation_id, substr(generation_id, 1, 16) || '...' short_id,
     case when coalesce(provider_name, '') = '' then 'Unknown' else provider_name end
         provider,
-    printf('$%.6f', total_cost) as cost,
-    tokens_prompt || '+' || tokens_completion tokens,
-    printf('%.0fms', round_even(latency, 0)) latency"""
+    coalesce(printf('$%.6f', total_cost), 'N/A') as cost,
+    coalesce(tokens_prompt::varchar, 'None') || '+'
+        || coalesce(tokens_completion::varchar, 'None') tokens,
+    coalesce(printf('%.0fms', round_even(latency, 0)), 'N/A') latency"""
 
 
 def _short(column: str, limit: int) -> str:
@@ -263,7 +274,7 @@ CHECKS = {
         newest_publications,
         with_views(
             f"""select {_FLAT} from publications where country_code = 'US'
-            order by publication_date desc, publication_number limit 10000""",
+            order by publication_date desc, publication_number limit 100""",
             "publications",
         ),
     ),
@@ -305,6 +316,17 @@ CHECKS = {
     ),
     "model_inputs": Check(
         model_inputs,
+        with_views(
+            f"""select publication_number, coalesce(title_text, '') title_input,
+            coalesce(abstract_text, '') abstract_input,
+            '{_PROBLEM}' || chr(10) || 'Query: ' || problem problem_input,
+            '{_SOLUTION}' || chr(10) || 'Query: ' || solution solution_input
+            from extractions""",
+            "extractions",
+        ),
+    ),
+    "truncated_inputs": Check(
+        truncated_inputs,
         with_views(
             f"""select publication_number,
             substr(coalesce(title_text, ''), 1, 200) title_input,

@@ -1,14 +1,20 @@
 """Removal of repeated groups of lines.
 
-A rolling hash over the hashes of three neighbouring lines ends a chunk wherever it falls
-into one of four classes, so boundaries depend on the lines around them alone and move
-with the text. Chunks of several lines are counted by 128 bits of hash and their length;
-those that occur again are fetched, compared byte for byte with the first occurrence, and
-removed. The first occurrence is that with the smallest id, then the smallest place.
+A window of two neighbouring lines rolls over every text, so every repeated passage of two
+lines or more is found wherever it begins and ends. Windows are counted by the hashes of
+their lines, 128 bits; a window that stood earlier goes. Lines of equal hash are compared
+byte for byte, and windows of lines that only share a hash are told apart by their text.
+The first occurrence is that with the smallest id, then the smallest place.
+
+With ``classes`` the units are content-defined chunks instead: a rolling hash over three
+neighbouring lines ends a chunk wherever it falls into one of so many classes, and only
+whole chunks go.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -18,6 +24,9 @@ from corpusgraph.sources.scratch import materialize, materialize_measured
 CLASSES = 4  # one boundary in so many lines
 BROADCAST_ROWS = 1 << 18  # keys of repeated chunks, 40 bytes each: 10 MB
 _KEY = ["hash", "other", "bytes"]
+_WINDOW = ["a", "b"]
+# A unit is a line with a word and the blank lines after it.
+_NEXT_UNIT = r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])"
 
 
 def chunked(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
@@ -73,27 +82,122 @@ def repeated_chunks(rows: DataFrame, classes: int = CLASSES) -> DataFrame:
     return again.filter(F.col("text") == F.col("first_text")).select("doc_id", "place").distinct()
 
 
-def remove_repeated_lines(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    classes: int = CLASSES,
-) -> DataFrame:
-    """Every row with its text less repeated chunks, and ``n_lines``, ``n_removed``.
+def _units(text: str) -> Column:
+    return F.split(text, _NEXT_UNIT, -1)
+
+
+def _first_line(unit: Column) -> Column:
+    return F.substring_index(unit, "\n", 1)
+
 
-    Only chunks of two lines or more are removed, and only where the same bytes occur in
-    a row with a smaller id or earlier in the text. The columns ``n_lines`` (of the text)
-    and ``n_removed`` (lines removed) replace columns of these names; all others stay.
+def _windows(rows: DataFrame, hashed: Callable[[Column], Column]) -> DataFrame:
+    """(doc_id, tag, place, a, b) of ``rows`` (doc_id, tag, text): each unit and the next line.
 
-    A null text stays null, with no lines; an empty text is one empty line; chunks of
-    blank lines stay. Of rows that share an id and a text, each keeps and loses the same
-    chunks. Rows without id are left alone and remove nothing. A text may become empty.
+    Blank lines before the first word of a text are no part of a window.
     """
+    rows = rows.select("doc_id", "tag", _units("text").alias("_units")).filter(F.size("_units") > 1)
+    rows = rows.select(
+        "doc_id",
+        "tag",
+        F.get("_units", F.lit(0)).rlike(r"[^\x20\x09-\x0D]").alias("_led"),
+        F.slice(F.transform("_units", lambda u: hashed(u)), 1, F.size("_units") - 1).alias("a"),
+        F.slice(F.transform("_units", lambda u: hashed(_first_line(u))), 2, F.size("_units") - 1).alias("b"),
+    )
+    rows = rows.select("doc_id", "tag", "_led", F.posexplode(F.arrays_zip("a", "b")).alias("place", "_w"))
+    return rows.filter("_led or place > 0").select("doc_id", "tag", "place", "_w.a", "_w.b")
+
+
+def _small(table: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(table) if rows <= BROADCAST_ROWS else table
+
+
+def repeated_windows(rows: DataFrame, hashed: Callable[[Column], Column] = F.xxhash64) -> DataFrame:
+    """(doc_id, tag, place) of every window of ``rows`` (doc_id, tag, text) that stood earlier."""
+    rows = rows.filter("doc_id is not null and text is not null")
+    windows = _windows(rows, hashed)
+    keys = windows.groupBy(*_WINDOW).agg(F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("first_id"))
+    keys = keys.filter("n > 1").drop("n")
+    keys, seen = materialize_measured(keys, "repeated-windows", rows=F.count(F.lit(1)))
+    found = materialize(windows.join(_small(keys, seen["rows"]), _WINDOW), "window-occurrences")
+    # Within the first row a window goes from its second place on.
+    inside = found.filter("doc_id = first_id")
+    twice = inside.groupBy(*_WINDOW).agg(F.min("place").alias("least"), F.max("place").alias("most"))
+    inside = inside.join(twice.filter("least < most"), _WINDOW).filter("place > least")
+    again = found.filter("doc_id > first_id").unionByName(inside.select(*found.columns))
+
+    places = found.groupBy("doc_id", "tag").agg(F.sort_array(F.collect_set("place")).alias("places"))
+    texts = rows.join(places, ["doc_id", "tag"]).select("doc_id", "tag", "places", _units("text").alias("_units"))
+    spelled = F.transform("places", lambda at: F.array(F.get("_units", at), _first_line(F.get("_units", at + 1))))
+    lines = texts.select(F.explode(F.flatten(spelled)).alias("line"))
+    clashes = lines.distinct().groupBy(hashed(F.col("line")).alias("hash")).agg(F.count(F.lit(1)).alias("n"))
+    clashes, seen = materialize_measured(clashes.filter("n > 1").select("hash"), "line-clashes", rows=F.count(F.lit(1)))
+    if seen["rows"]:
+        clashes = _small(clashes, seen["rows"])
+        doubtful = keys.join(clashes, F.col("a") == F.col("hash"), "left_semi").unionByName(
+            keys.join(clashes, F.col("b") == F.col("hash"), "left_semi")
+        )
+        doubtful = materialize(doubtful.select(*_WINDOW).distinct(), "windows-in-doubt")
+        again = again.join(doubtful, _WINDOW, "left_anti").select("doc_id", "tag", "place")
+        again = again.unionByName(_told_apart(found.join(doubtful, _WINDOW, "left_semi"), texts.drop("places")))
+    return again.select("doc_id", "tag", "place").distinct()
+
+
+def _told_apart(found: DataFrame, texts: DataFrame) -> DataFrame:
+    """The places of ``found`` whose window stood earlier, by its text."""
+    pair = F.struct(F.get("_units", F.col("place")), _first_line(F.get("_units", F.col("place") + 1)))
+    spelled = found.select("doc_id", "tag", "place").distinct().join(texts, ["doc_id", "tag"])
+    spelled = materialize(spelled.select("doc_id", "tag", "place", pair.alias("pair")).distinct(), "windows-spelled")
+    first = spelled.groupBy("pair").agg(F.min(F.struct("doc_id", "place")).alias("first"))
+    later = F.struct("doc_id", "place") > F.col("first")
+    return spelled.join(first, "pair").filter(later).select("doc_id", "tag", "place")
+
+
+def _without_windows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """(_row, text, n_lines, n_removed) of rows that lose lines, and (_row, text) of the others."""
+    tag = F.xxhash64(F.col("text")).alias("tag")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).select("doc_id", tag, "text")
+    gone = repeated_windows(rows).groupBy(F.col("doc_id").alias("_gone_id"), F.col("tag").alias("_gone_tag"))
+    gone = gone.agg(F.collect_list("place").alias("_gone"))
+    whole = _with_row(docs, id_col, text_col).withColumn("_tag", F.xxhash64("text"))
+    same = (F.col("_id") == F.col("_gone_id")) & (F.col("_tag") == F.col("_gone_tag"))
+    whole = whole.join(gone, same, "left").select("_row", "_gone", "text")
+    cut = whole.filter("_gone is not null").select("_row", "_gone", "text", _units("text").alias("_units"))
+    # A window is its unit and the next one.
+    left = F.array_except(
+        F.sequence(F.lit(0), F.size("_units") - 1),
+        F.concat("_gone", F.transform("_gone", lambda at: at + 1)),
+    )
+    cut = cut.select("_row", "text", "_units", left.alias("_places"))
+    cut = cut.select("_row", "text", F.transform("_places", lambda at: F.get("_units", at)).alias("_kept"))
+    kept = F.array_join("_kept", "\n")
+    cut = cut.select("_row", "text", F.size("_kept").alias("_n"), kept.alias("_kept"))
+    lines = lambda c: F.size(F.split(c, "\n", -1))
+    stay = F.when(F.col("_n") == 0, 0).otherwise(lines("_kept"))
+    cut = cut.select(
+        "_row",
+        F.col("_kept").alias(text_col),
+        lines("text").cast("long").alias("n_lines"),
+        (lines("text") - stay).cast("long").alias("n_removed"),
+    )
+    return cut, whole.filter("_gone is null").select("_row", "text")
+
+
+def _with_row(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(_row, _id, text): all columns but the text, less earlier counts."""
+    row = [F.col(f"`{c}`") for c in _names(docs) if c != text_col]
+    return docs.select(F.struct(*row).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+
+
+def _names(docs: DataFrame) -> list[str]:
+    return [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
+
+
+def _without_chunks(docs: DataFrame, id_col: str, text_col: str, classes: int) -> tuple[DataFrame, DataFrame]:
+    """As ``_without_windows``, with chunks."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     gone = repeated_chunks(rows, classes).groupBy(F.col("doc_id").alias("_gone_id"))
     gone = gone.agg(F.collect_list("place").alias("_gone"))
-    names = [c for c in docs.columns if c.lower() not in ("n_lines", "n_removed")]
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c != text_col]).alias("_row"), F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
+    whole = _with_row(docs, id_col, text_col)
     whole = whole.join(gone, F.col("_id") == F.col("_gone_id"), "left").select("_row", "_gone", "text")
     touched = whole.filter("_gone is not null and text is not null")
     cut = chunked(touched, classes)
@@ -110,13 +214,39 @@ def remove_repeated_lines(
         lines.cast("long").alias("n_lines"),
         (lines - left).cast("long").alias("n_removed"),
     )
+    return cut, whole.filter("_gone is null or text is null").select("_row", "text")
+
+
+def remove_repeated_lines(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    classes: int | None = None,
+) -> DataFrame:
+    """Every row with its text less repeated lines, and ``n_lines``, ``n_removed``.
+
+    A line with a word goes where it and the next such line, or it and the one before,
+    stand with the same bytes from the one to the other in a row with a smaller id or
+    earlier in the text. Blank lines go with the line above them. With ``classes`` whole
+    chunks go instead. The columns ``n_lines`` (of the text) and ``n_removed`` (lines
+    removed) replace columns of these names; all others stay.
+
+    A null text stays null, with no lines; an empty text is one empty line; a line alone
+    and blank lines before the first word stay. Of rows that share an id and a text, each
+    keeps and loses the same lines. Rows without id are left alone and remove nothing. A
+    text may become empty.
+    """
+    if classes is None:
+        cut, plain = _without_windows(docs, id_col, text_col)
+    else:
+        cut, plain = _without_chunks(docs, id_col, text_col, classes)
     count = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
-    plain = whole.filter("_gone is null or text is null").select(
+    plain = plain.select(
         "_row",
         F.col("text").alias(text_col),
         F.when(F.col("text").isNull(), 0).otherwise(count).cast("long").alias("n_lines"),
         F.lit(0).cast("long").alias("n_removed"),
     )
     both = cut.unionByName(plain)
-    columns: list[Column] = [F.col(f"`{c}`") if c == text_col else F.col(f"_row.`{c}`") for c in names]
+    columns: list[Column] = [F.col(f"`{c}`") if c == text_col else F.col(f"_row.`{c}`") for c in _names(docs)]
     return both.select(*columns, "n_lines", "n_removed")

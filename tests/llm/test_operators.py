@@ -139,6 +139,65 @@ def test_line_chunks(docs, empty):
     assert remove_repeated_lines(empty).count() == 0
 
 
+def without_windows(rows):
+    """Text less repeated windows of two lines, by id; rows (id, text) in order of id."""
+    seen, out = set(), {}
+    for i, text in rows:
+        units = re.split(r"\n(?=[\x20\x09\x0B-\x0D]*[^\x20\x09-\x0D])", text)
+        gone = set()
+        for k in range(len(units) - 1):
+            window = units[k], units[k + 1].split("\n")[0]
+            if WORD.search(units[k]) and window in seen:
+                gone |= {k, k + 1}
+            seen.add(window)
+        out[i] = "\n".join(u for k, u in enumerate(units) if k not in gone)
+    return out
+
+
+def planted_passages():
+    rng = random.Random(8)
+    line = lambda n: " ".join(rng.choice("abcdefghij") * 3 + str(rng.randint(0, 9999)) for _ in range(n))
+    rows, passages = [], {}
+    for n in range(2, 13):
+        passages[n] = [line(6) for _ in range(n)]
+        for i in (100 + n, 300 + n, 200 + n):
+            rows.append((i, "\n".join([line(6), line(6), *passages[n], line(6)])))
+    rows += [(400, rows[5][1]), (401, "\n \n" + line(4) + "\n\n\n" + line(4)), (402, ""), (404, "one line")]
+    rows += [(405, rows[-3][1] + "\n\nmore"), (406, "one line"), (407, "one line\n")]
+    rows += [(408, "\n".join(passages[3] * 2)), (409, "p\nq\np\nq\np")]
+    return sorted(rows), passages
+
+
+def test_repeated_passages_of_two_lines_and_more(spark):
+    from corpusgraph.llm.lines import remove_repeated_lines
+
+    rows, passages = planted_passages()
+    expected = without_windows(rows)
+    docs = spark.createDataFrame([*rows, (None, rows[0][1]), (500, None)], "doc_id long, text string")
+    got = {r.doc_id: r for r in remove_repeated_lines(docs).collect()}
+    assert len(got) == len(rows) + 2 and (got[500].text, got[500].n_lines, got[None].n_removed) == (None, 0, 0)
+    for i, text in rows:
+        assert got[i].text == expected[i]
+        left = expected[i].count("\n") + 1 if expected[i] else 0
+        assert (got[i].n_lines, got[i].n_removed) == (text.count("\n") + 1, text.count("\n") + 1 - left if text else 0)
+    for n in passages:
+        assert got[100 + n].n_removed == 0 and got[200 + n].n_removed == got[300 + n].n_removed == n
+    assert got[400].text == "" and got[409].text == "p\nq"
+
+
+def test_lines_that_share_a_hash(spark):
+    from pyspark.sql import functions as F
+
+    from corpusgraph.llm.lines import repeated_windows
+
+    rows, _ = planted_passages()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    tagged = docs.select("doc_id", F.xxhash64("text").alias("tag"), "text")
+    found = lambda **more: {tuple(r) for r in repeated_windows(tagged, **more).collect()}
+    weak = lambda c: F.pmod(F.xxhash64(c), F.lit(5))
+    assert found(hashed=weak) == found() != set()
+
+
 def plain(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered(text))
 

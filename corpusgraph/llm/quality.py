@@ -1,11 +1,15 @@
 """Quality rules: fixed base rules, then robust multivariate outliers.
 
 Counts of each text become a vector of transformed statistics. For every language and
-source a minimum-covariance-determinant estimate is found by concentration steps: start
-from medians and mean absolute deviations, take the rows with the smallest Mahalanobis
-distances, estimate mean and covariance from them, and repeat. A step is one aggregation
-over narrow rows, by group and by bin of the distance; the statistics are integers, so
-sums do not depend on the order of rows.
+source a minimum-covariance-determinant estimate is found by concentration steps: from a
+first estimate, take the half of the rows with the smallest Mahalanobis distances, estimate
+mean and covariance from them, and repeat. Three first estimates are followed (medians with
+absolute deviations, mean and covariance of all rows, medians with the covariance of
+spatial signs), and the one that ends with the least determinant counts. A step is one
+aggregation over narrow rows, by group, start and bin of the distance. Of the bin in which
+the half ends every row has the same part of a weight, so equal rows are treated alike and
+copies do not enter beyond the half. The statistics are integers, so sums do not depend on
+the order of rows.
 """
 
 from __future__ import annotations
@@ -20,16 +24,16 @@ from corpusgraph.llm.native import runs, space_words
 from corpusgraph.sources.scratch import materialize
 
 UNIT = 1000  # statistics are kept as thousandths
-SHARE = 0.75  # of the rows that an estimate rests on
-CONSISTENCY = 1.36  # covariance of the nearest 75 % of normal rows in six dimensions
+CONSISTENCY = 1.785  # covariance of the nearest half of normal rows in six dimensions
 FLOOR = 0.35  # added to every standard deviation: less than this is no difference
 STEPS = 6
-BINS = 1024  # of the distance, 32 to a doubling
+BINS = 4096  # of the distance, 128 to a doubling
 LEAST_ROWS = 100  # smaller groups are pooled
 CUTOFF = 40.0  # squared distance; the upper 5e-7 of normal rows in six dimensions
 
 _STATISTICS = ("length", "word", "symbol", "capital", "line", "repeat")
 _DIM = len(_STATISTICS)
+_KEY = ["group", "start"]
 _PAIRS = list(combinations_with_replacement(range(_DIM), 2))
 
 
@@ -130,7 +134,7 @@ def factored(means: list[Column], covariance: dict[tuple[int, int], Column]) ->
 
 
 def cholesky(estimates: DataFrame) -> DataFrame:
-    """``group``, means and factor of estimates (group, m.., c..), one column at a time."""
+    """Key, means and factor of estimates (group, start, m.., c..), one column at a time."""
     for j in range(_DIM):
         for i in range(j, _DIM):
             value = F.col(f"c{j}{i}")
@@ -139,11 +143,11 @@ def cholesky(estimates: DataFrame) -> DataFrame:
             value = F.sqrt(F.greatest(value, F.lit(FLOOR**2))) if i == j else value / F.col(f"l{j}{j}")
             estimates = estimates.withColumn(f"l{i}{j}", value)
     factors = [f"l{i}{j}" for j in range(_DIM) for i in range(j, _DIM)]
-    return estimates.select("group", *[f"m{i}" for i in range(_DIM)], *factors)
+    return estimates.select(*_KEY, *[f"m{i}" for i in range(_DIM)], *factors)
 
 
 def with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """``rows`` of a group with their squared distance ``d2`` to its estimate."""
+    """``rows`` of a group with their squared distance ``d2`` to its estimate, per ``start``."""
     joined = rows.join(estimates, "group")
     for i in range(_DIM):
         value = F.col(f"x{i}") / UNIT - F.col(f"m{i}")
@@ -151,13 +155,31 @@ def with_distance(rows: DataFrame, estimates: DataFrame) -> DataFrame:
             value = value - F.col(f"l{i}{k}") * F.col(f"z{k}")
         joined = joined.withColumn(f"z{i}", value / F.col(f"l{i}{i}"))
     squares = [F.col(f"z{i}") * F.col(f"z{i}") for i in range(_DIM)]
-    return joined.withColumn("d2", sum(squares[1:], squares[0])).select(*rows.columns, "d2")
+    return joined.withColumn("d2", sum(squares[1:], squares[0])).select(*rows.columns, "start", "d2")
+
+
+def _moments(columns: list[str]) -> list[Column]:
+    """Sums and sums of products of integer columns."""
+    sums = [F.sum(c).alias(f"s{i}") for i, c in enumerate(columns)]
+    return sums + [F.sum(F.col(columns[i]) * F.col(columns[j])).alias(f"q{i}{j}") for i, j in _PAIRS]
+
+
+def _estimated(n: Column, scale: float) -> list[Column]:
+    """Means, and the covariance times ``scale`` with the floor, of moments over ``n`` rows."""
+    means = [F.col(f"s{i}") / n / UNIT for i in range(_DIM)]
+    spread = {
+        (i, j): scale * (F.col(f"q{i}{j}") / n / UNIT**2 - means[i] * means[j])
+        + (FLOOR**2 if i == j else 0.0)
+        for i, j in _PAIRS
+    }
+    return factored(means, spread)
 
 
 def _first_estimates(rows: DataFrame) -> DataFrame:
-    """Medians, and deviations from them on the diagonal.
+    """Three starts per group; see the module.
 
     The statistics are thousandths, so an exact percentile counts few distinct values.
+    Spatial signs are thousandths as well.
     """
     middle = rows.groupBy("group").agg(
         *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(_DIM)]
@@ -167,46 +189,70 @@ def _first_estimates(rows: DataFrame) -> DataFrame:
         *[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"s{i}") for i in range(_DIM)],
     )
     means = [F.col(f"m{i}") / UNIT for i in range(_DIM)]
-    spread = {
-        (i, j): F.pow(1.4826 * F.col(f"s{i}") / UNIT, 2) + FLOOR**2 if i == j else F.lit(0.0)
+    wide = [F.sqrt(F.pow(1.4826 * F.col(f"s{i}") / UNIT, 2) + FLOOR**2) for i in range(_DIM)]
+    off = materialize(
+        off.select("group", *[m.alias(f"m{i}") for i, m in enumerate(means)], *[w.alias(f"w{i}") for i, w in enumerate(wide)]),
+        "quality-medians",
+    )
+    means = [F.col(f"m{i}") for i in range(_DIM)]
+    alone = {(i, j): F.col(f"w{i}") * F.col(f"w{i}") if i == j else F.lit(0.0) for i, j in _PAIRS}
+    medians = off.select("group", F.lit(0).alias("start"), *factored(means, alone))
+
+    every = rows.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *_moments([f"x{i}" for i in range(_DIM)]))
+    every = every.select("group", F.lit(1).alias("start"), *_estimated(F.col("n"), 1.0))
+
+    scaled = [((F.col(f"x{i}") / UNIT - F.col(f"m{i}")) / F.col(f"w{i}")).alias(f"z{i}") for i in range(_DIM)]
+    signs = rows.join(off, "group").select("group", *scaled)
+    squares = [F.col(f"z{i}") * F.col(f"z{i}") for i in range(_DIM)]
+    signs = signs.withColumn("size", F.sqrt(sum(squares[1:], squares[0])))
+    unit = [F.round(F.when(F.col("size") > 0, F.col(f"z{i}") / F.col("size")).otherwise(0) * UNIT).cast("long") for i in range(_DIM)]
+    signs = signs.select("group", *[u.alias(f"u{i}") for i, u in enumerate(unit)])
+    signs = signs.groupBy("group").agg(F.count(F.lit(1)).alias("n"), *_moments([f"u{i}" for i in range(_DIM)]))
+    round_off = {
+        (i, j): _DIM * F.col(f"q{i}{j}") / F.col("n") / UNIT**2 * F.col(f"w{i}") * F.col(f"w{j}")
+        + (FLOOR**2 if i == j else 0.0)
         for i, j in _PAIRS
     }
-    return cholesky(off.select("group", *factored(means, spread)))
+    signs = signs.join(off, "group").select("group", F.lit(2).alias("start"), *factored(means, round_off))
+    return cholesky(medians.unionByName(every).unionByName(signs))
 
 
 def _concentrated(rows: DataFrame, estimates: DataFrame) -> DataFrame:
-    """The estimates of the rows nearest to the present estimates."""
-    far = F.least(F.floor(F.log2(F.col("d2") + 1) * 32), F.lit(BINS - 1)).cast("int")
-    sums = [F.sum(f"x{i}").alias(f"s{i}") for i in range(_DIM)]
-    sums += [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in _PAIRS]
+    """The estimates of the half of the rows nearest to the present estimates."""
+    far = F.least(F.floor(F.log2(F.col("d2") + 1) * 128), F.lit(BINS - 1)).cast("int")
     bins = (
         with_distance(rows, estimates)
-        .groupBy("group", far.alias("bin"))
-        .agg(F.count(F.lit(1)).alias("n"), *sums)
+        .groupBy(*_KEY, far.alias("bin"))
+        .agg(F.count(F.lit(1)).alias("n"), *_moments([f"x{i}" for i in range(_DIM)]))
     )
-    all_rows = Window.partitionBy("group")
+    all_rows = Window.partitionBy(*_KEY)
     before = all_rows.orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    half = F.least(F.floor((F.col("all") + _DIM + 1) / 2), F.col("all"))
     near = bins.withColumns(
         {"before": F.coalesce(F.sum("n").over(before), F.lit(0)), "all": F.sum("n").over(all_rows)}
-    ).filter(F.col("before") < F.ceil(F.col("all") * SHARE))
-    names = ["n", *[f"s{i}" for i in range(_DIM)], *[f"q{i}{j}" for i, j in _PAIRS]]
-    total = near.groupBy("group").agg(*[F.sum(c).cast("double").alias(c) for c in names])
-    n = F.col("n")
-    means = [F.col(f"s{i}") / n / UNIT for i in range(_DIM)]
-    spread = {
-        (i, j): CONSISTENCY * (F.col(f"q{i}{j}") / n / UNIT**2 - means[i] * means[j])
-        + (FLOOR**2 if i == j else 0.0)
-        for i, j in _PAIRS
-    }
-    return cholesky(total.select("group", *factored(means, spread)))
+    )
+    near = near.withColumn("part", F.least(F.lit(1.0), (half - F.col("before")) / F.col("n"))).filter("part > 0")
+    names = [*[f"s{i}" for i in range(_DIM)], *[f"q{i}{j}" for i, j in _PAIRS]]
+    # Whole bins add up as integers; at most one bin has a part.
+    whole = lambda c: F.coalesce(F.sum(F.when(F.col("part") >= 1, F.col(c))), F.lit(0))
+    rest = lambda c: F.coalesce(F.sum(F.when(F.col("part") < 1, F.col(c) * F.col("part"))), F.lit(0.0))
+    total = near.groupBy(*_KEY).agg(
+        F.first(half).cast("double").alias("n"), *[(whole(c).cast("double") + rest(c)).alias(c) for c in names]
+    )
+    return cholesky(total.select(*_KEY, *_estimated(F.col("n"), CONSISTENCY)))
 
 
 def robust_estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
-    """Mean and Cholesky factor per group of ``rows`` (group, x0, …)."""
+    """Start, mean and Cholesky factor per group of ``rows`` (group, x0, …): the least determinant."""
     estimates = materialize(_first_estimates(rows), "quality-estimates")
     for _ in range(steps):
         estimates = materialize(_concentrated(rows, estimates), "quality-estimates")
-    return estimates
+    logs = [F.log(f"l{i}{i}") for i in range(_DIM)]
+    # Starts that end alike have the lowest number.
+    names = [c for c in estimates.columns if c not in _KEY]
+    ranked = F.struct(F.round(sum(logs[1:], logs[0]), 9).alias("size"), "start", *names)
+    best = estimates.groupBy("group").agg(F.min(ranked).alias("best"))
+    return materialize(best.select("group", "best.start", *[f"best.{c}" for c in names]), "quality-best")
 
 
 def judge(

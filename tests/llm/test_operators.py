@@ -250,6 +250,26 @@ def test_quality(docs, empty):
     assert judge(empty).count() == 0
 
 
+def test_copies_do_not_pull_the_estimate(spark):
+    from pyspark.sql import functions as F
+
+    from corpusgraph.llm.quality import CUTOFF, robust_estimates, with_distance
+
+    rng = np.random.default_rng(5)
+    names = [f"x{i}" for i in range(6)]
+    far, rows = [3000, 7000, 4500, 3500, 2000, 2500], []
+    for group, copies in [("none", 0), ("fifth", 50), ("third", 100), ("more", 150)]:
+        good = rng.normal([3000, 5200, 700, 1200, 200, 300], [400, 200, 500, 200, 150, 150], (200, 6))
+        rows += [(group, False, *(int(v) for v in one)) for one in good]
+        rows += [(group, True, *far)] * copies
+    table = spark.createDataFrame(rows, f"group string, copy boolean, {', '.join(n + ' long' for n in names)}")
+    found = with_distance(table, robust_estimates(table.select("group", *names)))
+    got = {(r.group, r.copy): r for r in found.groupBy("group", "copy").agg(F.count("*").alias("n"), F.min("d2").alias("least"), F.max("d2").alias("most")).collect()}
+    assert sum(r.n for r in got.values()) == len(rows)
+    for (_, copy), r in got.items():
+        assert r.least > CUTOFF if copy else r.most <= CUTOFF
+
+
 def test_language_model(docs, empty):
     from corpusgraph.llm.language_model import score
 

@@ -1,8 +1,9 @@
 """License scans: similarity of lines to templates, then inheritance along paths.
 
 Every line of every text that names a licence term is a header. Headers and templates
-become sparse TF-IDF vectors, with document frequencies counted over all headers of the
-corpus, and a header declares the template of the largest cosine. A file without a
+become sparse TF-IDF vectors, and a header declares the template of the largest cosine. The
+document frequency of a term is the mean of its shares among the headers of the corpus and
+among the templates, at least one template, so weights do not depend on the table's size. A file without a
 declaration of its own takes that of the licence file in the nearest directory above it.
 """
 
@@ -39,10 +40,19 @@ def _terms(rows: DataFrame, key: str) -> DataFrame:
     return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
 
 
-def _weighted(terms: DataFrame, frequency: DataFrame, rows: int, key: str) -> DataFrame:
-    """(key, term, weight) with unit length per key; an unseen term counts as seen once."""
-    idf = F.log((F.lit(rows) + 1) / (F.coalesce("df", F.lit(0)) + 1)) + 1
-    raw = terms.join(frequency, "term", "left").withColumn("raw", (1 + F.log("tf")) * idf)
+def _shares(headers: DataFrame, models: DataFrame, rows: int) -> DataFrame:
+    """(term, share) of the terms of headers (term, n) and of templates (term)."""
+    none = F.lit(0).cast("long")
+    both = headers.groupBy("term").agg(F.sum("n").alias("df")).withColumn("held", none)
+    both = both.unionByName(models.groupBy("term").agg(F.count(F.lit(1)).alias("held")).withColumn("df", none))
+    both = both.groupBy("term").agg(F.sum("df").alias("df"), F.sum("held").alias("held"))
+    held = F.greatest("held", F.lit(1)) / len(TEMPLATES)
+    return both.select("term", ((F.col("df") / max(rows, 1) + held) / 2).alias("share"))
+
+
+def _weighted(terms: DataFrame, shares: DataFrame, key: str) -> DataFrame:
+    """(key, term, weight) with unit length per key."""
+    raw = terms.join(shares, "term").withColumn("raw", (1 + F.log("tf")) * (1 - F.log("share")))
     size = raw.groupBy(key).agg(F.sqrt(F.sum(F.col("raw") * F.col("raw"))).alias("size"))
     return raw.join(size, key).select(key, "term", (F.col("raw") / F.col("size")).alias("weight"))
 
@@ -59,12 +69,12 @@ def declared(files: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     lines = materialize(lines.filter(F.col("line").rlike(ANCHOR)).distinct(), "license-headers")
     headers = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n"))
     terms = _terms(headers, "line")
-    frequency = terms.join(headers, "line").groupBy("term").agg(F.sum("n").alias("df"))
-    frequency = materialize(frequency, "license-frequencies")
-    rows = lines.count()
-    own = _weighted(terms, frequency, rows, "line")
     models = spark.createDataFrame([(n, t) for n, t in TEMPLATES], "license string, line string")
-    model = _weighted(_terms(models, "license"), frequency, rows, "license").withColumnRenamed("weight", "other")
+    model_terms = _terms(models, "license")
+    rows = lines.count()
+    shares = materialize(_shares(terms.join(headers, "line"), model_terms, rows), "license-shares")
+    own = _weighted(terms, shares, "line")
+    model = _weighted(model_terms, shares, "license").withColumnRenamed("weight", "other")
     # The templates are a fixed, small table.
     near = own.join(F.broadcast(model), "term").groupBy("line", "license")
     near = near.agg(F.sum(F.col("weight") * F.col("other")).alias("similarity"))

@@ -383,6 +383,20 @@ def test_licenses(spark):
     assert scan_licenses(files.limit(0)).count() == 0
 
 
+def test_a_header_declares_alike_on_tables_of_any_size(spark):
+    from corpusgraph.llm.licenses import declared
+
+    headers = ["All rights reserved.", "Released under the MIT License.", "Licensed under CC BY-NC 4.0."]
+    headers += ["Licensed under the Apache License, Version 2.0.", "Copyright-free words of some other licence"]
+    found = []
+    for times in (1, 100, 2000):
+        rows = [(f"{k}/{n}", line) for k in range(times) for n, line in enumerate(headers)]
+        got = declared(spark.createDataFrame(rows, "path string, text string")).collect()
+        found.append({(r.path.split("/")[1], r.license, round(r.similarity, 9)) for r in got})
+    assert ("0", "Proprietary") in {one[:2] for one in found[0]}
+    assert found[0] == found[1] == found[2]
+
+
 def test_pipeline_stages(spark):
     import corpus_pipeline
     from tests.conftest import SF

@@ -56,7 +56,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", sequences),
 ]
 
-# Robust estimates, components and token ids have no SQL; tests hold stages to brute force.
+# Robust estimates, components and token ids have no SQL; tests hold operators, not all of run(), to brute force.
 ORACLE_SQL: str | None = None
 
 

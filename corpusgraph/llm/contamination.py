@@ -85,14 +85,15 @@ def contamination(
     windows that occur; ``spans`` are the occurrences (start, length) in words.
 
     Null and empty texts have no words and no hits; items without words match nothing;
-    items with equal windows all count. Rows that share an id are judged by the windows
+    items with equal windows all count; the windows of an
+    item without id hit words, but the item is not listed. Rows that share an id are judged by the windows
     of all of them. Rows without id are not judged and have no hits. Empty tables give
     no rows, or no hits.
     """
     bench = items.select(
         F.col(item_col).cast("string").alias("item_id"), plain_words(F.col(item_text_col)).alias("words")
     )
-    bench = materialize(bench.filter("item_id is not null"), "benchmark-words")
+    bench = materialize(bench, "benchmark-words")
     short = bench.select(F.size("words").alias("n")).filter(f"n > 0 and n < {window}").distinct()
     lengths = sorted(r["n"] for r in short.collect())  # at most window - 1 numbers
     windows = materialize(_item_windows(bench, window), "benchmark-windows")
@@ -126,11 +127,11 @@ def contamination(
     hit = spans.groupBy("doc_id").agg(F.collect_set(F.struct("start", "length")).alias("spans"))
     hit = hit.select("doc_id", F.sort_array("spans").alias("spans"), F.size(F.array_distinct(covered)).cast("long").alias("n_hit"))
     found = spans.select("doc_id", "length", "window").distinct().join(windows, ["length", "window"])
-    found = found.select("doc_id", "item_id").distinct().groupBy("doc_id")
+    found = found.filter("item_id is not null").select("doc_id", "item_id").distinct().groupBy("doc_id")
     found = found.agg(F.sort_array(F.collect_list("item_id")).alias("items"))
     return (
         known.select("doc_id", "n_words")
-        .join(hit.join(found, "doc_id"), "doc_id", "left")
+        .join(hit.join(found, "doc_id", "left"), "doc_id", "left")
         .select(
             "doc_id",
             "n_words",

@@ -230,6 +230,17 @@ def test_contamination(spark, docs, empty):
     assert contamination(docs, items.limit(0)).agg({"n_hit": "max"}).first()[0] == 0
 
 
+def test_items_without_id_contaminate(spark):
+    from corpusgraph.llm.contamination import contamination, keep_clean
+
+    item = " ".join(f"n{k}" for k in range(15))
+    docs = spark.createDataFrame([(1, f"a {item} b"), (2, "a b c"), (3, "short item")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, item), (None, "short item"), ("i", "short item")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r["items"], len(r.spans or [])) for r in contamination(docs, items).collect()}
+    assert got == {1: (15, 0, [], 3), 2: (0, 0, [], 0), 3: (2, 1, ["i"], 1)}
+    assert {r.doc_id for r in keep_clean(docs, items).collect()} == {2}
+
+
 def test_quality(docs, empty):
     from corpusgraph.llm.quality import judge, keep_good
 

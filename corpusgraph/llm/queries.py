@@ -135,6 +135,84 @@ def op10_warc(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Bytes and tokens of each document."""
+    import public_tokenizers
+
+    from corpusgraph.llm.token_counts import count_tokens
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return count_tokens(docs, public_tokenizers.path("byte_bpe_50k.json"))
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``text``; from some word on, a tenth of the texts repeats itself.
+
+    With h the CRC-32 of the id and g = h div 10, those are the texts with h mod 10 = 0 and
+    n > 0 words. Word i >= a = g mod n becomes word a + (i - a) mod p, where
+    p = 1 + (n - a) div (3 + g mod 8).
+    """
+    from corpusgraph.llm.native import space_words
+
+    code = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", code.alias("h"))
+    word_list = F.when(F.col("h") % 10 == 0, space_words(F.col("text")))
+    g = F.expr("h div 10")
+    split = chosen.select("doc_id", "text", g.alias("g"), word_list.alias("words"))
+    n = F.size("words")
+    start = split.withColumn("a", F.when(n > 0, F.col("g") % n))
+    left = n - F.col("a")
+    period = start.withColumn("p", F.lit(1) + F.floor(left / (F.lit(3) + F.col("g") % 8)))
+    place = F.expr("transform(sequence(a, size(words) - 1), i -> words[int(a + (i - a) % p)])")
+    repeated = F.array_join(F.concat(F.expr("slice(words, 1, int(a))"), place), " ")
+    text = F.when(F.col("p").isNotNull(), repeated).otherwise(F.col("text"))
+    return period.select("doc_id", text.alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    """The strongest run of each document, and digests of all runs and of the words left."""
+    from corpusgraph.llm.periodic_runs import periodic_runs
+
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    found = periodic_runs(planted_periods(docs))
+    # The greatest exact quotient of length and period first, then start, then period.
+    ranked = F.expr(
+        """array_sort(runs, (x, y) -> case
+            when x.length * y.period > y.length * x.period then -1
+            when x.length * y.period < y.length * x.period then 1
+            when x.start < y.start then -1 when x.start > y.start then 1
+            when x.period < y.period then -1 when x.period > y.period then 1
+            else 0 end)"""
+    )
+    lines = F.expr(
+        "transform(runs, x -> concat(concat_ws(',', x.start, x.length, x.period), chr(10)))"
+    )
+    listed = F.array_join(lines, "")
+    best = F.when(F.size("runs") > 0, F.element_at(ranked, 1))
+    named = found.withColumn("best", best)
+    return named.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups and links of the tokens of two tokenizers per document."""
+    import public_tokenizers
+
+    from corpusgraph.llm.alignment import align
+
+    path = public_tokenizers.path
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return align(docs, path("byte_bpe_50k.json"), path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_license_scan": op1_license_scan,
     "op2_line_dedup": op2_line_dedup,
@@ -146,6 +224,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_substring_dedup": op9_substring_dedup,
     "op10_warc": op10_warc,
+    "op11_token_counts": op11_token_counts,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
 
 

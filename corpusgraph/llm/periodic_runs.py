@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 LEAST_WORDS = 6
 LEAST_TIMES = 4
-TREE_WORDS = 1 << 14  # words of a tree, unless a document alone has more
+TREE_WORDS = 1 << 13  # words of a tree, unless a document alone has more
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -119,7 +119,9 @@ class Extensions:
             self._depth[below] = self._depth[self._parent[below]] + length[below]
             level[below] = k
         for below in levels[:0:-1]:
-            np.add.at(self._size, self._parent[below], self._size[below])
+            parents = self._parent[below]
+            heads = np.flatnonzero(np.append(True, parents[1:] != parents[:-1]))
+            self._size[parents[heads]] += np.add.reduceat(self._size[below], heads)
         leaves = np.flatnonzero(counts == 0)
         self._leaf = np.zeros(len(text), dtype=np.int64)
         self._leaf[len(text) - self._depth[leaves]] = leaves
@@ -223,16 +225,20 @@ def runs_of(
     return text, start - begin[text] if len(start) else start, length, period
 
 
-def _groups(texts: list[list[str]], limit: int) -> Iterator[tuple[int, int]]:
-    """Ranges of texts with at most ``limit`` words together, or of one text."""
+def _groups(column: pa.Array, limit: int) -> Iterator[tuple[int, list[list[str]]]]:
+    """The words of some texts with at most ``limit`` words together, or of one text, and
+    the place of the first of them; few words are held at a time."""
+    held: list[list[str]] = []
     start = total = 0
-    for k, words in enumerate(texts):
+    for k, text in enumerate(column):
+        words = _WORD.findall(text.as_py() or "")
         if total and total + len(words) > limit:
-            yield start, k
-            start, total = k, 0
+            yield start, held
+            start, held, total = k, [], 0
+        held.append(words)
         total += len(words)
-    if start < len(texts):
-        yield start, len(texts)
+    if held:
+        yield start, held
 
 
 _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.int64())])
@@ -269,12 +275,10 @@ def _find(least: int, times: int, tree_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "n_words", "collapsed", "runs"]
         for batch in batches:
-            texts = [_WORD.findall(t or "") for t in batch.column(1).to_pylist()]
-            for start, stop in _groups(texts, tree_words):
-                chosen = texts[start:stop]
+            for start, chosen in _groups(batch.column(1), tree_words):
                 collapsed, runs = part(chosen)
                 numbers = pa.array([len(w) for w in chosen], pa.int64())
-                ids = batch.column(0).slice(start, stop - start)
+                ids = batch.column(0).slice(start, len(chosen))
                 columns = [ids, numbers, pa.array(collapsed, pa.string()), runs]
                 yield pa.RecordBatch.from_arrays(columns, names)
 

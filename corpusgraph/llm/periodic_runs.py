@@ -1,7 +1,7 @@
 """Runs of words that repeat with a period, found through suffix trees.
 
-Documents of a batch stand one after the other with a separator of its own before, between
-and after them, so no common extension leaves a document. Over that sequence, and over its
+Documents of a batch stand one after the other with separators before, between and after
+them, each of which occurs once, so no common extension leaves a document. Over that sequence, and over its
 reversal, Ukkonen's algorithm builds a suffix tree; an Euler tour with a sparse table of
 minima answers for any two positions in constant time how far they extend alike, to the
 right and to the left.
@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 LEAST_WORDS = 6
 LEAST_TIMES = 4
-TREE_WORDS = 1 << 13  # words of a tree, unless a document alone has more
+TREE_WORDS = 1 << 14  # words of a tree, unless a document alone has more
 
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -106,12 +106,11 @@ class Extensions:
         keys = np.fromiter(children.keys(), np.int64, len(children))
         nodes = np.fromiter(children.values(), np.int64, len(children))
         self._count = len(begins)
-        self._symbols = symbols
         self._parent = np.full(self._count, -1)
-        self._symbol = np.zeros(self._count, dtype=np.int64)
-        self._parent[nodes], self._symbol[nodes] = keys // symbols, keys % symbols
-        length = np.array(ends) - np.array(begins)
-        levels, first, counts = self._levels(self._symbol)
+        self._parent[nodes] = keys // symbols
+        length = np.fromiter(ends, np.int64, self._count)
+        length -= np.fromiter(begins, np.int64, self._count)
+        levels, first, counts = self._levels(nodes[np.argsort(keys)])
         self._depth = np.zeros(self._count, dtype=np.int32)
         self._size = np.ones(self._count, dtype=np.int64)
         level = np.zeros(self._count, dtype=np.int64)
@@ -134,13 +133,15 @@ class Extensions:
         tour[entered[inner] + 2 * self._size[inner] - 1] = self._depth[self._parent[inner]]
         self._tour = _minima(tour)
         self._entered = entered[self._leaf]
+        # Ranks of suffixes, and those when all symbols compare the other way round: then
+        # the nodes before one are its ancestors and what came after its subtree.
         self.rank = place[self._leaf]
+        inverse = level + self._count - place - self._size
+        self.inverse_rank = inverse[self._leaf]
 
-    def _levels(self, order: np.ndarray):
-        """Nodes level by level with children of a node together, sorted by ``order``;
-        where each node's children begin in the list of all, and how many there are."""
-        # The root, whose parent is -1, comes first and is left out.
-        by_parent = np.argsort(self._parent * self._symbols + order)[1:]
+    def _levels(self, by_parent: np.ndarray):
+        """Nodes level by level, from all nodes but the root by parent and symbol; where
+        each node's children begin there, and how many there are."""
         counts = np.bincount(self._parent[by_parent], minlength=self._count)
         first = np.cumsum(counts) - counts
         levels, level = [], np.zeros(1, dtype=np.int64)
@@ -162,13 +163,6 @@ class Extensions:
             place[below] = place[self._parent[below]] + 1 + before - head
         return place
 
-    def inverse_rank(self, separators: int) -> np.ndarray:
-        """Ranks of suffixes when words compare the other way round, but separators,
-        the symbols below ``separators``, still come first."""
-        flipped = self._symbols - 1 - self._symbol + separators
-        order = np.where(self._symbol < separators, self._symbol, flipped)
-        return self._places(*self._levels(order))[self._leaf]
-
     def common(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """How long the suffixes from ``a`` and from ``b`` are equal, for a != b."""
         x, y = self._entered[a], self._entered[b]
@@ -198,31 +192,44 @@ def runs_of(
     texts: list[np.ndarray], symbols: int, least: int, times: int
 ) -> tuple[np.ndarray, ...]:
     """Runs of sequences of symbols from 0 on: sequence, start, length and period, by
-    sequence, start and period."""
-    separators = len(texts) + 1
+    sequence, start and period.
+
+    In a run every symbol comes back, so symbols that a sequence has only once cut it like
+    its ends do; those that stand together are one separator. Separators are less than all
+    symbols in one order and greater in its inverse. In one of the two, what follows a run
+    is less than what would continue it, and there its Lyndon root is the longest Lyndon
+    word where it begins.
+    """
     sizes = np.array([len(t) for t in texts], dtype=np.int64)
-    begin = np.cumsum(sizes + 1) - sizes
-    whole = np.empty(int(sizes.sum()) + separators, dtype=np.int64)
-    whole[np.append(0, begin + sizes)] = np.arange(separators)
-    inside = np.ones(len(whole), dtype=bool)
-    inside[np.append(0, begin + sizes)] = False
-    if texts:
-        whole[inside] = np.concatenate(texts) + separators
+    begin = np.cumsum(sizes) - sizes
+    whole = np.concatenate([*texts, np.zeros(0, dtype=np.int64)])
+    text = np.repeat(np.arange(len(texts)), sizes)
+    _, back, number = np.unique(text * symbols + whole, return_inverse=True, return_counts=True)
+    place = np.flatnonzero(number[back] > 1)
+    cut = np.ones(len(place), dtype=bool)
+    cut[1:] = (np.diff(place) > 1) | (np.diff(text[place]) > 0)
+    separators = int(cut.sum()) + 1
+    words = np.arange(len(place)) + np.cumsum(cut)
+    inside = np.zeros(len(place) + separators, dtype=bool)
+    inside[words] = True
+    code = np.empty(len(inside), dtype=np.int64)
+    code[words], code[~inside] = whole[place] + separators, np.arange(separators)
     symbols += separators
-    right, left = Extensions(whole, symbols), Extensions(whole[::-1], symbols)
-    words, last = np.flatnonzero(inside), len(whole) - 1
+    right, left = Extensions(code, symbols), Extensions(code[::-1], symbols)
+    last = len(code) - 1
     found = []
-    for rank in (right.rank, right.inverse_rank(separators)):
+    for rank in (right.rank, right.inverse_rank):
         after = next_smaller(rank)[words]
-        period = after - words
-        start = words - left.common(last - (words - 1), last - (after - 1))
-        length = after + right.common(words, after) - start
+        first, after = words[after <= last], after[after <= last]
+        period = after - first
+        start = first - left.common(last - (first - 1), last - (after - 1))
+        length = after + right.common(first, after) - start
         kept = (length >= 2 * period) & (length >= np.maximum(least, times * period))
         found.append(np.stack([start[kept], length[kept], period[kept]]))
     runs = np.unique(np.concatenate(found, axis=1), axis=1)
     start, length, period = runs[:, np.lexsort((runs[2], runs[0]))]
-    text = np.searchsorted(begin, start, side="right") - 1
-    return text, start - begin[text] if len(start) else start, length, period
+    start = place[np.searchsorted(words, start)]
+    return text[start], start - begin[text[start]], length, period
 
 
 def _groups(column: pa.Array, limit: int) -> Iterator[tuple[int, list[list[str]]]]:

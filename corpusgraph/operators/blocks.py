@@ -6,13 +6,14 @@ It is done in three steps:
 
 1. *Cells.* Each vector goes to the cell of its nearest pivot. It also visits a
    cell where a partner above the threshold could live; the triangle inequality
-   tells which, so no pair is lost. Few rows need no pivots: then there is one
-   cell.
+   tells which, so no pair is lost. Homes and visits are counted before any vector
+   moves; few rows, or rows that no cells separate, make one cell.
 2. *Blocks.* A cell is cut into blocks by a hash of the id, as many as its counted
    size asks for. A cell that holds a third of all rows is therefore just cut
    into more blocks.
-3. *Tiles.* Each pair of blocks is one group, multiplied as two matrices by one
-   task of bounded memory, and reduced there.
+3. *Strips.* The strip of a block is one task of bounded memory: it holds the block,
+   and the rows to compare with pass by in batches, multiplied as two matrices and
+   reduced there. A vector is sent once per strip, straight from the table.
 """
 
 from __future__ import annotations
@@ -27,18 +28,23 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.operators.sampling import top_n
-from corpusgraph.sources.scratch import materialize, materialize_measured
+from corpusgraph.sources.scratch import materialize_measured
 
 # A block is limited in bytes and rows, for the memory of a task; small tables are cut
 # into more blocks than memory asks for, to use all cores, but not below the minimum.
 BLOCK_BYTES = 256 << 20
 MAX_BLOCK_ROWS = 8192
 MIN_BLOCK_ROWS = 256
+# Blocks' worth of rows that pass by in one strip before it is cut into parts.
+STREAM_BLOCKS = 64
+# Up to so many pivots are one group; cells must leave less than this share of the pairs.
+ONE_LEVEL = 32
+WORTH_CELLS = 0.75
 # Pivots, and the smaller side of a search, are sent to all tasks up to these sizes.
 MAX_PIVOTS = 1024
 PIVOT_BYTES = 64 << 20
 BROADCAST_BYTES = 64 << 20
-# Similarities computed, and pairs kept, at a time within a tile.
+# Similarities computed, and pairs kept, at a time within two blocks.
 STRIP_CELLS = 4 << 20
 KEPT_PAIRS = 1 << 20
 
@@ -162,7 +168,87 @@ def stored_vectors(df: DataFrame, id_col: str, vec_col: str) -> VectorTable:
 # Cells
 
 
-def choose_pivots(vectors: VectorTable, wanted: int) -> np.ndarray:
+@dataclass(frozen=True)
+class Pivots:
+    """Points that divide space into cells, in two levels.
+
+    A vector belongs to the nearest of a few leading points and, within its group, to the
+    nearest point; so finding its cell among m takes about 2 * sqrt(m) products.
+    ``members`` lists the points of each group.
+    """
+
+    points: np.ndarray
+    leading: np.ndarray
+    members: list[np.ndarray]
+
+    @classmethod
+    def of(cls, points: np.ndarray) -> Pivots:
+        """Groups around points that lie far apart: each next leading point is the one
+        farthest from those before."""
+        number = len(points)
+        wanted = 1 if number <= ONE_LEVEL else math.ceil(math.sqrt(number))
+        chosen = [0] if number else []
+        nearest = points @ points[0] if number else np.empty(0)
+        while len(chosen) < wanted:
+            chosen.append(int(nearest.argmin()))
+            nearest = np.maximum(nearest, points @ points[chosen[-1]])
+        leading = points[chosen]
+        group = (points @ leading.T).argmax(axis=1) if number else np.empty(0, np.int64)
+        members = [np.flatnonzero(group == g) for g in range(len(chosen))]
+        return cls(points, leading, members)
+
+    def __len__(self) -> int:
+        return len(self.points)
+
+    def homes(self, matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The cell of each row, and the angle to its point."""
+        group = (matrix @ self.leading.T).argmax(axis=1)
+        home = np.zeros(len(matrix), dtype=np.int64)
+        cosine = np.zeros(len(matrix))
+        for g, own in enumerate(self.members):
+            rows = np.flatnonzero(group == g)
+            if len(rows):
+                dots = matrix[rows] @ self.points[own].T
+                home[rows], cosine[rows] = own[dots.argmax(axis=1)], dots.max(axis=1)
+        return home, _angles(cosine)
+
+    def visits(
+        self, matrix: np.ndarray, radii: np.ndarray, threshold: float
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and the cells in which a partner could live.
+
+        A partner y of x in a cell is nearer to the cell's point than to any other of its
+        group, and nearer to the group's leading point than to any other leading one. The
+        distance of x and y is at most ``reach``, so x lies at most ``reach`` beyond the
+        plane halfway between two such points. And the angle between x and the cell's
+        point is at most that between x and y plus the radius of the cell.
+        """
+        reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
+        widest = math.acos(max(-1.0, min(1.0, threshold))) + _SLACK
+        near_group = _within_reach(matrix @ self.leading.T, self.leading, reach)
+        found = []
+        for g, own in enumerate(self.members):
+            rows = np.flatnonzero(near_group[:, g])
+            if len(rows):
+                dots = matrix[rows] @ self.points[own].T
+                near = _within_reach(dots, self.points[own], reach)
+                near &= _angles(dots) <= radii[own] + widest
+                row, cell = np.nonzero(near)
+                found.append((rows[row], own[cell]))
+        rows, cells = (np.concatenate(x) for x in zip(*found, strict=True))
+        order = np.argsort(rows, kind="stable")
+        return rows[order], cells[order]
+
+
+def _within_reach(dots: np.ndarray, points: np.ndarray, reach: float) -> np.ndarray:
+    """For each row, the points whose side of the plane to the nearest one is in reach."""
+    best = dots.argmax(axis=1)
+    gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (points @ points.T)))
+    beyond = dots[np.arange(len(dots)), best][:, None] - dots
+    return beyond <= reach * gaps[best] + _SLACK
+
+
+def choose_pivots(vectors: VectorTable, wanted: int) -> Pivots:
     """Up to ``wanted`` vectors that differ clearly, from a hash-ordered sample.
 
     The sample is bounded by rows and bytes, whatever the table's size.
@@ -178,23 +264,23 @@ def choose_pivots(vectors: VectorTable, wanted: int) -> np.ndarray:
             chosen.append(vector)
         if len(chosen) == wanted:
             break
-    return np.array(chosen).reshape(len(chosen), vectors.dim)
+    return Pivots.of(np.array(chosen).reshape(len(chosen), vectors.dim))
 
 
 def _angles(cosines: np.ndarray) -> np.ndarray:
     return np.arccos(np.clip(cosines, -1.0, 1.0))
 
 
-def cell_radii(vectors: VectorTable, pivots: np.ndarray) -> np.ndarray:
+def cell_radii(vectors: VectorTable, pivots: Pivots) -> np.ndarray:
     """The widest angle between each pivot and the vectors of its cell; negative
     infinity for empty cells. One number per pivot and batch leaves the tasks."""
 
     def widest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                dots = to_matrix(batch.column("vec")) @ pivots.T
+                home, angle = pivots.homes(to_matrix(batch.column("vec")))
                 found = np.full(len(pivots), -np.inf)
-                np.maximum.at(found, dots.argmax(axis=1), _angles(dots.max(axis=1)))
+                np.maximum.at(found, home, angle)
                 cells = np.flatnonzero(found >= 0).astype(np.int32)
                 columns = [pa.array(cells), pa.array(found[cells])]
                 yield pa.RecordBatch.from_arrays(columns, ["cell", "angle"])
@@ -206,188 +292,277 @@ def cell_radii(vectors: VectorTable, pivots: np.ndarray) -> np.ndarray:
     return radii
 
 
-def _visits(
-    matrix: np.ndarray, pivots: np.ndarray, radii: np.ndarray, threshold: float
-) -> tuple[np.ndarray, np.ndarray]:
-    """Nearest pivot of each row, and a mask of the cells it has to visit.
+def _visited(
+    matrix: np.ndarray, pivots: Pivots, radii: np.ndarray, threshold: float, role: str
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Home of each row, and (row, cell) of its visits.
 
-    A partner y of x in cell j is at least as near to pivot j as to pivot i of x. The
-    distance of x and y is at most ``reach``, so x lies at most ``reach`` beyond the
-    plane halfway between the two pivots. And the angle between x and pivot j is at
-    most that between x and y plus the radius of the cell.
+    ``role`` is 'self' (a home, and visits to lower cells, so that each pair meets
+    once), 'base' (only the home) or 'query' (visits to all reachable cells, no home).
     """
-    reach = math.sqrt(max(0.0, 2.0 - 2.0 * threshold))
-    dots = matrix @ pivots.T
-    home = dots.argmax(axis=1)
-    gaps = np.sqrt(np.maximum(0.0, 2.0 - 2.0 * (pivots @ pivots.T)))
-    beyond = dots[np.arange(len(dots)), home][:, None] - dots
-    close = _angles(dots) <= radii + math.acos(max(-1.0, min(1.0, threshold))) + _SLACK
-    return home, close & (beyond <= reach * gaps[home] + _SLACK)
-
+    home, _ = pivots.homes(matrix)
+    if role == "base":
+        none = np.empty(0, np.int64)
+        return home, none, none
+    row, cell = pivots.visits(matrix, radii, threshold)
+    if role == "self":
+        lower = cell < home[row]
+        return home, row[lower], cell[lower]
+    return np.full(len(home), -1), row, cell
+
+
+def _cell_counts(
+    vectors: VectorTable, pivots: Pivots, radii: np.ndarray, threshold: float, role: str
+) -> np.ndarray:
+    """Rows at home and visiting per cell. No vector moves: two numbers per cell and batch
+    leave the tasks."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                matrix = to_matrix(batch.column("vec"))
+                home, _, cell = _visited(matrix, pivots, radii, threshold, role)
+                for at_home, cells in ((True, home[home >= 0]), (False, cell)):
+                    number = np.bincount(cells, minlength=len(pivots))
+                    used = np.flatnonzero(number)
+                    columns = [used.astype(np.int32), np.full(len(used), at_home), number[used]]
+                    names = ["cell", "at_home", "n"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names)
+
+    counted = vectors.rows.mapInArrow(count, "cell int, at_home boolean, n bigint")
+    sizes = np.zeros((2, len(pivots)), dtype=np.int64)
+    for row in counted.groupBy("cell", "at_home").agg(F.sum("n").alias("n")).collect():
+        sizes[0 if row["at_home"] else 1, row["cell"]] = row["n"]
+    return sizes
 
-def _cell_rows(pivots: np.ndarray, radii: np.ndarray, threshold: float, role: str):
-    """A partition function that lists the cells of each vector.
 
-    ``role`` is 'self' (a home, and visits to lower cells, so that each pair meets
-    once), 'base' (only the home) or 'query' (visits to all reachable cells).
-    """
+def _in_cells(
+    vectors: VectorTable, pivots: Pivots, radii: np.ndarray, threshold: float, role: str
+) -> DataFrame:
+    """Every vector once with its home and visits: ``(id, vec, home, visits)``."""
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
             matrix = to_matrix(batch.column("vec"))
-            home, reachable = _visits(matrix, pivots, radii, threshold)
-            cells = np.arange(len(pivots))[None, :]
-            if role == "self":
-                reachable &= cells < home[:, None]
-            elif role == "base":
-                reachable[:] = False
-            row, cell = np.nonzero(reachable)
+            home, row, cell = _visited(matrix, pivots, radii, threshold, role)
             offsets = np.zeros(len(home) + 1, dtype=np.int32)
             np.cumsum(np.bincount(row, minlength=len(home)), out=offsets[1:])
             visits = pa.ListArray.from_arrays(
                 pa.array(offsets), pa.array(cell.astype(np.int32))
             )
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("id"),
-                    batch.column("vec"),
-                    pa.array(home.astype(np.int32)),
-                    visits,
-                ],
-                ["id", "vec", "home", "visits"],
-            )
+            own = pa.array(home.astype(np.int32))
+            columns = [batch.column("id"), batch.column("vec"), own, visits]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "vec", "home", "visits"])
 
-    return assign
+    schema = f"id {vectors.id_type}, vec array<double>, home int, visits array<int>"
+    return vectors.rows.mapInArrow(assign, schema)
 
 
-def _in_one_cell(vectors: VectorTable, at_home: bool) -> DataFrame:
-    return vectors.rows.select(
-        "id", "vec", F.lit(0).alias("cell"), F.lit(at_home).alias("at_home")
-    )
+# Blocks and strips
 
+PairReducer = Callable[["BlockPairs"], Iterator[pa.Table]]
 
-def _in_cells(
-    vectors: VectorTable,
-    pivots: np.ndarray,
-    radii: np.ndarray,
-    threshold: float,
-    role: str,
-) -> DataFrame:
-    """One row per vector and cell: ``(id, vec, cell, at_home)``."""
-    assigned = vectors.rows.mapInArrow(
-        _cell_rows(pivots, radii, threshold, role),
-        f"id {vectors.id_type}, vec array<double>, home int, visits array<int>",
-    )
+# What a row is in a strip: held and compared within its block, only held, or streamed.
+_WITHIN, _HELD, _STREAMED = range(3)
 
-    def place(cell: Column, at_home: bool) -> Column:
-        return F.struct(cell.alias("cell"), F.lit(at_home).alias("at_home"))
 
-    visiting = F.transform("visits", lambda c: place(c, False))
-    staying = F.array(place(F.col("home"), True))
-    places = visiting if role == "query" else F.concat(staying, visiting)
-    exploded = assigned.select("id", "vec", F.explode(places).alias("p"))
-    return exploded.select("id", "vec", "p.cell", "p.at_home")
+@dataclass(frozen=True)
+class Layout:
+    """How many blocks each cell's homes are cut into, and parts each strip.
 
+    The strip of a block compares the block, which a task holds, with half of the other
+    blocks of its cell and with all visitors, which are streamed. The blocks stand in a
+    circle and each takes the half that follows it, so strips are equally long. A long
+    strip is cut into parts, for each of which the block is sent once more.
+    """
 
-# Blocks and tiles
+    homes: np.ndarray
+    visitors: np.ndarray
+    blocks: np.ndarray
+    parts: np.ndarray
+    within: bool
+
+    @classmethod
+    def plan(
+        cls, sizes: np.ndarray, within: bool, block_rows: int, cores: int
+    ) -> Layout:
+        homes, visitors = sizes
+        cells = max(1, int((homes > 0).sum()))
+        wanted = math.ceil(cores / cells) if within else 1
+        smallest = np.ceil(homes / MIN_BLOCK_ROWS)
+        blocks = np.maximum(np.ceil(homes / block_rows), np.minimum(wanted, smallest))
+        blocks = blocks.astype(np.int64)
+        stream = visitors + (homes / 2 if within else 0)
+        parts = np.ceil(stream / (STREAM_BLOCKS * block_rows))
+        if not within:
+            # Few blocks: strips are cut until all cores have one.
+            each = math.ceil(cores / max(1, blocks.sum()))
+            parts = np.maximum(parts, np.minimum(each, np.ceil(stream / MIN_BLOCK_ROWS)))
+        parts = np.maximum(1, parts).astype(np.int64)
+        return cls(homes, visitors, blocks, parts, within)
 
-PairReducer = Callable[["BlockPairs"], Iterator[pa.Table]]
+    @property
+    def strips(self) -> np.ndarray:
+        return self.blocks * self.parts
+
+    @property
+    def sent(self) -> int:
+        """How many times a row is sent to a task, all rows together."""
+        half = (self.blocks - 1) / 2 if self.within else 0
+        held = np.where(self.blocks > 0, self.homes * (self.parts + half), 0)
+        return int(round((held + self.visitors * self.blocks).sum()))
+
+    @property
+    def pairs(self) -> float:
+        """How many pairs are compared."""
+        own = self.homes * self.homes / 2 if self.within else 0
+        return float((own + self.homes * self.visitors).sum())
 
 
 @dataclass(frozen=True)
-class Tiles:
-    """Rows laid out as tiles ``(cell, ta, tb)``: block ``ta`` against block ``tb``."""
+class Strips:
+    """Rows on their way to the strips: ``(strip, role, id, vec)``, one per time sent."""
 
     rows: DataFrame
-    number: int
-    partitions: int
+    layout: Layout
     id_type: str
 
-    def reduce_pairs(self, reducer: PairReducer, schema: str) -> DataFrame:
-        """Run ``reducer`` on the pairs of each tile; it yields rows of ``schema``."""
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for part in reducer(BlockPairs(*split_tile(pa.Table.from_batches(batches)))):
-                yield from part.to_batches()
+    @property
+    def number(self) -> int:
+        return int(self.layout.strips.sum())
 
-        return self.reduce(run, schema)
+    def reduce_pairs(self, reducer: PairReducer, schema: str) -> DataFrame:
+        """Run ``reducer`` on the pairs of blocks, which together hold every pair above
+        the threshold once; it yields rows of ``schema``."""
+        return self.reduce(lambda *sides: reducer(BlockPairs(*sides)), schema)
+
+    def reduce(self, reducer: Callable[..., Iterator[pa.Table]], schema: str) -> DataFrame:
+        """Run ``reducer(left ids, left, right ids, right, same)`` on pairs of blocks.
+
+        A task holds one block; what it is compared with passes by in Arrow batches.
+        """
+        cores = self.rows.sparkSession.sparkContext.defaultParallelism
+        partitions = max(1, min(self.number, 16 * cores))
+        place = F.pmod(F.col("strip"), F.lit(partitions)).cast("int")
+        sorted_rows = self.rows.repartitionById(partitions, place).sortWithinPartitions(
+            "strip", "role"
+        )
+        return sorted_rows.mapInArrow(_walk_strips(reducer), schema)
 
-    def reduce(self, reducer: Callable, schema: str) -> DataFrame:
-        """Run ``reducer`` on the rows of each tile, a table or its batches."""
-        spread = self.rows.repartition(self.partitions, "cell", "ta", "tb")
-        return spread.groupBy("cell", "ta", "tb").applyInArrow(reducer, schema)
 
+def _side(parts: list[pa.RecordBatch]) -> tuple[np.ndarray, np.ndarray]:
+    table = pa.Table.from_batches(parts)
+    return table["id"].to_numpy(), to_matrix(table["vec"])
 
-def _block_count(rows: int, block_rows: int, wanted: int) -> int:
-    """Blocks for so many rows: enough for memory, and for all cores when cheap."""
-    for_memory = math.ceil(rows / block_rows)
-    for_cores = min(wanted, math.ceil(rows / MIN_BLOCK_ROWS))
-    return max(for_memory, for_cores)
 
+def _walk_strips(reducer: Callable[..., Iterator[pa.Table]]):
+    """Sorted rows of some strips to the results of their pairs of blocks."""
 
-def _cell_sizes(placed: DataFrame) -> dict[tuple[int, bool], int]:
-    """Rows at home and visiting per cell: at most two numbers per pivot."""
-    counted = placed.groupBy("cell", "at_home").count().collect()
-    return {(r["cell"], r["at_home"]): r["count"] for r in counted}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        strip, waiting, held = None, [], None
 
+        def results(*sides) -> Iterator[pa.RecordBatch]:
+            for part in reducer(*sides):
+                yield from part.to_batches()
 
-def _lay_out(
-    placed: DataFrame,
-    id_type: str,
-    sizes: dict[tuple[int, bool], int],
-    within: bool,
-    block_rows: int,
-) -> Tiles:
-    """Cut the cells into blocks and copy each row to the tiles of its block.
+        def hold() -> Iterator[pa.RecordBatch]:
+            nonlocal held
+            if held is None and waiting:
+                held = _side(waiting)
+                if waiting[0].column("role")[0].as_py() == _WITHIN:
+                    yield from results(*held, *held, True)
+                waiting.clear()
 
-    Home blocks are numbered from 0, visiting blocks follow. ``within`` says that
-    home rows are also compared with each other.
-    """
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            strips = batch.column("strip").to_numpy()
+            streamed = batch.column("role").to_numpy() == _STREAMED
+            code = strips * 2 + streamed
+            cuts = np.flatnonzero(np.diff(code)) + 1
+            for start, stop in zip([0, *cuts], [*cuts, len(code)], strict=True):
+                part = batch.slice(start, stop - start)
+                if strips[start] != strip:
+                    yield from hold()
+                    strip, held = strips[start], None
+                    waiting.clear()
+                if not streamed[start]:
+                    waiting.append(part)
+                    continue
+                yield from hold()
+                if held is not None:
+                    yield from results(*held, *_side([part]), False)
+        yield from hold()
+
+    return run
+
+
+def _send(placed: DataFrame, layout: Layout, id_type: str) -> Strips:
+    """Send each row of ``(id, vec, cell, at_home)`` to the strips it takes part in."""
     spark = placed.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    cells = max(1, len({cell for cell, _ in sizes}))
-    wanted = math.ceil(math.sqrt(4 * cores / cells)) if within else 2 * cores
-    layout = []
-    tiles = 0
-    for cell in sorted({c for c, _ in sizes}):
-        homes = sizes.get((cell, True), 0)
-        guests = sizes.get((cell, False), 0)
-        hb = _block_count(homes, block_rows, wanted if within else 1)
-        vb = _block_count(guests, block_rows, wanted)
-        tiles += (hb * (hb + 1) // 2 if within else 0) + hb * vb
-        layout.append((cell, hb, vb))
-    if len(layout) == 1:
-        _, hb, vb = layout[0]
-        sized = placed.withColumns({"hb": F.lit(hb), "vb": F.lit(vb)})
+    strips = layout.strips
+    first = np.cumsum(strips) - strips
+    names = ["blocks", "parts", "first"]
+    columns = [c.tolist() for c in (layout.blocks, layout.parts, first)]
+    if len(strips) == 1:
+        sized = placed.withColumns({n: F.lit(c[0]).cast("long") for n, c in zip(names, columns)})
     else:
         # One row per cell, at most MAX_PIVOTS.
-        sheet = spark.createDataFrame(layout, "cell int, hb int, vb int")
+        rows = list(zip(range(len(strips)), *columns))
+        sheet = spark.createDataFrame(rows, "cell int, blocks long, parts long, first long")
         sized = placed.join(F.broadcast(sheet), "cell")
-
-    code = F.xxhash64("id")
-    block = F.when(F.col("at_home"), F.pmod(code, F.col("hb"))).otherwise(
-        F.col("hb") + F.pmod(code, F.col("vb"))
+    code = F.pmod(F.xxhash64("id"), F.lit(1 << 31))
+    blocks, parts = F.col("blocks"), F.col("parts")
+    # Numbers up to 0 are the parts that hold a home row's block; k above 0 is the strip of
+    # the k-th block before it. A visitor goes to every block.
+    half = F.floor(blocks / 2) if layout.within else F.lit(0)
+    numbers = F.when(F.col("at_home"), F.sequence(1 - parts, half.cast("long"))).otherwise(
+        F.sequence(F.lit(0).cast("long"), blocks - 1)
+    )
+    own = sized.where(blocks > 0).withColumns({"code": code, "block": F.pmod(code, blocks)})
+    spread = own.withColumn("k", F.explode(numbers))
+    k, block = F.col("k"), F.col("block")
+    streamed = (k > 0) | ~F.col("at_home")
+    target = (
+        F.when(~F.col("at_home"), k).when(k > 0, F.pmod(block - k, blocks)).otherwise(block)
     )
-    first = F.lit(0) if within else F.col("hb")
-    last = F.col("hb") + F.col("vb")
-    facing = F.when(F.col("at_home"), F.sequence(first, last - 1)).otherwise(
-        F.sequence(F.lit(0), F.col("hb") - 1)
+    part = (
+        F.when(~F.col("at_home"), F.pmod(F.shiftright("code", 7), parts))
+        .when(k > 0, F.pmod(k, parts))
+        .otherwise(-k)
     )
-    met = (F.col("hb") > 0) & (~F.col("at_home") | F.lit(within) | (F.col("vb") > 0))
-    blocked = sized.where(met).withColumn("blk", block.cast("int"))
-    spread = blocked.select("cell", "id", "vec", "blk", F.explode(facing).alias("o"))
-    rows = spread.select(
-        "cell",
-        F.least("blk", "o").alias("ta"),
-        F.greatest("blk", "o").alias("tb"),
-        "blk",
+    inner = F.lit(_WITHIN) if layout.within else F.lit(_HELD)
+    role = F.when(streamed, F.lit(_STREAMED)).when(k == 0, inner).otherwise(F.lit(_HELD))
+    # Of an even circle, opposite blocks meet only in the strip of the first half.
+    twice = F.col("at_home") & (k > 0) & (2 * k == blocks) & (2 * target >= blocks)
+    rows = spread.where(~twice).select(
+        (F.col("first") + target * parts + part).alias("strip"),
+        role.alias("role"),
         "id",
         "vec",
     )
-    partitions = max(1, min(tiles, 16 * cores))
-    return Tiles(rows, tiles, partitions, id_type)
+    return Strips(rows, layout, id_type)
+
+
+def _in_one_cell(vectors: VectorTable, at_home: bool) -> DataFrame:
+    return vectors.rows.select(
+        "id", "vec", F.lit(0).alias("cell"), F.lit(at_home).alias("at_home")
+    )
+
+
+def _placed(assigned: DataFrame) -> DataFrame:
+    """One row per vector and cell, on its way to the shuffle."""
+
+    def place(cell: Column, at_home: bool) -> Column:
+        return F.struct(cell.alias("cell"), F.lit(at_home).alias("at_home"))
+
+    visiting = F.transform("visits", lambda c: place(c, False))
+    staying = F.when(F.col("home") >= 0, F.array(place(F.col("home"), True)))
+    places = F.concat(F.coalesce(staying, F.slice(visiting, 1, 0)), visiting)
+    exploded = assigned.select("id", "vec", F.explode(places).alias("p"))
+    return exploded.select("id", "vec", "p.cell", "p.at_home")
 
 
 def _pivot_number(rows: int, block_rows: int) -> int:
@@ -396,53 +571,60 @@ def _pivot_number(rows: int, block_rows: int) -> int:
     return 1 if blocks <= 8 else min(MAX_PIVOTS, blocks)
 
 
-def self_tiles(
+def self_strips(
     vectors: VectorTable,
     threshold: float,
     block_rows: int | None = None,
     pivots: int | None = None,
-) -> Tiles:
-    """Tiles in which every pair of rows above the threshold meets exactly once."""
+) -> Strips:
+    """Strips in which every pair of rows above the threshold meets exactly once.
+
+    Cells are counted before any vector moves, and given up for one cell, which needs no
+    visits, where they would not spare enough pairs; not when ``pivots`` are asked for.
+    """
     block_rows = block_rows or vectors.block_rows
+    cores = vectors.rows.sparkSession.sparkContext.defaultParallelism
     number = pivots or _pivot_number(vectors.count, block_rows)
-    if number == 1:
-        placed = _in_one_cell(vectors, True)
-        sizes = {(0, True): vectors.count}
-    else:
+    one = np.array([[vectors.count], [0]])
+    layout = Layout.plan(one, True, block_rows, cores)
+    if number > 1:
         points = choose_pivots(vectors, number)
         radii = cell_radii(vectors, points)
-        # The layout reads the placed rows twice: to count cells, and to fill tiles.
-        placed = materialize(
-            _in_cells(vectors, points, radii, threshold, "self"), "cells"
-        )
-        sizes = _cell_sizes(placed)
-    return _lay_out(placed, vectors.id_type, sizes, True, block_rows)
+        sizes = _cell_counts(vectors, points, radii, threshold, "self")
+        cells = Layout.plan(sizes, True, block_rows, cores)
+        if pivots or cells.pairs < WORTH_CELLS * layout.pairs:
+            assigned = _in_cells(vectors, points, radii, threshold, "self")
+            return _send(_placed(assigned), cells, vectors.id_type)
+    return _send(_in_one_cell(vectors, True), layout, vectors.id_type)
 
 
-def cross_tiles(
+def cross_strips(
     base: VectorTable,
     queries: VectorTable,
     threshold: float,
     block_rows: int | None = None,
     pivots: int | None = None,
-) -> Tiles:
-    """Tiles in which every query meets every base row above the threshold once.
-
-    In each tile, block ``ta`` holds base rows and block ``tb`` holds queries.
-    """
+) -> Strips:
+    """Strips in which every query meets every base row above the threshold once: blocks
+    hold base rows and queries are streamed. Cells are given up as in ``self_strips``."""
     block_rows = block_rows or queries.block_rows
+    cores = queries.rows.sparkSession.sparkContext.defaultParallelism
     number = pivots or _pivot_number(base.count, block_rows)
-    if number == 1:
-        placed = _in_one_cell(base, True).unionByName(_in_one_cell(queries, False))
-        sizes = {(0, True): base.count, (0, False): queries.count}
-    else:
+    one = np.array([[base.count], [queries.count]])
+    layout = Layout.plan(one, False, block_rows, cores)
+    if number > 1:
         points = choose_pivots(base, number)
         radii = cell_radii(base, points)
-        homes = _in_cells(base, points, radii, threshold, "base")
-        guests = _in_cells(queries, points, radii, threshold, "query")
-        placed = materialize(homes.unionByName(guests), "cells")
-        sizes = _cell_sizes(placed)
-    return _lay_out(placed, queries.id_type, sizes, False, block_rows)
+        homes = _cell_counts(base, points, radii, threshold, "base")
+        guests = _cell_counts(queries, points, radii, threshold, "query")
+        cells = Layout.plan(homes + guests, False, block_rows, cores)
+        if pivots or cells.pairs < WORTH_CELLS * layout.pairs:
+            staying = _in_cells(base, points, radii, threshold, "base")
+            visiting = _in_cells(queries, points, radii, threshold, "query")
+            placed = _placed(staying.unionByName(visiting))
+            return _send(placed, cells, queries.id_type)
+    placed = _in_one_cell(base, True).unionByName(_in_one_cell(queries, False))
+    return _send(placed, layout, queries.id_type)
 
 
 def reduce_cross(
@@ -457,12 +639,12 @@ def reduce_cross(
     together hold every pair above the threshold once.
 
     When one side is small, counted in bytes, it is broadcast and the other side stays
-    where it is. Beyond that size, or when a layout is given, the sides meet in tiles.
+    where it is. Beyond that size, or when a layout is given, the sides meet in strips.
     """
     small, large = sorted((base, queries), key=lambda v: v.size_bytes)
     if layout or small.size_bytes > BROADCAST_BYTES:
-        tiles = cross_tiles(base, queries, threshold, **layout)
-        return tiles.reduce_pairs(reducer, schema)
+        strips = cross_strips(base, queries, threshold, **layout)
+        return strips.reduce_pairs(reducer, schema)
     context = large.rows.sparkSession.sparkContext
     held = small.rows.toArrow()
     sent = context.broadcast((held["id"].to_numpy(), to_matrix(held["vec"])))
@@ -483,7 +665,7 @@ def reduce_cross(
     return rows.mapInArrow(meet, schema)
 
 
-# Inside a tile
+# Inside a strip
 
 _ARROW_IDS = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32()}
 
@@ -497,18 +679,7 @@ def result_table(id_type: str, ids: dict, similarity: np.ndarray | None = None)
     return pa.table(columns)
 
 
-def split_tile(tile: pa.Table):
-    """Ids and matrices of the two blocks; the same block twice on the diagonal."""
-    ta, tb = tile["ta"][0].as_py(), tile["tb"][0].as_py()
-    ids = tile["id"].to_numpy()
-    matrix = to_matrix(tile["vec"])
-    if ta == tb:
-        return ids, matrix, ids, matrix, True
-    first = tile["blk"].to_numpy() == ta
-    return ids[first], matrix[first], ids[~first], matrix[~first], False
-
-
-def strips(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+def products(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Similarities of the left rows with all right rows, some rows at a time."""
     if not len(left) or not len(right):
         return
@@ -543,7 +714,7 @@ class BlockPairs:
         """``(left, right, similarity)`` of pairs of different ids at or above the
         threshold, each unordered pair once, some left rows at a time."""
         almost = threshold - 10.0**-SIMILARITY_DIGITS
-        for start, sims in strips(self._left, self._right):
+        for start, sims in products(self._left, self._right):
             row, col = np.nonzero(sims >= almost)
             a, b, s = self._left_rank[row + start], self._right_rank[col], sims[row, col]
             s = rounded(s)

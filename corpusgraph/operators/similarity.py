@@ -69,8 +69,8 @@ def _every(id_type: str, threshold: float, direction: str):
 def all_lower(vectors: VectorTable, threshold: float, **layout) -> DataFrame:
     """Every pair of rows at or above the threshold: ``(id, neighbour, similarity)``,
     where the neighbour is the lower id."""
-    tiles = blocks.self_tiles(vectors, threshold, **layout)
-    return tiles.reduce_pairs(*_every(tiles.id_type, threshold, "higher"))
+    strips = blocks.self_strips(vectors, threshold, **layout)
+    return strips.reduce_pairs(*_every(strips.id_type, threshold, "higher"))
 
 
 def all_in(
@@ -185,10 +185,10 @@ def nearest(
     With ``lower_only`` a row only sees rows with lower ids, as if rows had been
     added in id order. Columns: ``id``, ``neighbour``, ``similarity``, ``rank``.
     """
-    tiles = blocks.self_tiles(vectors, threshold, block_rows, pivots)
+    strips = blocks.self_strips(vectors, threshold, block_rows, pivots)
     direction = "higher" if lower_only else "both"
-    reducer, schema = _best(tiles.id_type, threshold, k, direction)
-    return keep_best(tiles.reduce_pairs(reducer, schema), k)
+    reducer, schema = _best(strips.id_type, threshold, k, direction)
+    return keep_best(strips.reduce_pairs(reducer, schema), k)
 
 
 def nearest_in(

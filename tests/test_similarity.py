@@ -107,12 +107,61 @@ def test_pairs_of_different_vectors_with_their_copies(spark, layout):
 def test_pivots_spare_work_and_blocks_stay_bounded(spark):
     matrix = families(noise=0.1, copies=130)
     vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
-    whole = blocks.self_tiles(vectors, 0.95, 50, pivots=1)
-    pruned = blocks.self_tiles(vectors, 0.95, 50, pivots=12)
+    whole = blocks.self_strips(vectors, 0.95, 50, pivots=1)
+    pruned = blocks.self_strips(vectors, 0.95, 50, pivots=12)
     assert pruned.rows.count() < 0.7 * whole.rows.count()
-    for tiles in (whole, pruned):
-        largest = tiles.rows.groupBy("cell", "ta", "tb", "blk").count()
-        assert largest.agg(F.max("count")).first()[0] < 100
+    assert pruned.layout.pairs < 0.3 * whole.layout.pairs
+    for strips in (whole, pruned):
+        # Half of the blocks of a circle and the parts that hold a block, as planned.
+        assert abs(strips.rows.count() / strips.layout.sent - 1) < 0.15
+        held = strips.rows.where("role < 2").groupBy("strip").count()
+        assert held.agg(F.max("count")).first()[0] < 100
+    assert whole.rows.count() < 0.65 * whole.number * vectors.count
+
+
+def test_every_pair_of_blocks_meets_once(spark):
+    for count in (1, 2, 3, 4, 7, 8):
+        vectors = blocks.load_vectors(frame(spark, families()[:-1]), "id", "v")
+        strips = blocks.self_strips(vectors, 0.0, -(-vectors.count // count), pivots=1)
+        assert len(strips.layout.blocks) == 1
+        schema = "low bigint, high bigint"
+
+        def pairs(left_ids, left, right_ids, right, same):
+            import pyarrow as pa
+
+            a, b = (x.ravel() for x in np.meshgrid(left_ids, right_ids))
+            kept = a < b if same else a != b
+            low, high = np.minimum(a, b)[kept], np.maximum(a, b)[kept]
+            yield pa.table({"low": low, "high": high})
+
+        found = strips.reduce(pairs, schema)
+        n = vectors.count
+        assert (found.count(), found.distinct().count()) == (n * (n - 1) // 2,) * 2
+
+
+def test_cells_that_spare_nothing_are_given_up(spark, monkeypatch):
+    monkeypatch.setattr(blocks, "_pivot_number", lambda rows, block_rows: 12)
+    rng = np.random.default_rng(5)
+    spread = blocks.load_vectors(frame(spark, rng.normal(size=(300, 30))), "id", "v")
+    near = blocks.load_vectors(frame(spark, families(noise=0.02)), "id", "v")
+    assert len(blocks.self_strips(spread, 0.3, 50).layout.blocks) == 1
+    assert len(blocks.self_strips(near, 0.95, 50).layout.blocks) > 1
+    assert len(blocks.cross_strips(spread, spread, 0.3, 50).layout.blocks) == 1
+
+
+def test_two_levels_of_pivots_lose_no_pair(spark):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(60, 8))
+    matrix = centres[rng.integers(0, 60, 900)] + 0.1 * rng.normal(size=(900, 8))
+    vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
+    pivots = blocks.choose_pivots(vectors, 60)
+    assert len(pivots) > blocks.ONE_LEVEL and 1 < len(pivots.leading) < 12
+    assert sorted(np.concatenate(pivots.members)) == list(range(len(pivots)))
+    found = sim.all_lower(vectors, 0.9, block_rows=40, pivots=60)
+    sims = cosines(matrix)
+    low, high = np.nonzero(np.triu(sims >= 0.9, 1))
+    got = {(r["neighbour"], r["id"]) for r in found.collect()}
+    assert got == set(zip(low.tolist(), high.tolist())) and len(got) > 1000
 
 
 def test_plans_have_no_cross_join(spark):
@@ -243,8 +292,8 @@ def test_distribution_equals_numpy(spark, monkeypatch):
     monkeypatch.setattr(blocks, "MIN_BLOCK_ROWS", 64)
     matrix = families()[:-1]
     sampled = distribution.sample_pairs(frame(spark, matrix), "id", ["v"], size=300)["v"]
-    assert sampled.tiles.number > 1
-    rows = sampled.tiles.rows.select("id").distinct().collect()
+    assert sampled.strips.number > 1
+    rows = sampled.strips.rows.select("id").distinct().collect()
     chosen = sorted(r["id"] for r in rows)
     values = cosines(matrix[chosen])[np.triu_indices(300, 1)]
 

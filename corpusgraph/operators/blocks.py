@@ -45,7 +45,7 @@ MAX_PIVOTS = 1024
 PIVOT_BYTES = 64 << 20
 BROADCAST_BYTES = 64 << 20
 # Similarities computed, and pairs kept, at a time within two blocks.
-STRIP_CELLS = 4 << 20
+STRIP_CELLS = 1 << 19  # a few megabytes, which stay in a core's cache
 KEPT_PAIRS = 1 << 20
 
 SIMILARITY_DIGITS = 9

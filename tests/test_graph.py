@@ -1,5 +1,9 @@
 """Graph tables."""
 
+import hashlib
+from itertools import count
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -21,6 +25,18 @@ def patents(spark, rows):
     )
 
 
+def seed_for(*ids):
+    """A seed whose hash order is the given one."""
+
+    def code(seed, i):
+        return hashlib.md5(f"{seed}:{i}".encode()).hexdigest()
+
+    return next(s for s in count() if list(ids) == sorted(ids, key=lambda i: code(s, i)))
+
+
+ORDER = seed_for("a", "b", "c:1", "e")
+
+
 def edges(found, kind):
     chosen = found.edges.where(F.col("type") == kind).collect()
     return sorted((r["src"], r["dst"]) for r in chosen)
@@ -55,7 +71,7 @@ def test_dense_graph(rows):
 
 
 def test_clustered_graph(rows):
-    found = graph.clustered_graph(rows)
+    found = graph.clustered_graph(rows, ORDER)
     assert edges(found, "HAS_PROBLEM") == [
         ("Patent:a", "Problem:a"),
         ("Patent:b", "Problem:a"),
@@ -84,29 +100,59 @@ def test_totals_of_a_graph_without_similar_nodes(spark):
     }
 
 
-def stored(spark, found):
+def stored(spark, *versions):
     path = scratch_dir(spark, "graph")
-    graph.write_graph(found, path)
+    for number, part in enumerate(versions):
+        graph.write_graph(part, path, number)
     return graph.read_graph(spark, path)
 
 
 def contents(found):
-    nodes = [(r["node_id"], r["merge_count"], r["description"], r["embedding"])
-             for r in found.nodes.collect()]
+    names = ["merge_count", "description", "embedding", "leader_embedding", "member_sum"]
+    nodes = [
+        (r["node_id"], *(str(np.round(r[n], 12) if isinstance(r[n], list) else r[n]) for n in names))
+        for r in found.nodes.collect()
+    ]
     edges = [(r["src"], r["dst"], r["type"], r["similarity"]) for r in found.edges.collect()]
     return sorted(map(str, nodes)), sorted(map(str, edges))
 
 
 def test_updates_equal_a_rebuild(spark, rows):
-    first = stored(spark, graph.clustered_graph(rows.where(F.col(KEY) < "b")))
+    first = stored(spark, graph.clustered_graph(rows.where(F.col(KEY) < "b"), ORDER))
     assert graph.pending_rows(rows, first.nodes).count() == 3
-    grown = graph.update_clustered_graph(first, rows)
-    whole = graph.clustered_graph(rows)
+    grown = graph.update_clustered_graph(first, rows, ORDER)
+    whole = graph.clustered_graph(rows, ORDER)
     assert contents(grown) == contents(whole)
-    again = graph.update_clustered_graph(stored(spark, whole), rows)
+    again = graph.update_clustered_graph(stored(spark, whole), rows, ORDER)
     assert contents(again) == contents(whole)
 
 
+def test_a_change_needs_no_earlier_rows_and_holds_touched_clusters_alone(spark, rows):
+    old = graph.clustered_graph(rows.where(F.col(KEY) != "b"), ORDER)
+    change = graph.clustered_change(stored(spark, old), rows.where(F.col(KEY) == "b"), ORDER)
+    assert sorted(r["node_id"] for r in change.nodes.collect()) == [
+        "Patent:b",
+        "Problem:a",
+        "Solution:a",
+    ]
+    assert change.edges.count() == 3
+    grown = stored(spark, old, change)
+    assert contents(grown) == contents(graph.clustered_graph(rows, ORDER))
+    # A version more, which touches the same clusters once more.
+    late = patents(spark, [("b2", UNIT["near"], UNIT["y"])])
+    later = graph.clustered_change(grown, late, ORDER)
+    node = {r["node_id"]: r for r in stored(spark, old, change, later).nodes.collect()}
+    assert node["Problem:a"]["merge_count"] == node["Solution:a"]["merge_count"] == 3
+    assert len(node) == 4 + 3 + 2 + 1
+
+
+def test_a_change_without_new_rows_is_empty(spark, rows):
+    whole = graph.clustered_graph(rows, ORDER)
+    change = graph.clustered_change(stored(spark, whole), rows, ORDER)
+    assert change.nodes.count() == change.edges.count() == 0
+    assert contents(stored(spark, whole, change)) == contents(whole)
+
+
 def test_dense_updates_equal_a_rebuild(spark, rows):
     first = stored(spark, graph.dense_graph(rows.where(F.col(KEY) < "b")))
     grown = graph.update_dense_graph(first, rows)
@@ -146,6 +192,6 @@ def test_links_keep_the_score_that_was_set_last(spark):
             ("c", [0.86, 0.5103], [1.0, 0.0]),
         ],
     )
-    found = graph.clustered_graph(rows).edges.where("type = 'SIMILAR_TO'").collect()
+    found = graph.clustered_graph(rows, seed_for("a", "b", "c")).edges.where("type = 'SIMILAR_TO'").collect()
     assert [(r["src"], r["dst"]) for r in found] == [("Problem:b", "Problem:a")]
     assert found[0]["similarity"] == pytest.approx(0.86, abs=1e-3)

@@ -1,5 +1,7 @@
 """Pair joins, clustering and distributions against brute force."""
 
+import hashlib
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -203,14 +205,20 @@ def test_row_functions(spark):
     assert tuple(found[2]) == (None, None, False)
 
 
-def one_at_a_time(sims, merge=0.9, link=0.8):
+def hash_order(ids):
+    return sorted(ids, key=lambda i: hashlib.md5(f"42:{i}".encode()).hexdigest())
+
+
+def one_at_a_time(sims, merge=0.9, link=0.8, order=None):
     """Add the rows in order: merge with the best leader or become one."""
     leaders, members, links = [], {}, {}
-    for t in range(len(sims)):
-        near = sorted((-sims[t, o], o) for o in leaders if sims[t, o] >= link)
-        own = near[0][1] if near and -near[0][0] >= merge else t
+    order = order or hash_order(range(len(sims)))
+    turn = {t: k for k, t in enumerate(order)}
+    for t in order:
+        near = sorted((-sims[t, o], turn[o], o) for o in leaders if sims[t, o] >= link)
+        own = near[0][2] if near and -near[0][0] >= merge else t
         members[t] = own
-        for score, o in near:
+        for score, _, o in near:
             if link <= -score < merge and o != own:
                 links[own, o] = pytest.approx(-score, abs=1e-8)
         if own == t:
@@ -256,7 +264,32 @@ def test_clustering_in_two_runs_equals_one(spark):
     rest = vectors.subset(vectors.rows.where("id >= 200"))
     second = clustering.cluster(rest, known=first.leaders)
     both = first.members.unionByName(second.members).collect()
-    assert {r["id"]: r["leader"] for r in both} == one_at_a_time(cosines(matrix))[0]
+    order = hash_order(range(200)) + hash_order(range(200, len(matrix)))
+    members, links = one_at_a_time(cosines(matrix), order=order)
+    assert {r["id"]: r["leader"] for r in both} == members
+    found = {(r["src"], r["dst"]): r["similarity"] for r in clustering.similar_links(second).collect()}
+    assert found and found.items() <= links.items()
+
+
+def test_a_chain_takes_few_rounds(spark):
+    """Of 10,000 rows each merges with the one before and the one after it alone."""
+    n = 10_000
+    turns = np.random.default_rng(7).uniform(0.2, 0.55, 12)
+    angle = np.arange(n)[:, None] * turns
+    matrix = np.c_[np.cos(angle), np.sin(angle)]
+    by_distance = np.cos(angle).mean(axis=1)
+    assert by_distance[1] >= 0.9 and by_distance[2:].max() < 0.9
+    vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
+    clusters = clustering.cluster(vectors, finish_rows=4)
+    assert clusters.rounds <= 30
+    order = hash_order(range(n))
+    turn, leaders, members = {t: k for k, t in enumerate(order)}, set(), {}
+    for t in order:
+        near = [o for o in (t - 1, t + 1) if o in leaders]
+        members[t] = min(near, key=turn.get, default=t)
+        if members[t] == t:
+            leaders.add(t)
+    assert {r["id"]: r["leader"] for r in clusters.members.collect()} == members
 
 
 def test_centroids_are_normalised_means(spark):

@@ -89,7 +89,8 @@ def dense_solution_edges(spark: SparkSession, sf: str) -> DataFrame:
 
 def graph_nodes(spark: SparkSession, sf: str) -> DataFrame:
     nodes = graph.dense_nodes(inputs.patents(spark, sf))
-    return nodes.withColumn("embedding", r6(F.get("embedding", F.lit(63))))
+    last = nodes.withColumn("embedding", r6(F.get("embedding", F.lit(63))))
+    return last.drop("leader_embedding", "member_sum")
 
 
 def graph_edges(spark: SparkSession, sf: str) -> DataFrame:
@@ -119,29 +120,36 @@ def clustered_graph_edges(spark: SparkSession, sf: str) -> DataFrame:
     return _edge_rows(graph.clustered_graph(inputs.patents(spark, sf)).edges)
 
 
-def _stored(spark: SparkSession, whole: graph.Graph) -> graph.Graph:
+def _stored(spark: SparkSession, *versions: graph.Graph) -> graph.Graph:
     path = scratch_dir(spark, "graph")
-    graph.write_graph(whole, path)
+    for number, part in enumerate(versions):
+        graph.write_graph(part, path, number)
     return graph.read_graph(spark, path)
 
 
-def _first_half(spark: SparkSession, sf: str, rows: DataFrame) -> DataFrame:
+def _halves(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The patents of the first half in number order, and the others."""
+    rows = inputs.patents(spark, sf)
     middle = inputs.patent_number(F.lit(table(spark, sf, "embeddings").count() * 2))
-    return rows.where(F.col("publication_number") < middle)
+    number = F.col("publication_number")
+    return rows.where(number < middle), rows.where(number >= middle)
 
 
 def graph_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """The first half in number order, then everything: the same as all at once."""
-    rows = inputs.patents(spark, sf)
-    first = graph.clustered_graph(_first_half(spark, sf, rows))
-    return _edge_rows(graph.update_clustered_graph(_stored(spark, first), rows).edges)
+    """A stored graph of the first half, and the change by the second half alone, stored
+    as its next version: the same as all at once, if the first half comes first."""
+    first, second = _halves(spark, sf)
+    whole = graph.clustered_graph(first)
+    change = graph.clustered_change(_stored(spark, whole), second)
+    return _edge_rows(_stored(spark, whole, change).edges)
 
 
 def dense_incremental(spark: SparkSession, sf: str) -> DataFrame:
-    """The first half in number order, then everything: the same as all at once."""
-    rows = inputs.patents(spark, sf)
-    first = graph.dense_graph(_first_half(spark, sf, rows))
-    return _edge_rows(graph.update_dense_graph(_stored(spark, first), rows).edges)
+    """The same with the dense graph, which is the same as all at once."""
+    first, second = _halves(spark, sf)
+    whole = graph.dense_graph(first)
+    change = graph.dense_change(_stored(spark, whole), second)
+    return _edge_rows(_stored(spark, whole, change).edges)
 
 
 def graph_stats(spark: SparkSession, sf: str) -> DataFrame:
@@ -222,12 +230,37 @@ def similarity_box(spark: SparkSession, sf: str) -> DataFrame:
 # Comparison SQL
 
 
-def _leader_ctes(name: str, pairs: str) -> str:
-    """Walk the rows in order and note the leaders; rows without a lower neighbour
-    above the threshold are leaders from the start."""
+def _number(column: str) -> str:
+    return f"'P' || lpad(({column})::varchar, 9, '0')"
+
+
+def _by_id(column: str) -> str:
+    return f"md5('42:' || {column})"
+
+
+def _by_number(column: str) -> str:
+    return f"md5('42:' || {_number(column)})"
+
+
+def _by_half(column: str) -> str:
+    """Rows of the first half, which are in the graph already, come first."""
+    later = f"({column} >= (select count(*) * 2 from embeddings))::int"
+    return f"({later} || {_by_number(column)})"
+
+
+def _leader_ctes(name: str, pairs: str, key) -> str:
+    """Walk the rows in the order of ``key`` and note the leaders; rows without an earlier
+    neighbour above the threshold are leaders from the start."""
     return f"""
-    {name}_low as materialized (select j id, list(i) lows,
-        row_number() over (order by j) place from {pairs} where s >= 0.9 group by j),
+    {name}_keys as materialized (select id, {key('id')} k from vectors),
+    {name}_seen as materialized (select
+        case when a.k < b.k then i else j end early, least(a.k, b.k) early_key,
+        case when a.k < b.k then j else i end late, greatest(a.k, b.k) late_key, s
+        from {pairs} join {name}_keys a on a.id = i join {name}_keys b on b.id = j
+        where s >= 0.8),
+    {name}_low as materialized (select late id, list(early) lows,
+        row_number() over (order by late_key) place
+        from {name}_seen where s >= 0.9 group by late, late_key),
     {name}_walk as (
         select 0::bigint place, (select list(id) from vectors where id not in
             (select id from {name}_low)) found
@@ -237,25 +270,25 @@ def _leader_ctes(name: str, pairs: str) -> str:
         from {name}_walk w join {name}_low l on l.place = w.place + 1),
     {name}_leaders as materialized (select unnest(arg_max(found, place)) id
         from {name}_walk),
-    {name}_ranked as materialized (select j id, i neighbour, s, row_number() over
-        (partition by j order by s desc, i) place
-        from {pairs} where s >= 0.8 and i in (select id from {name}_leaders)),
+    {name}_ranked as materialized (select late id, early neighbour, s, late_key,
+        row_number() over (partition by late order by s desc, early_key) place
+        from {name}_seen where early in (select id from {name}_leaders)),
     {name}_members as materialized (select v.id, coalesce(r.neighbour, v.id) leader,
         coalesce(r.s, 1.0::double) similarity
         from vectors v left join {name}_ranked r
         on r.id = v.id and r.place = 1 and r.s >= 0.9),
     {name}_links as materialized (select leader src, neighbour dst,
-        arg_max(s, r.id) similarity
+        arg_max(s, late_key) similarity
         from {name}_ranked r join {name}_members m on m.id = r.id
         where s < 0.9 and leader <> neighbour group by 1, 2)"""
 
 
-_FORWARD = _leader_ctes("p", "pairs")
-_BOTH = f"{_FORWARD}, {_leader_ctes('q', 'backwards')}"
+def _both_sides(key) -> str:
+    return f"{_leader_ctes('p', 'pairs', key)}, {_leader_ctes('q', 'backwards', key)}"
 
 
-def _number(column: str) -> str:
-    return f"'P' || lpad(({column})::varchar, 9, '0')"
+_FORWARD = _leader_ctes("p", "pairs", _by_id)
+_BOTH = _both_sides(_by_number)
 
 
 def _node(label: str, column: str) -> str:
@@ -438,7 +471,7 @@ CHECKS = {
             problem description from p_members join patents using (id)""",
             "patents",
             "pairs",
-            ctes=_FORWARD,
+            ctes=_leader_ctes("p", "pairs", _by_number),
             recursive=True,
         ),
     ),
@@ -448,7 +481,7 @@ CHECKS = {
     ),
     "graph_incremental": Check(
         graph_incremental,
-        with_views(_CLUSTERED, "backwards", ctes=_BOTH, recursive=True),
+        with_views(_CLUSTERED, "backwards", ctes=_both_sides(_by_half), recursive=True),
     ),
     "dense_problem_edges": Check(
         dense_problem_edges,

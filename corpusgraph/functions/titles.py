@@ -112,8 +112,8 @@ def clickbait_score(title: Column) -> Column:
         part(F.contains(title, F.lit("?")), QUESTION_WEIGHT),
         part(title.rlike(r"\p{Nd}"), DIGIT_WEIGHT),
         *[part(F.contains(low, F.lit(p)), PHRASE_WEIGHT) for p in CLICKBAIT_PHRASES],
-        F.lit(SHOUT_WEIGHT) * F.least(shouts, F.lit(MAX_SHOUTS)),
+        F.lit(SHOUT_WEIGHT) * F.least(F.coalesce(shouts, F.lit(0)), F.lit(MAX_SHOUTS)),
     ]
-    total = reduce(lambda left, right: left + right, parts)
-    # ``least`` skips NULLs, so a missing title has to be asked for.
-    return F.when(title.isNull(), F.lit(0.0)).otherwise(F.least(total, F.lit(1.0)))
+    # Every part of a missing title is 0. No branch around the sum: within a branch the
+    # lower-cased title would be computed once per phrase.
+    return F.least(reduce(lambda left, right: left + right, parts), F.lit(1.0))

@@ -4,36 +4,122 @@ from __future__ import annotations
 
 from itertools import accumulate
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from corpusgraph.sources.scratch import materialize
+from corpusgraph.sources.scratch import materialize, materialize_measured
+
+
+# Rows that are few enough to be sorted in one task, key and order alone.
+SORTED_ROWS = 1 << 17
+# Values at which one pass counts the rows before them.
+CUTS = 24
+
+
+class _Order:
+    """The order of rows by a column, NULLs last, and then by key, NULLs first."""
+
+    def __init__(self, by: Column, key: Column, descending: bool) -> None:
+        self._columns = [
+            (by.isNull().cast("int"), False),
+            (by, descending),
+            (key.isNotNull().cast("int"), False),
+            (key, False),
+        ]
+
+    def sort(self) -> list[Column]:
+        return [c.desc() if down else c.asc() for c, down in self._columns]
+
+    def before(self, row: Row, or_at: bool = False) -> Column:
+        """Rows that come before the row with the values ``_by`` and ``_key``."""
+        by, key = row["_by"], row["_key"]
+        values = [int(by is None), by, int(key is not None), key]
+        found = F.lit(or_at)
+        for (column, down), value in reversed(list(zip(self._columns, values, strict=True))):
+            if value is not None:
+                ahead = column > F.lit(value) if down else column < F.lit(value)
+                found = ahead | ((column == F.lit(value)) & found)
+        return found
+
+
+def _nth(stored: DataFrame, order: _Order, n: int, total: int) -> tuple[Row, int]:
+    """The ``n``-th row of stored ``_by`` and ``_key``, and how many come before its equals.
+
+    Every pass draws some of the rows that are left as cuts and counts the rows before and
+    up to each of them. What remains lies between two cuts; a value that many rows share
+    is soon a cut itself. No row is shuffled but the drawn ones, until few are left.
+    """
+    left, need, passed = stored, n, 0
+    while total > SORTED_ROWS:
+        drawn = left.sample(min(1.0, 4 * CUTS / total), seed=need & 0xFFFF).limit(16 * CUTS)
+        found = drawn.distinct().orderBy(*order.sort()).collect() or left.take(1)
+        step = max(1, len(found) // CUTS)
+        cuts = found[step // 2 :: step][:CUTS]
+        counted = left.agg(
+            *[F.count_if(order.before(c)).alias(f"b{i}") for i, c in enumerate(cuts)],
+            *[F.count_if(order.before(c, True)).alias(f"t{i}") for i, c in enumerate(cuts)],
+        ).first()
+        reached = [i for i in range(len(cuts)) if counted[f"t{i}"] >= need]
+        last = reached[0] if reached else len(cuts)
+        if reached and counted[f"b{last}"] < need:
+            return cuts[last], passed + counted[f"b{last}"]
+        below = counted[f"t{last - 1}"] if last else 0
+        above = counted[f"b{last}"] if reached else total
+        if last:
+            left = left.where(~order.before(cuts[last - 1], True))
+        if reached:
+            left = left.where(order.before(cuts[last]))
+        need, passed, total = need - below, passed + below, above - below
+    row = left.orderBy(*order.sort()).offset(need - 1).first()
+    return row, passed + left.where(order.before(row)).count()
+
+
+def _any(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` of equal rows, without sending them to one task: as many of each partition as
+    are still wanted after the partitions before it."""
+    spark = rows.sparkSession
+    marked = materialize(rows.withColumn("_mark", F.monotonically_increasing_id()), "equal")
+    part = F.shiftright("_mark", 33)
+    sizes = marked.groupBy(part.alias("_part")).count().orderBy("_part").collect()
+    starts = accumulate((row["count"] for row in sizes), initial=0)
+    wanted = [(row["_part"], max(0, n - start)) for row, start in zip(sizes, starts)]
+    # One row per partition.
+    quota = spark.createDataFrame(wanted, "_part bigint, _wanted bigint")
+    place = F.col("_mark").bitwiseAND(F.lit((1 << 33) - 1))
+    return (
+        marked.withColumn("_part", part)
+        .join(F.broadcast(quota), "_part")
+        .where(place < F.col("_wanted"))
+        .drop("_mark", "_part", "_wanted")
+    )
 
 
 def top_n(
     df: DataFrame, key: str, n: int, by: Column | None = None, descending: bool = False
 ) -> DataFrame:
-    """The first ``n`` rows by ``by`` and then key, for an ``n`` too large to send n
-    whole rows from every task to one. NULLs of ``by`` come last; repeated and NULL
-    keys are rows like others, and of equal rows any is as good.
+    """The first ``n`` rows by ``by`` and then key, for an ``n`` of any size. NULLs of
+    ``by`` come last; repeated and NULL keys are rows like others, and of equal rows any
+    is as good.
 
-    Only key and order are ranked: first within buckets of a hash of the key, then
-    among the best of all buckets. The rows themselves are picked by a join with at
-    most ``n`` keys; where keys repeat, the first ``n`` of the picked rows stay.
+    Key and order alone are written out, and the n-th of them is found by counting. All
+    rows before it are in the result, from wherever they are; only if others are equal to
+    it in order and key, as many of these as are needed.
     """
-    buckets = 4 * df.sparkSession.sparkContext.defaultParallelism
-    first = F.desc_nulls_last("_by") if descending else F.asc_nulls_last("_by")
-    narrow = df.select(key, (F.lit(0) if by is None else by).alias("_by"))
-    bucket = F.pmod(F.xxhash64(key), F.lit(buckets))
-    ranked = Window.partitionBy(bucket).orderBy(first, key)
-    heads = narrow.withColumn("_place", F.row_number().over(ranked))
-    best = heads.where(F.col("_place") <= n).orderBy(first, key).limit(n)
-    keys = best.select(F.col(key).alias("_key")).distinct()
-    picked = df.join(keys, F.col(key).eqNullSafe(F.col("_key")), "left_semi")
-    if by is None:
-        return picked.orderBy(key).limit(n)
-    order = by.desc_nulls_last() if descending else by.asc_nulls_last()
-    return picked.orderBy(order, key).limit(n)
+    rank = F.lit(0) if by is None else by
+    narrow = df.select(rank.alias("_by"), F.col(key).alias("_key"))
+    stored, seen = materialize_measured(narrow, "keys", n=F.count(F.lit(1)))
+    if n >= seen["n"]:
+        return df
+    if n <= 0:
+        return df.where(F.lit(False))
+    last, before = _nth(stored, _Order(F.col("_by"), F.col("_key"), descending), n, seen["n"])
+    order = _Order(rank, F.col(key), descending)
+    up_to = df.where(order.before(last, True))
+    equal = stored.where(F.col("_by").eqNullSafe(last["_by"]) & F.col("_key").eqNullSafe(last["_key"]))
+    if equal.count() == n - before:
+        return up_to
+    ties = up_to.where(~order.before(last))
+    return df.where(order.before(last)).unionByName(_any(ties, n - before))
 
 
 def seeded_sample(df: DataFrame, key: str, n: int = 500, seed: int = 42) -> DataFrame:

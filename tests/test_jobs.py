@@ -1,5 +1,7 @@
 """Work selection and model-backed jobs."""
 
+from datetime import datetime
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -262,3 +264,44 @@ def test_cost_summaries_are_zero_without_data(spark):
     )
     assert rows(costs.extraction_cost_summary(empty)) == [(0, 0, 0, 0, 0, 0)]
     assert rows(costs.embedding_cost_summary(empty)) == [(0,) * 12]
+
+
+@pytest.mark.parametrize(
+    ("by", "descending"), [(None, False), ("s", True), ("x", False), ("when", True)]
+)
+def test_top_n_by_counting_passes(spark, monkeypatch, by, descending):
+    """NULL and repeated keys and orders, a third of all rows equal, tiny sorted rests."""
+    import random
+
+    monkeypatch.setattr(sampling, "SORTED_ROWS", 5)
+    monkeypatch.setattr(sampling, "CUTS", 3)
+    rng = random.Random(8)
+    rows = [
+        (
+            rng.choice([None, *range(40)]),
+            rng.choice([None, "", "é", "z", "Z"]),
+            rng.choice([None, -1.5, 0.0, 2.0]),
+            datetime(2024, 1, rng.randint(1, 9), 1, 2, 3, 456789),
+            n,
+        )
+        for n in range(200)
+    ]
+    rows += [(7, "z", 2.0, datetime(2024, 1, 5), 1000 + n) for n in range(100)]
+    df = spark.createDataFrame(rows, "id int, s string, x double, when timestamp, n int")
+    place = {"s": 1, "x": 2, "when": 3}
+
+    def rank(row):
+        value = row[place[by]] if by else 0
+        return value, row[0]
+
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
+    if by:
+        present = [r for r in ordered if rank(r)[0] is not None]
+        present.sort(key=lambda r: rank(r)[0], reverse=descending)
+        ordered = present + [r for r in ordered if rank(r)[0] is None]
+    for n in (0, 37, 231, 500):
+        column = F.col(by) if by else None
+        found = sampling.top_n(df.repartition(6), "id", n, column, descending and bool(by))
+        got = [tuple(r) for r in found.collect()]
+        assert len(got) == len(set(got)) == min(n, 300)
+        assert sorted(map(rank, got), key=str) == sorted(map(rank, ordered[:n]), key=str)

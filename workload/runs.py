@@ -60,6 +60,17 @@ def pending_extractions(spark: SparkSession, sf: str) -> DataFrame:
     return incremental.pending(inputs.cleaned(spark, sf), done, KEY, constants=VERSION)
 
 
+def pending_limited(spark: SparkSession, sf: str) -> DataFrame:
+    """The first ten thousand line items of orders that are not finished, with NULL and
+    repeated keys: how many of each key."""
+    key = F.when(F.col("l_linenumber") != 7, F.col("l_orderkey")).alias("key")
+    lines = table(spark, sf, "lineitem").select(key)
+    finished = table(spark, sf, "orders").where(F.col("o_orderstatus") == "F")
+    done = finished.select(F.col("o_orderkey").alias("key"))
+    rest = incremental.pending(lines, done, "key", limit=10_000)
+    return rest.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
 def pending_generations(spark: SparkSession, sf: str) -> DataFrame:
     return extraction.unfetched_generations(
         inputs.extractions(spark, sf),
@@ -250,6 +261,14 @@ CHECKS = {
             "extractions",
         ),
     ),
+    "pending_limited": Check(
+        pending_limited,
+        """select key, count(*) n from (
+            select key from (select case when l_linenumber <> 7 then l_orderkey end key
+                from lineitem) where key is null or key not in
+                (select o_orderkey from orders where o_orderstatus = 'F')
+            order by key nulls first limit 10000) group by key""",
+    ),
     "pending_generations": Check(
         pending_generations,
         with_views(

@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -188,55 +188,80 @@ def deinterleave(df: DataFrame, key: str, value: str) -> DataFrame:
     return paired.where(F.col("_n") == 2).drop("_n")
 
 
+def _keys(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def _label(keys: Sequence[str]) -> Column:
+    return F.concat_ws("\x1f", *[F.col(k).cast("string") for k in keys])
+
+
+def _in_named_batches(df: DataFrame, keys: Sequence[str], size: int) -> DataFrame:
+    """Add ``batch``, consecutive rows by key, and ``batch_id``, made from the keys of the
+    batch alone: the same rows have the same id in every run, other rows another one."""
+    batched = in_batches(df, *keys, size=size)
+    # A window is one batch, of ``size`` rows.
+    labels = F.array_sort(F.collect_list(_label(keys)).over(Window.partitionBy("batch")))
+    made = F.concat(F.lit("emb-"), F.md5(F.concat_ws("\n", labels)))
+    return batched.withColumn("batch_id", made)
+
+
 def assign_embedding_batches(
-    df: DataFrame, key: str, size: int = EMBED_BATCH
+    df: DataFrame, key: str | Sequence[str], size: int = EMBED_BATCH
 ) -> DataFrame:
-    """Number consecutive batches by key and give those without an id one of their own.
+    """Number consecutive batches by key and give those without an id one of their own,
+    which ``embed_pairs`` gives the same batch.
 
-    A batch whose first row has an ``embedding_generation_id`` keeps it; otherwise the
-    shared id is made from the batch number, so a retry makes the same one.
+    Rows that have an ``embedding_generation_id`` keep it.
     """
-    batched = in_batches(df, key, size=size)
-    made = F.concat(F.lit("emb-"), F.col("batch").cast("string"))
-    given = F.col("embedding_generation_id")
-    return batched.withColumn("embedding_generation_id", F.coalesce(given, made))
+    named = _in_named_batches(df, _keys(key), size)
+    given = F.coalesce("embedding_generation_id", "batch_id")
+    return named.withColumn("embedding_generation_id", given).drop("batch_id")
 
 
 def embed_pairs(
     df: DataFrame,
     embedder: Embedder,
-    key: str = "publication_number",
+    key: str | Sequence[str] = "publication_number",
     batch: int = EMBED_BATCH,
     dim: int = EMBEDDING_DIM,
     limit: int | None = None,
+    concurrency: int | None = None,
 ) -> DataFrame:
     """Embed problem and solution of the rows that lack a vector.
 
-    Each call gets the texts of ``batch`` rows in pairs; a call that fails or returns
-    a wrong number of vectors rejects all of its rows, and a vector of a wrong
-    dimension rejects its row. ``limit`` cuts the texts. Columns: key, ``problem_embedding``,
-    ``solution_embedding``, ``embedding_generation_id``, ``reason``.
+    Batches are cut by key before any call, so they do not depend on partitions. Each call
+    gets the texts of the rows of a batch in pairs; a call that fails or returns a wrong
+    number of vectors rejects all of its rows, and a vector of a wrong dimension rejects
+    its row. ``limit`` cuts the texts; ``concurrency`` bounds the calls at a time. Columns:
+    key, ``problem_embedding``, ``solution_embedding``, ``embedding_generation_id``,
+    ``reason``.
     """
+    keys = _keys(key)
     todo = df
     if {"problem_embedding", "solution_embedding"} <= set(df.columns):
         todo = lacking_any(df, ["problem_embedding", "solution_embedding"])
-    inputs = model_inputs(todo, limit).select(
-        key,
+    named = _in_named_batches(todo.select(*keys, "problem", "solution"), keys, batch)
+    inputs = model_inputs(named, limit).select(
+        *keys,
+        "batch",
+        "batch_id",
         all_missing("problem", "solution").alias("missing"),
         "problem_input",
         "solution_input",
     )
-    key_type = inputs.schema[key].dataType.simpleString()
+    spread = inputs.repartition(*[concurrency] * bool(concurrency), "batch")
+    kinds = _ddl(inputs.schema[k] for k in keys)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in _slices(batches, batch):
+        for rows in _whole_batches(batches):
             empty = rows["missing"].astype(bool)
-            yield _embedded(rows[~empty].reset_index(drop=True), embedder, key)
-            yield _unasked(rows[empty], key)
+            yield _embedded(rows[~empty].reset_index(drop=True), embedder, keys)
+            yield _unasked(rows[empty], keys)
 
-    asked = inputs.mapInPandas(
+    asked = spread.sortWithinPartitions("batch", *keys).mapInPandas(
         call,
-        f"`{key}` {key_type}, problem_embedding array<double>, "
+        f"{kinds}, problem_embedding array<double>, "
         "solution_embedding array<double>, embedding_generation_id string, reason string",
     )
     right = has_dimension(dim, F.col("problem_embedding"), F.col("solution_embedding"))
@@ -244,28 +269,29 @@ def embed_pairs(
     return asked.withColumn("reason", F.coalesce(F.col("reason"), wrong))
 
 
-def _slices(batches: Iterator[pd.DataFrame], size: int) -> Iterator[pd.DataFrame]:
-    """Regroup the rows of a partition into slices of ``size`` rows."""
+def _whole_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Regroup sorted rows of a partition by their batch."""
     rest: pd.DataFrame | None = None
     for rows in batches:
         rest = rows if rest is None else pd.concat([rest, rows], ignore_index=True)
-        while len(rest) >= size:
-            yield rest.iloc[:size].reset_index(drop=True)
-            rest = rest.iloc[size:]
+        last = rest["batch"].iloc[-1] if len(rest) else None
+        for _, whole in rest[rest["batch"] != last].groupby("batch"):
+            yield whole.reset_index(drop=True)
+        rest = rest[rest["batch"] == last]
     if rest is not None and len(rest):
         yield rest.reset_index(drop=True)
 
 
-def _unasked(rows: pd.DataFrame, key: str) -> pd.DataFrame:
-    result = pd.DataFrame({key: rows[key]})
+def _unasked(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+    result = rows[keys].copy()
     for column in ("problem_embedding", "solution_embedding", "embedding_generation_id"):
         result[column] = None
     result["reason"] = "no input"
     return result
 
 
-def _embedded(rows: pd.DataFrame, embedder: Embedder, key: str) -> pd.DataFrame:
-    result = pd.DataFrame({key: rows[key]})
+def _embedded(rows: pd.DataFrame, embedder: Embedder, keys: list[str]) -> pd.DataFrame:
+    result = rows[keys].copy()
     pairs = rows[["problem_input", "solution_input"]]
     texts = [t for pair in pairs.itertuples(index=False) for t in pair]
     try:
@@ -275,7 +301,7 @@ def _embedded(rows: pd.DataFrame, embedder: Embedder, key: str) -> pd.DataFrame:
         error = None
     except Exception as problem:
         vectors, error = [None] * len(texts), f"failed: {problem}"
-    made = None if error or not texts else f"emb-{rows[key].iloc[0]}"
+    made = None if error or not texts else rows["batch_id"].iloc[0]
     result["problem_embedding"] = vectors[0::2]
     result["solution_embedding"] = vectors[1::2]
     result["embedding_generation_id"] = made

@@ -1,7 +1,16 @@
-"""Resumable runs of model-backed jobs against lake tables."""
+"""Resumable runs of model-backed jobs against lake tables.
+
+A run writes down its rows first and then asks chunk by chunk; the answers to a chunk are
+committed before the next one begins. A run that was stopped goes on when it is called
+again: it takes the rows that were written down and skips the finished chunks, so no
+answer is asked for twice but those of the chunk that was under way.
+"""
 
 from __future__ import annotations
 
+import hashlib
+import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,8 +26,8 @@ from corpusgraph.operators.incremental import (
     pending_groups,
 )
 from corpusgraph.operators.sampling import top_n
+from corpusgraph.sources import files
 from corpusgraph.sources.lake import Lake
-from corpusgraph.sources.scratch import materialize
 
 KEY = "publication_number"
 
@@ -81,6 +90,51 @@ def _spread(df: DataFrame, concurrency: int | None) -> DataFrame:
     return df.repartition(concurrency) if concurrency else df
 
 
+# Rows of a chunk, and the most chunks of a run.
+CHUNK_ROWS = 100_000
+MAX_CHUNKS = 1_000
+VERSION = ["model_name", "prompt_version"]
+
+
+@dataclass(frozen=True)
+class _Run:
+    """The folder of a run, named after what it is to do."""
+
+    lake: Lake
+    folder: str
+
+    @classmethod
+    def of(cls, lake: Lake, *about: object) -> _Run:
+        name = hashlib.md5(repr(about).encode()).hexdigest()
+        return cls(lake, f"{lake.location}/_runs/{name}")
+
+    def answers(
+        self,
+        todo: DataFrame,
+        keys: list[str],
+        ask: Callable[[DataFrame], DataFrame],
+        chunk_rows: int,
+    ) -> DataFrame:
+        """The answers to all rows, from earlier calls of the same run where there are any.
+
+        Chunks are cut by a hash of the keys, so they are the same in every call.
+        """
+        spark, rows = self.lake.spark, f"{self.folder}/rows"
+        if not files.finished(spark, rows):
+            todo.write.mode("overwrite").parquet(rows)
+        fixed = spark.read.schema(todo.schema).parquet(rows)
+        chunks = max(1, min(MAX_CHUNKS, math.ceil(fixed.count() / chunk_rows)))
+        place = F.pmod(F.xxhash64(*keys), F.lit(chunks))
+        paths = [f"{self.folder}/answers-{k}" for k in range(chunks)]
+        for k, path in enumerate(paths):
+            if not files.finished(spark, path):
+                ask(fixed.where(place == k)).write.mode("overwrite").parquet(path)
+        return spark.read.parquet(*paths)
+
+    def close(self) -> None:
+        files.delete_folder(self.lake.spark, self.folder)
+
+
 def run_extraction(
     lake: Lake,
     source: str,
@@ -92,6 +146,7 @@ def run_extraction(
     concurrency: int | None = None,
     title_limit: int | None = None,
     abstract_limit: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> RunReport:
     """Extract from the publications that this model and prompt have not done yet.
 
@@ -108,11 +163,14 @@ def run_extraction(
         constants=version,
         limit=limit,
     )
-    # Stored before it is counted and appended: a second read must not call the model.
-    answers = jobs.extract_pairs(
-        _spread(todo, concurrency), extractor, title_limit, abstract_limit
-    )
-    asked = materialize(answers, "answers")
+
+    def ask(rows: DataFrame) -> DataFrame:
+        return jobs.extract_pairs(
+            _spread(rows, concurrency), extractor, title_limit, abstract_limit
+        )
+
+    run = _Run.of(lake, "extract", table, source, model, prompt_version, limit)
+    asked = run.answers(todo, [KEY], ask, chunk_rows)
     good = asked.where(F.col("reason").isNull()).withColumns(
         {
             "model_name": F.lit(name),
@@ -121,8 +179,11 @@ def run_extraction(
             "extraction_timestamp": F.current_timestamp(),
         }
     )
-    stored = lake.append(good, table)
-    return RunReport(asked.count(), stored.rows)
+    # What a stopped call had appended already is not appended again.
+    report = RunReport(asked.count(), good.count())
+    lake.append(pending(good, lake.read(table), KEY, constants=version), table)
+    run.close()
+    return report
 
 
 def processed_count(
@@ -142,19 +203,28 @@ def run_embedding(
     limit: int | None = None,
     concurrency: int | None = None,
     text_limit: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> RunReport:
-    """Fill the vectors of all rows that lack one."""
+    """Fill the vectors of all rows that lack one; a row is a publication with a model and
+    a prompt version, and a table that has one twice is refused before any call."""
     columns = ["problem_embedding", "solution_embedding"]
-    todo = lacking_any(lake.read(table), columns).select(KEY, "problem", "solution")
-    if limit:
-        todo = top_n(todo, KEY, limit)
-    answers = jobs.embed_pairs(
-        _spread(todo, concurrency), embedder, KEY, batch, dim, text_limit
-    )
-    asked = materialize(answers, "answers")
+    keys = [KEY, *VERSION]
+    lacking = lacking_any(lake.read(table), columns).select(*keys, "problem", "solution")
+    twice = lacking.groupBy(*keys).count().where("count > 1").first()
+    if twice:
+        raise ValueError(f"{table} has {twice[KEY]!r} twice for one model and prompt version")
+    todo = top_n(lacking, KEY, limit) if limit else lacking
+
+    def ask(rows: DataFrame) -> DataFrame:
+        return jobs.embed_pairs(rows, embedder, keys, batch, dim, text_limit, concurrency)
+
+    run = _Run.of(lake, "embed", table, batch, dim, limit, text_limit)
+    asked = run.answers(todo, keys, ask, chunk_rows)
     good = asked.where(F.col("reason").isNull())
-    lake.update_by_key(table, good, [KEY], [*columns, "embedding_generation_id"])
-    return RunReport(asked.count(), good.count())
+    report = RunReport(asked.count(), good.count())
+    lake.update_by_key(table, good, keys, [*columns, "embedding_generation_id"])
+    run.close()
+    return report
 
 
 def extraction_preview(extractions: DataFrame, n: int = PREVIEW_ROWS) -> DataFrame:
@@ -208,12 +278,18 @@ def run_fetch(
     schema: T.StructType,
     fetcher: jobs.Fetcher,
     concurrency: int | None = None,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> RunReport:
     """Fetch metadata of the given generation ids and store what was found."""
     lake.ensure_table(table, schema)
-    asked = materialize(
-        jobs.fetch_generations(_spread(todo, concurrency), fetcher), "answers"
-    )
+
+    def ask(rows: DataFrame) -> DataFrame:
+        return jobs.fetch_generations(_spread(rows, concurrency), fetcher)
+
+    run = _Run.of(lake, "fetch", table)
+    asked = run.answers(todo, ["generation_id"], ask, chunk_rows)
     good = asked.where("found").withColumn("fetched_at", F.current_timestamp())
-    stored = lake.append(good, table)
-    return RunReport(asked.count(), stored.rows)
+    report = RunReport(asked.count(), good.count())
+    lake.append(pending(good, lake.read(table), "generation_id"), table)
+    run.close()
+    return report

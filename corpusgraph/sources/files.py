@@ -43,6 +43,12 @@ def folder_size(spark: SparkSession, path: str) -> int:
     return int(system.getContentSummary(target).getLength())
 
 
+def finished(spark: SparkSession, path: str) -> bool:
+    """Whether a write to this folder was committed."""
+    system, mark = _file_system(spark, f"{path}/_SUCCESS")
+    return system.exists(mark)
+
+
 def subfolders(spark: SparkSession, path: str) -> list[str]:
     system, target = _file_system(spark, path)
     if not system.exists(target):

@@ -184,7 +184,14 @@ def test_batches_share_one_made_up_id(spark):
     df = pairs(spark, 25).withColumn("embedding_generation_id", F.lit(None).cast("string"))
     found = jobs.assign_embedding_batches(df, KEY, size=10)
     counted = found.groupBy("embedding_generation_id").count()
-    assert rows(counted) == [("emb-0", 10), ("emb-1", 10), ("emb-2", 5)]
+    assert sorted(r["count"] for r in counted.collect()) == [5, 10, 10]
+    # Calls have the same batches and ids, and other rows of a later run have others.
+    calls = jobs.embed_pairs(df.repartition(4), lambda t: [[1.0]] * len(t), dim=1)
+    chosen = [KEY, "embedding_generation_id"]
+    assert rows(calls.select(*chosen)) == rows(found.select(*chosen))
+    later = jobs.assign_embedding_batches(df.where(f"{KEY} > 'k12'"), KEY, size=10)
+    ids = {r[1] for r in found.select(*chosen).collect()}
+    assert not ids & {r[1] for r in later.select(*chosen).collect()}
 
 
 def test_metadata_is_unwrapped_and_failures_are_counted(spark):
@@ -305,3 +312,67 @@ def test_top_n_by_counting_passes(spark, monkeypatch, by, descending):
         got = [tuple(r) for r in found.collect()]
         assert len(got) == len(set(got)) == min(n, 300)
         assert sorted(map(rank, got), key=str) == sorted(map(rank, ordered[:n]), key=str)
+
+
+def _cleaned(spark, n):
+    rows = [(f"p{i:02d}", f"title {i}", "abstract") for i in range(n)]
+    return spark.createDataFrame(rows, f"{KEY} string, title_text string, abstract_text string")
+
+
+def test_a_killed_run_asks_each_row_once(spark, lake, tmp_path, monkeypatch):
+    lake.write(_cleaned(spark, 30), "cleaned")
+    log = str(tmp_path / "asked")
+
+    def model(title, abstract):
+        with open(log, "a") as file:
+            file.write(title + "\n")
+        return {"problem": f"the problem of {title}", "solution": f"a solution of {title}", "generation_id": title}
+
+    def run():
+        return extraction.run_extraction(
+            lake, "cleaned", "done", model, ("prov", "m"), "v1", chunk_rows=5
+        )
+
+    # Killed after half of the chunks, and once more while the answers are appended.
+    asked, calls = extraction.jobs.extract_pairs, []
+
+    def stops(*args):
+        calls.append(1)
+        if len(calls) > 3:
+            raise KeyboardInterrupt
+        return asked(*args)
+
+    monkeypatch.setattr(extraction.jobs, "extract_pairs", stops)
+    with pytest.raises(KeyboardInterrupt):
+        run()
+    monkeypatch.setattr(extraction.jobs, "extract_pairs", asked)
+    half = len(open(log).readlines())
+    assert 0 < half < 30 and lake.read("done").count() == 0
+    append = lake.append
+    monkeypatch.setattr(lake, "append", lambda *a: (append(*a), 1 / 0))
+    with pytest.raises(ZeroDivisionError):
+        run()
+    monkeypatch.setattr(lake, "append", append)
+    report = run()
+    assert (report.selected, report.succeeded) == (30, 30)
+    assert sorted(open(log).read().split("\n")[:-1]) == sorted(f"title {i}" for i in range(30))
+    assert lake.read("done").count() == 30
+    assert run().selected == 0
+
+
+def test_embedding_of_two_versions_of_a_publication(spark, lake):
+    lake.write(_cleaned(spark, 4), "cleaned")
+
+    def model(title, abstract):
+        return {"problem": f"the problem of {title}", "solution": f"a solution of {title}", "generation_id": title}
+
+    for version in ("v1", "v2"):
+        extraction.run_extraction(lake, "cleaned", "done", model, ("prov", "m"), version)
+    calls = lambda t: [[float(len(t))]] * len(t)
+    report = extraction.run_embedding(lake, "done", calls, dim=1, chunk_rows=3)
+    assert (report.selected, report.succeeded) == (8, 8)
+    assert lake.read("done").where("problem_embedding is null").count() == 0
+    lake.append(lake.read("done").limit(1).drop("problem_embedding"), "done")
+    lake.append(lake.read("done").where("problem_embedding is null"), "done")
+    with pytest.raises(ValueError, match="twice"):
+        extraction.run_embedding(lake, "done", calls, dim=1)

@@ -366,8 +366,9 @@ CHECKS = {
     "assign_embedding_batches": Check(
         assign_embedding_batches,
         with_views(
-            """select publication_number, batch,
-            coalesce(embedding_generation_id, 'emb-' || batch) embedding_generation_id
+            """select publication_number, batch, coalesce(embedding_generation_id, 'emb-' ||
+                md5(string_agg(publication_number, chr(10) order by publication_number)
+                    over (partition by batch))) embedding_generation_id
             from (select publication_number, embedding_generation_id,
                 (row_number() over (order by publication_number) - 1) // 10 batch
                 from extractions)""",

@@ -2,6 +2,10 @@
 
 Every full refresh writes a new version folder and then points the table at it,
 so readers see the old rows or the new rows and never a mixture.
+
+A table may be cut into buckets by a hash of keys, one folder each. An update by these keys
+reads and replaces only the buckets that its keys fall into; each of them is replaced as a
+whole once the new rows are complete, one bucket after the other.
 """
 
 from __future__ import annotations
@@ -16,8 +20,12 @@ from pyspark.sql import types as T
 
 from corpusgraph.operators.sampling import top_n
 from corpusgraph.sources import files
+from corpusgraph.sources.scratch import materialize
 
 _REQUIRED = "corpusgraph.required"
+_BUCKETED = "corpusgraph.buckets"
+_BUCKET = "_bucket"
+BUCKETS = 64
 
 
 class ReadOnlyError(RuntimeError):
@@ -79,7 +87,7 @@ class Lake:
     def read(self, name: str) -> DataFrame:
         if not self.exists(name):
             raise LookupError(f"no table {self.database}.{name}")
-        return self.spark.table(self.qualified(name))
+        return self.spark.table(self.qualified(name)).drop(_BUCKET)
 
     def tables(self) -> list[str]:
         found = self.spark.catalog.listTables(self.database)
@@ -100,15 +108,36 @@ class Lake:
         for field in df.schema:
             if field.name not in stored.fieldNames():
                 self.add_column(name, field.name, field.dataType)
+        layout = self._buckets(name)
+        if layout:
+            required = self._required(name)
+            stats = self.write_bucketed(self._conform(df, name), name, *layout)
+            self._require(name, required)
+            return stats
         stats = self._store(self._conform(df, name), name)
         self._point(name, stats.path)
         return stats
 
+    def write_bucketed(
+        self, df: DataFrame, name: str, keys: Sequence[str], buckets: int = BUCKETS
+    ) -> WriteStats:
+        """Create a table, or replace one with all that was declared of it, in buckets by
+        a hash of keys. Give so many that a bucket is a part that one update may rewrite."""
+        self._check_writable()
+        stats = self._store(_with_bucket(df, keys, buckets), name, bucketed=True)
+        self.drop(name)
+        self._register_bucketed(name, df.schema, stats.path, f"{buckets}:{','.join(keys)}")
+        return stats
+
     def append(self, df: DataFrame, name: str) -> WriteStats:
         """Add rows, matched by name; stored columns the frame lacks become NULL."""
         self._check_writable()
         seen = Observation()
-        rows = self._conform(df, name).observe(seen, F.count(F.lit(1)).alias("rows"))
+        conformed = self._conform(df, name)
+        layout = self._buckets(name)
+        if layout:
+            conformed = _with_bucket(conformed, *layout)
+        rows = conformed.observe(seen, F.count(F.lit(1)).alias("rows"))
         rows.write.insertInto(self.qualified(name))
         self.spark.catalog.refreshTable(self.qualified(name))
         return WriteStats(name, int(seen.get["rows"]), self._folder(name))
@@ -137,12 +166,7 @@ class Lake:
                 self.add_column(name, field.name, field.dataType)
             return False
         self._register(name, schema, f"{self.location}/{name}/v-{uuid.uuid4().hex}")
-        required = ",".join(f.name for f in schema if not f.nullable)
-        if required:
-            self.spark.sql(
-                f"ALTER TABLE {self.qualified(name)} "
-                f"SET TBLPROPERTIES ('{_REQUIRED}' = '{required}')"
-            )
+        self._require(name, [f.name for f in schema if not f.nullable])
         return True
 
     def update_by_key(
@@ -159,7 +183,8 @@ class Lake:
         first; of equal ones the last by the values as JSON. Without ``order_by``
         several updates of one key are refused. The pick is an aggregate, so a key with
         many updates is reduced before the shuffle, and the join keeps the stored
-        table's rows where they are when the updates are small.
+        table's rows where they are when the updates are small. Of a table in buckets by
+        these keys only the buckets with updates are read and written.
         """
         self._check_writable()
         new = F.struct(*columns)
@@ -169,12 +194,30 @@ class Lake:
             complaint = F.lit(f"{name}: several updates of one key need an order")
             pick = F.when(F.count(F.lit(1)) > 1, F.raise_error(complaint)).otherwise(F.first(new))
         newest = updates.groupBy(*keys).agg(pick.alias("_new"))
-        joined = self.read(name).join(newest, list(keys), "left")
+        layout = self._buckets(name)
+        in_buckets = layout is not None and list(layout[0]) == list(keys)
+        stored = self.read(name)
+        if in_buckets:
+            kinds = {k: F.col(k).cast(stored.schema[k].dataType) for k in keys}
+            newest = materialize(_with_bucket(newest.withColumns(kinds), *layout), "updates")
+            # At most as many numbers as there are buckets.
+            touched = [r[0] for r in newest.select(_BUCKET).distinct().collect()]
+            stored = self.spark.table(self.qualified(name)).where(F.col(_BUCKET).isin(touched))
+            newest = newest.drop(_BUCKET)
+        joined = stored.join(newest, list(keys), "left")
         hit = F.col("_new").isNotNull()
         changed = joined.withColumns(
             {c: F.when(hit, F.col("_new")[c]).otherwise(F.col(c)) for c in columns}
         ).drop("_new")
-        return self.write(changed, name)
+        if not in_buckets:
+            return self.write(changed, name)
+        conformed = _with_bucket(self._conform(changed, name), *layout)
+        seen = Observation()
+        counted = conformed.observe(seen, F.count(F.lit(1)).alias("rows"))
+        # The table's own option makes this replace the buckets that it writes, no others.
+        counted.write.insertInto(self.qualified(name), overwrite=True)
+        self.spark.catalog.refreshTable(self.qualified(name))
+        return WriteStats(name, int(seen.get["rows"]), self._folder(name))
 
     def pull(
         self, source: Lake, name: str, limit: int | None = None, key: str | None = None
@@ -228,12 +271,12 @@ class Lake:
         self._register(name, df.schema, stats.path)
         return stats
 
-    def _store(self, df: DataFrame, name: str) -> WriteStats:
+    def _store(self, df: DataFrame, name: str, bucketed: bool = False) -> WriteStats:
         """Write a new version folder, counting the rows on the way."""
         path = f"{self.location}/{name}/v-{uuid.uuid4().hex}"
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        counted.write.parquet(path)
+        counted.write.partitionBy(*[_BUCKET] * bucketed).parquet(path)
         return WriteStats(name, int(seen.get["rows"]), path)
 
     def _register(self, name: str, schema: T.StructType, path: str) -> None:
@@ -242,6 +285,33 @@ class Lake:
             self.qualified(name), path=path, source="parquet", schema=loose
         )
 
+    def _register_bucketed(
+        self, name: str, schema: T.StructType, path: str, layout: str
+    ) -> None:
+        table = self.qualified(name)
+        fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+        self.spark.sql(
+            f"CREATE TABLE {table} ({fields}, {_BUCKET} int) USING parquet "
+            f"OPTIONS (partitionOverwriteMode 'dynamic') PARTITIONED BY ({_BUCKET}) "
+            f"LOCATION '{path}' TBLPROPERTIES ('{_BUCKETED}' = '{layout}')"
+        )
+        self.spark.catalog.recoverPartitions(table)
+
+    def _buckets(self, name: str) -> tuple[list[str], int] | None:
+        """Keys and number of the buckets of a table that has them."""
+        value = self._property(name, _BUCKETED)
+        if not value:
+            return None
+        number, keys = value.split(":", 1)
+        return keys.split(","), int(number)
+
+    def _require(self, name: str, columns: Sequence[str]) -> None:
+        if columns:
+            self.spark.sql(
+                f"ALTER TABLE {self.qualified(name)} "
+                f"SET TBLPROPERTIES ('{_REQUIRED}' = '{','.join(columns)}')"
+            )
+
     def _point(self, name: str, path: str) -> None:
         table = self.qualified(name)
         self.spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
@@ -253,14 +323,19 @@ class Lake:
         return found[0]
 
     def _same_form(self, name: str, schema: T.StructType) -> bool:
-        """Whether a table has these columns and requires none of them."""
+        """Whether a table has these columns, requires none of them and has no buckets."""
         stored = self.read(name).schema.simpleString()
-        return stored == schema.simpleString() and not self._required(name)
+        plain = not self._required(name) and not self._buckets(name)
+        return stored == schema.simpleString() and plain
 
     def _required(self, name: str) -> list[str]:
+        value = self._property(name, _REQUIRED)
+        return value.split(",") if value else []
+
+    def _property(self, name: str, key: str) -> str | None:
         listed = self.spark.sql(f"SHOW TBLPROPERTIES {self.qualified(name)}")
-        value = listed.where(F.col("key") == _REQUIRED).select("value").first()
-        return value[0].split(",") if value else []
+        value = listed.where(F.col("key") == key).select("value").first()
+        return value[0] if value else None
 
     def _conform(self, df: DataFrame, name: str) -> DataFrame:
         """The frame in the stored column order and types."""
@@ -280,6 +355,14 @@ class Lake:
         return df.select(*[column(f) for f in self.read(name).schema])
 
 
+def _hash(keys: Sequence[str], buckets: int) -> tuple[Column, Column]:
+    return F.xxhash64(*keys), F.lit(buckets)
+
+
+def _with_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> DataFrame:
+    return df.withColumn(_BUCKET, F.pmod(*_hash(keys, buckets)).cast("int"))
+
+
 def attach(
     spark: SparkSession,
     local: tuple[str, str],

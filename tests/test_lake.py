@@ -94,6 +94,36 @@ def test_update_hits_every_row_of_a_key_and_the_last_update_wins(spark, lake):
     assert rows(lake.read("t")) == [("a", 1, 9), ("a", 2, 9), ("b", 3, 0)]
 
 
+def _bucket_files(spark, lake, name):
+    """Files of each bucket folder."""
+    found = lake.spark.table(lake.qualified(name)).select(F.input_file_name().alias("f"))
+    paths = sorted(r["f"] for r in found.distinct().collect())
+    return {p.split("_bucket=")[1] for p in paths}, paths
+
+
+def test_an_update_writes_only_the_buckets_it_touches(spark, lake):
+    stored = spark.range(400).selectExpr("id k", "id % 5 n", "cast(0 as int) v").repartition(1)
+    lake.write_bucketed(stored, "t", ["k"], 16)
+    assert lake.columns("t") == ["k", "n", "v"]
+    _, before = _bucket_files(spark, lake, "t")
+    assert len(before) == 16
+    updates = spark.createDataFrame([(3, 7, 1), (3, 9, 2), (5, 8, 1), (9999, 1, 1)], "k int, v int, o int")
+    stats = lake.update_by_key("t", updates, ["k"], ["v"], order_by="o")
+    _, after = _bucket_files(spark, lake, "t")
+    kept = set(before) & set(after)
+    assert 13 <= len(kept) < 16 and len(after) == 16 and stats.rows < 120
+    expected = [(i, i % 5, {3: 9, 5: 8}.get(i, 0)) for i in range(400)]
+    assert sorted(rows(lake.read("t"))) == expected
+    # Another key, appended rows, a new column and a refresh work as for other tables.
+    lake.update_by_key("t", spark.createDataFrame([(4, 1)], "n long, v int"), ["n"], ["v"])
+    assert lake.read("t").where("v = 1").count() == 80
+    lake.append(spark.createDataFrame([(400, 2)], "k long, v int"), "t")
+    lake.write(lake.read("t").where("k >= 398").withColumn("w", F.lit("x")), "t")
+    assert rows(lake.read("t")) == [(398, 3, 0, "x"), (399, 4, 1, "x"), (400, None, 2, "x")]
+    lake.update_by_key("t", spark.createDataFrame([(400, None)], "k int, v int"), ["k"], ["v"])
+    assert rows(lake.read("t"))[-1] == (400, None, None, "x")
+
+
 def test_update_can_set_null(spark, lake):
     lake.write(spark.createDataFrame([("a", 1)], "k string, v int"), "t")
     lake.update_by_key("t", spark.createDataFrame([("a", None)], "k string, v int"), ["k"], ["v"])

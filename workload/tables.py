@@ -206,10 +206,11 @@ def append_batch(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def keyed_update(spark: SparkSession, sf: str) -> DataFrame:
-    """Each event sets the last value of its user's customers; the latest event wins."""
+    """Each event sets the last value of its user's customers; the latest event wins. The
+    table is in buckets, of which the update writes those with events."""
     lake = _lake(spark)
     customers = table(spark, sf, "customer").withColumn("last_event", F.lit(None).cast("string"))
-    lake.write(customers, "customer")
+    lake.write_bucketed(customers, "customer", ["c_nationkey"], 16)
     updates = table(spark, sf, "events").select(
         F.col("user_id").cast("int").alias("c_nationkey"),
         F.col("event_type").alias("last_event"),

@@ -4,8 +4,8 @@ Rabin-Karp hashes of every window of 13 words are counted in Spark: each batch o
 sends one entry per distinct window, with the smallest document that has it, to the
 bucket of the window; a bucket finds the windows of several documents. A window that a
 smaller document of the same batch has as well is settled in the batch, so a window that
-a third of all documents share reaches its bucket once per batch. Hits return to their
-documents, where overlapping windows merge into maximal intervals.
+a third of all documents share reaches its bucket once per batch; the settled hits are
+dealt by their documents. Hits return to their documents, where overlapping windows merge into maximal intervals.
 
 A window is known by a 64-bit hash within a bucket that another hash of the same words
 chooses, so 64 + log2(buckets) bits tell windows apart: 10^13 windows in 10^6 buckets
@@ -110,8 +110,11 @@ def _send(size: int, buckets: int):
         sent, hits = _settle(ids, rank, hashes, bucket)
         yield _rows(_by_bucket(ids, *sent))
         if len(hits[0]):
-            # Settled hits pass through any bucket, on their way to their documents.
-            yield _rows(_by_bucket(ids, *hits), settled=True)
+            # Settled hits go by the shard of their document: a window that many documents
+            # share would send them all to one bucket.
+            late, hashes, _ = hits
+            shard = mix(ids.astype(_U8)) % _U8(buckets)
+            yield _rows(_by_bucket(ids, late, hashes, shard[late]), settled=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0

@@ -63,6 +63,25 @@ def test_repeated_windows(docs, empty):
     assert remove_repeated_windows(empty).count() == 0
 
 
+def test_a_shared_window_does_not_fill_a_bucket():
+    """Hits of one passage in 4,000 documents go to all buckets alike."""
+    import pyarrow as pa
+
+    from corpusgraph.llm.substrings import _answer, _send
+
+    texts = [f"own{k} " + " ".join(f"w{j}" for j in range(13)) for k in range(4000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(4000)), pa.array(texts)], ["doc_id", "text"])
+    sent = pa.Table.from_batches(_send(13, 64)(iter([batch])))
+    load = Counter()
+    for bucket, ids in zip(sent["bucket"].to_pylist(), sent["ids"].to_pylist(), strict=True):
+        load[bucket] += len(ids) // 8
+    assert len(load) == 64 and max(load.values()) < 4 * sum(load.values()) / 64
+    # What the buckets answer are the hits of all documents but the first.
+    answers = _answer(64)(iter(sent.sort_by("bucket").to_batches()))
+    ids = b"".join(i for part in answers for i in part.column(2).to_pylist())
+    assert sorted(np.frombuffer(ids, dtype=np.int64)) == list(range(1, 4000))
+
+
 def fingerprint(text):
     words = WORD.findall(lowered(text))
     if not words:

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import SparkSession
 
 DEFAULTS = {
@@ -26,3 +30,11 @@ def build_session(
     for key, value in {**DEFAULTS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def side_by_side(job: Callable, items: Iterable) -> list:
+    """``job`` of each of a few items, submitted to Spark at the same time: the stages of
+    one fill the cores that those of another leave idle."""
+    listed = list(items)
+    with ThreadPoolExecutor(max(1, len(listed))) as pool:
+        return list(pool.map(inheritable_thread_target(job), listed))

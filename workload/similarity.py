@@ -10,6 +10,7 @@ from corpusgraph.operators import clustering, distribution
 from corpusgraph.operators import similarity as sim
 from corpusgraph.operators.blocks import load_vectors
 from corpusgraph.plans import graph
+from corpusgraph.session import side_by_side
 from corpusgraph.sources.scratch import scratch_dir
 from workload import inputs
 from workload.check import Check, r6, sql_r6
@@ -180,10 +181,16 @@ def _distributions(spark: SparkSession, sf: str):
     return [(side, found[column]) for side, column in columns.items()]
 
 
+def _of_both(spark: SparkSession, sf: str, statistic) -> list[tuple]:
+    """``(side, statistic of its pairs)``, both sides at the same time."""
+    return side_by_side(
+        lambda item: (item[0], statistic(item[1])), _distributions(spark, sf)
+    )
+
+
 def similarity_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = []
-    for side, pairs in _distributions(spark, sf):
-        found = pairs.statistics()
+    for side, found in _of_both(spark, sf, lambda pairs: pairs.statistics()):
         rows.append((side, found.pop("num_pairs"), *found.values()))
         names = list(found)
     kinds = ", ".join(f"{n} double" for n in names)
@@ -194,8 +201,8 @@ def similarity_stats(spark: SparkSession, sf: str) -> DataFrame:
 def similarity_histogram(spark: SparkSession, sf: str) -> DataFrame:
     rows = [
         (side, *row)
-        for side, pairs in _distributions(spark, sf)
-        for row in pairs.histogram()
+        for side, found in _of_both(spark, sf, lambda pairs: pairs.histogram())
+        for row in found
     ]
     listed = spark.createDataFrame(
         rows, "side string, bin int, low double, high double, pairs bigint"
@@ -206,8 +213,8 @@ def similarity_histogram(spark: SparkSession, sf: str) -> DataFrame:
 def similarity_cumulative(spark: SparkSession, sf: str) -> DataFrame:
     rows = [
         (side, *row)
-        for side, pairs in _distributions(spark, sf)
-        for row in pairs.cumulative()
+        for side, found in _of_both(spark, sf, lambda pairs: pairs.cumulative())
+        for row in found
     ]
     listed = spark.createDataFrame(
         rows, "side string, threshold double, pct_at_or_above double"
@@ -219,7 +226,8 @@ def similarity_cumulative(spark: SparkSession, sf: str) -> DataFrame:
 
 def similarity_box(spark: SparkSession, sf: str) -> DataFrame:
     rows = [
-        (side, *pairs.box().values()) for side, pairs in _distributions(spark, sf)
+        (side, *found.values())
+        for side, found in _of_both(spark, sf, lambda pairs: pairs.box())
     ]
     names = ["q1", "median", "q3", "whisker_low", "whisker_high"]
     kinds = ", ".join(f"{n} double" for n in names)

@@ -36,5 +36,6 @@ def side_by_side(job: Callable, items: Iterable) -> list:
     """``job`` of each of a few items, submitted to Spark at the same time: the stages of
     one fill the cores that those of another leave idle."""
     listed = list(items)
+    run = inheritable_thread_target(SparkSession.active())(job)
     with ThreadPoolExecutor(max(1, len(listed))) as pool:
-        return list(pool.map(inheritable_thread_target(job), listed))
+        return list(pool.map(run, listed))

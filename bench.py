@@ -7,6 +7,8 @@ import os
 import sys
 import time
 
+from corpusgraph.operators import blocks
+from workload import inputs
 from workload.compare import local_session
 from workload.registry import CHECKS
 
@@ -36,6 +38,14 @@ HEADLINE = (
 VECTOR_COLUMNS = {"knn": 1, "dense_problem_edges": 1, "graph_edges": 2}
 
 
+def copy_ratios(spark, sf: str) -> dict[str, float]:
+    """How often a vector is sent in the pair join at 0.80, by number of pivots."""
+    rows = inputs.vectors(spark, sf)
+    vectors = blocks.load_vectors(rows, "id", "emb")
+    layouts = {n: blocks.self_strips(vectors, 0.80, pivots=n).layout for n in (1, 32, 128)}
+    return {str(n): round(layout.sent / vectors.count, 2) for n, layout in layouts.items()}
+
+
 def main() -> None:
     sf = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     spark = local_session()
@@ -55,6 +65,7 @@ def main() -> None:
         "unit": "sec",
         "queries": took,
         "sf": os.path.basename(sf).removeprefix("sf"),
+        "sends_per_vector": copy_ratios(spark, sf) if columns else {},
         "pairs_per_sec": {n: round(pairs * c / took[n]) for n, c in columns.items()},
     }
     print(json.dumps(report))

@@ -135,26 +135,27 @@ def test_components_of_a_chain(spark):
     assert {tuple(r) for r in found.collect()} == {(k, 0) for k in range(101)} | {(500, 500), (600, 500)}
 
 
-def test_line_chunks(docs, empty):
-    from corpusgraph.llm.lines import chunked, remove_repeated_lines, unmarked
-
-    rows = docs.select("doc_id", "text")
-    whole = chunked(rows).select("doc_id", unmarked("chunks").alias("t"))
-    assert {(r.doc_id, r.t) for r in whole.collect()} == {(r.doc_id, r.text) for r in rows.collect()}
-    found = remove_repeated_lines(docs, classes=2)
-    assert set(found.columns) == {*docs.columns, "n_lines", "n_removed"}
-    got = {r.doc_id: r for r in found.collect()}
-    assert len(got) == docs.count() and sum(r.n_removed for r in got.values()) >= 6
-    chunks = {r.doc_id: r.chunks for r in chunked(rows.filter("doc_id is not null"), 2).collect()}
-    seen, before = set(), dict(texts())
-    for i in sorted(chunks):
-        kept = []
-        for chunk in chunks[i] or ():
-            if "\n" in chunk and chunk in seen and WORD.search(re.sub(r"(^|\n)[bc]", r"\1", chunk)):
-                continue
-            seen.add(chunk)
-            kept.append(re.sub(r"(^|\n)[bc]", r"\1", chunk))
-        assert got[i].text == (None if before[i] is None else "\n".join(kept))
+def test_line_chunks(spark, docs, empty):
+    """Chunks cover all lines but those alone, and shift with the text."""
+    from corpusgraph.llm.lines import chunks, line_hashes, remove_repeated_lines
+
+    rng = random.Random(3)
+    passage = [f"line {rng.random()}" for _ in range(40)]
+    given = [(1, "\n".join(passage)), (2, "\n".join(["other", "lines", "first", *passage]))]
+    given += [(3, "same\n" * 9 + "same"), (4, "\n\nx\n\ny\nz"), (5, "alone"), (6, "")]
+    rows = spark.createDataFrame(given, "doc_id long, text string").selectExpr("doc_id", "0L tag", "text")
+    found = defaultdict(dict)
+    for r in chunks(line_hashes(rows)).collect():
+        found[r.doc_id][r.place] = tuple(r.lines)
+    assert min(len(c) for own in found.values() for c in own.values()) == 2
+    for own in found.values():
+        at = sorted(own)
+        assert all(a + len(own[a]) <= b for a, b in zip(at, at[1:], strict=False))
+    shared = [p for p, c in found[1].items() if found[2].get(p + 3) == c]
+    assert len(shared) >= len(found[1]) - 2 and len(found[1]) >= 8
+    assert set(found[3]) == {0} and len(found[3][0]) == 10 and set(found[4]) == {1} and not found[5]
+    got = remove_repeated_lines(docs)
+    assert set(got.columns) == {*docs.columns, "n_lines", "n_removed"} and got.count() == docs.count()
     assert remove_repeated_lines(empty).count() == 0
 
 

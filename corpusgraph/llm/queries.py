@@ -91,10 +91,17 @@ def op6_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_sharding(spark: SparkSession, sf: str) -> DataFrame:
-    """Shard and place of each document, near equal in bytes, and its virtual slot."""
-    from corpusgraph.llm.shards import assign_shards
+    """Shard and place of each document, near equal in bytes, and its virtual slot.
 
-    return assign_shards(_table(spark, sf, "documents").select("doc_id", "text")).select(
+    Version 1 of the map deals slots in turn; the rows lie by version 2, edited for their bytes.
+    """
+    from corpusgraph.llm.shards import assign_shards, even_map, save_map
+    from corpusgraph.sources.scratch import scratch_dir
+
+    path = scratch_dir(spark, "slot-map")
+    save_map(spark, path, even_map(16))
+    docs = _table(spark, sf, "documents").select("doc_id", "text")
+    return assign_shards(docs, map_path=path).select(
         "doc_id",
         "size",
         "text_crc32",

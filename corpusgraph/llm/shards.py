@@ -1,9 +1,13 @@
 """Shards from a fixed number of virtual slots.
 
 A record belongs to one of 4,096 slots by a hash of its id, for good. Only the map from
-slots to shards changes: it starts with slots dealt by their counted bytes, and is edited,
-as a new version, when shards drift apart or one is added. A stored map has one row per
-slot and version, so whatever the data, 4,096 rows reach the driver.
+slots to shards changes: it starts with slots dealt in turn, or by their counted bytes, and
+is edited, as a new version, when shards drift apart or one is added. A stored map has one
+row per slot and version, so whatever the data, 4,096 rows reach the driver.
+
+Records without id have no slot of their own and are dealt over all slots. So are those of a
+hot slot, one with more than a quarter of a shard's mean: an id that a third of all rows
+repeat would make a shard that large.
 """
 
 from __future__ import annotations
@@ -19,7 +23,8 @@ from corpusgraph.sources.scratch import materialize
 
 SLOTS = 4096
 CELL_ROWS = 1 << 16  # rows that are numbered together
-TOLERANCE = 0.01  # of the mean bytes of a shard
+TOLERANCE = 0.002  # of the mean bytes of a shard
+HOT = 0.25  # of the mean bytes of a shard, in one slot
 
 
 @dataclass(frozen=True)
@@ -45,9 +50,10 @@ class SlotMap:
 
 
 def slot_of(id_col: str = "doc_id", slots: int = SLOTS) -> Column:
-    """The virtual slot of a record; records without id share the slot of the empty text."""
-    key = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
-    return F.pmod(F.xxhash64(key), F.lit(slots)).cast("int")
+    """The virtual slot of a record; records without id are dealt by their place in the input."""
+    own = F.xxhash64(F.col(id_col).cast("string"))
+    dealt = F.xxhash64(F.monotonically_increasing_id())
+    return F.pmod(F.when(F.col(id_col).isNull(), dealt).otherwise(own), F.lit(slots)).cast("int")
 
 
 def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> list[int]:
@@ -57,6 +63,21 @@ def slot_sizes(rows: DataFrame, slots: int = SLOTS) -> list[int]:
     return [found.get(slot, 0) for slot in range(slots)]
 
 
+def spread(rows: DataFrame, sizes: Sequence[int], shards: int) -> DataFrame:
+    """``rows`` (slot, salt, …), those of hot slots dealt over all slots by their salt."""
+    limit = max(1, HOT * sum(sizes) / shards)
+    hot = [slot for slot, size in enumerate(sizes) if size > limit]  # at most shards / HOT
+    if not hot:
+        return rows
+    dealt = F.pmod(F.xxhash64("salt"), F.lit(len(sizes))).cast("int")
+    return rows.withColumn("slot", F.when(F.col("slot").isin(hot), dealt).otherwise(F.col("slot")))
+
+
+def even_map(shards: int, slots: int = SLOTS) -> SlotMap:
+    """Version 1 of a map made before there are rows: slots in turn, without bytes."""
+    return SlotMap(1, shards, tuple(s % shards for s in range(slots)), (0,) * slots)
+
+
 def first_map(sizes: Sequence[int], shards: int) -> SlotMap:
     """Version 1: slots in order of size, each to the smallest shard so far."""
     totals, shard_of = [0] * shards, [0] * len(sizes)
@@ -129,32 +150,36 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Slot
 def sized(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", slots: int = SLOTS
 ) -> DataFrame:
-    """(doc_id, size, text_crc32, slot); a null text has size 1 and the checksum 0."""
+    """(doc_id, size, text_crc32, slot, salt); a null text has size 1 and the checksum 0.
+
+    The salt is another number for each row of the input.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.col(id_col).alias("doc_id"),
         (F.octet_length(text) + 1).cast("long").alias("size"),
         F.crc32(text.cast("binary")).alias("text_crc32"),
         slot_of(id_col, slots).alias("slot"),
+        F.monotonically_increasing_id().alias("salt"),
     )
 
 
 def placed(rows: DataFrame, slots: SlotMap, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """``rows`` (doc_id, size, text_crc32, slot) with ``shard`` and ``position`` in it.
+    """``rows`` (doc_id, size, text_crc32, slot, salt) with ``shard`` and ``position`` in it.
 
     Positions run from 0 without gaps. They follow (slot, cell, doc_id), where cells cut a
-    slot by another hash once it has many rows, so no numbering sees a whole shard. Rows
-    that repeat share a cell and are numbered in any order, which is the same rows.
+    slot by a hash of the salt once it has many rows, so no numbering sees a whole shard,
+    nor all rows of an id.
     """
     count = rows.count()
     cells = max(1, -(-count // (len(slots.shard_of) * cell_rows)))
     shard = F.element_at(F.array(*[F.lit(s) for s in slots.shard_of]), F.col("slot") + 1)
-    cell = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit(1)), F.lit(cells)).cast("int")
+    cell = F.pmod(F.xxhash64("salt", F.lit(1)), F.lit(cells)).cast("int")
     rows = rows.withColumns({"shard": shard, "cell": cell})
     sizes = rows.groupBy("shard", "slot", "cell").agg(F.count(F.lit(1)).alias("rows"))
     before = Window.partitionBy("shard").orderBy("slot", "cell").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("slot", "cell", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("start"))
-    within = Window.partitionBy("slot", "cell").orderBy("doc_id", "size", "text_crc32")
+    within = Window.partitionBy("slot", "cell").orderBy("doc_id", "size", "text_crc32", "salt")
     numbered = rows.withColumn("place", F.row_number().over(within) - 1)
     return numbered.join(starts, ["slot", "cell"]).select(
         "doc_id",
@@ -176,16 +201,20 @@ def assign_shards(
 ) -> DataFrame:
     """(doc_id, size, text_crc32, slot, shard, position) of every row.
 
-    Shards are near equal in bytes as far as slots allow: a slot is never cut, so a record
-    or a repeated id larger than a shard's share makes that shard larger. With
-    ``map_path`` the newest stored map is edited and stored as the next version, or the
-    first one is made; without it the map is made for these rows alone.
+    Shards are near equal in bytes as far as records allow: one larger than a shard's share
+    makes that shard larger. With ``map_path`` the newest stored map is edited for the
+    counted bytes, stored as the next version and read back, or the first one is made;
+    without it the map is made for these rows alone.
 
-    Null texts count one byte; null ids share a slot; repeated rows are placed one by one;
-    an empty table gives an empty table. Other columns play no part.
+    Null texts count one byte; rows without id, and those of hot slots, are dealt over all
+    slots; repeated rows are placed one by one; a long text counts its bytes, and moves
+    nowhere; an empty table gives an empty table. Other columns play no part.
     """
-    rows = materialize(sized(docs, id_col, text_col, slots), "slot-rows")
-    sizes = slot_sizes(rows, slots)
+    stored = materialize(sized(docs, id_col, text_col, slots), "slot-rows")
+    sizes = slot_sizes(stored, slots)
+    rows = spread(stored, sizes, shards)
+    if rows is not stored:
+        sizes = slot_sizes(rows, slots)
     if map_path is None:
         found = first_map(sizes, shards)
     else:
@@ -194,7 +223,7 @@ def assign_shards(
 
 
 def next_map(spark: SparkSession, path: str, sizes: Sequence[int], shards: int) -> SlotMap:
-    """Edit the newest stored map for new sizes, or make the first, and store it."""
+    """Edit the newest stored map for new sizes, or make the first; stored, and read back."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if system.exists(folder):
@@ -202,7 +231,7 @@ def next_map(spark: SparkSession, path: str, sizes: Sequence[int], shards: int)
     else:
         found = first_map(sizes, shards)
     save_map(spark, path, found)
-    return found
+    return load_map(spark, path, found.version)
 
 
 def write_shards(docs: DataFrame, slots: SlotMap, path: str, id_col: str = "doc_id") -> None:

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusgraph.llm.native import plain_words, run_fields, runs
+from corpusgraph.llm.native import plain_words, run_fields, runs, without_ids
 from corpusgraph.sources.scratch import materialize
 
 WINDOW = 13
@@ -175,5 +175,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """The rows that are not contaminated, all columns as they are; rows without id stay."""
     id_col = options.get("id_col", "doc_id")
     found = contamination(docs, items, **options).filter(is_contaminated())
-    gone = found.select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
+    return without_ids(docs, found.select("doc_id").distinct(), id_col)

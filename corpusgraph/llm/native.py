@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def without_ids(docs: DataFrame, gone: DataFrame, id_col: str) -> DataFrame:
+    """The rows of ``docs`` whose id is not in the one column of ``gone``, whatever columns they have."""
+    name = "_gone_id"
+    while name in {c.lower() for c in docs.columns}:
+        name = f"_{name}"
+    gone = gone.toDF(name)
+    kind = gone.schema[0].dataType
+    return docs.join(gone, F.col(f"`{id_col}`").cast(kind) == F.col(name), "left_anti")
+
+
 def space_words(text: Column) -> Column:
     """The runs of characters other than space and ``\\x09-\\x0D``; null has none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+"), "")

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from corpusgraph.llm.native import runs, space_words
+from corpusgraph.llm.native import runs, space_words, without_ids
 from corpusgraph.sources.scratch import materialize
 
 UNIT = 1000  # statistics are kept as thousandths
@@ -178,16 +178,20 @@ def _estimated(n: Column, scale: float) -> list[Column]:
 def _first_estimates(rows: DataFrame) -> DataFrame:
     """Three starts per group; see the module.
 
-    The statistics are thousandths, so an exact percentile counts few distinct values.
-    Spatial signs are thousandths as well.
+    The statistics are thousandths, so there are few distinct values: these are counted
+    first, in all tasks, and medians come from the counts. Spatial signs are thousandths
+    as well.
     """
-    middle = rows.groupBy("group").agg(
-        *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in range(_DIM)]
-    )
-    off = rows.join(middle, "group").groupBy("group").agg(
-        *[F.first(f"m{i}").alias(f"m{i}") for i in range(_DIM)],
-        *[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"s{i}") for i in range(_DIM)],
+    values = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.col(f"x{i}").alias("x")) for i in range(_DIM)]))
+    tally = rows.select("group", values.alias("v")).groupBy("group", "v.i", "v.x").agg(F.count(F.lit(1)).alias("n"))
+    tally = materialize(tally, "quality-tally")
+    middle = tally.groupBy("group", "i").agg(F.percentile("x", F.lit(0.5), F.col("n")).alias("m"))
+    off = F.abs(F.col("x") - F.col("m"))
+    wide = tally.join(middle, ["group", "i"]).groupBy("group", "i").agg(
+        F.first("m").alias("m"), F.percentile(off, F.lit(0.5), F.col("n")).alias("s")
     )
+    of = lambda c, i: F.max(F.when(F.col("i") == i, F.col(c))).alias(f"{c}{i}")
+    off = wide.groupBy("group").agg(*[of(c, i) for c in "ms" for i in range(_DIM)])
     means = [F.col(f"m{i}") / UNIT for i in range(_DIM)]
     wide = [F.sqrt(F.pow(1.4826 * F.col(f"s{i}") / UNIT, 2) + FLOOR**2) for i in range(_DIM)]
     off = materialize(
@@ -264,7 +268,7 @@ def judge(
     least_rows: int = LEAST_ROWS,
     cutoff: float = CUTOFF,
 ) -> DataFrame:
-    """(doc_id, counts, base_failed, distance, kept) of every row.
+    """(doc_id, counts, base_failed, kept, distance) of every row.
 
     ``base_failed``: under 50 words, or over half of the words in repeated windows. Other
     rows are kept unless the squared distance of their statistics to the estimate of their
@@ -285,9 +289,10 @@ def judge(
     estimates = robust_estimates(inside.select("group", *[f"x{i}" for i in range(_DIM)]))
     judged = with_distance(inside, estimates)
     names = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    alone = passed.filter("group is null").select(*names, F.lit(None).cast("double").alias("distance"), F.lit(True).alias("kept"))
-    failed = rows.filter("base_failed").select(*names, F.lit(None).cast("double").alias("distance"), F.lit(False).alias("kept"))
-    judged = judged.select(*names, F.col("d2").alias("distance"), (F.col("d2") <= cutoff).alias("kept"))
+    unknown = F.lit(None).cast("double").alias("distance")
+    alone = passed.filter("group is null").select(*names, F.lit(True).alias("kept"), unknown)
+    failed = rows.filter("base_failed").select(*names, F.lit(False).alias("kept"), unknown)
+    judged = judged.select(*names, (F.col("d2") <= cutoff).alias("kept"), F.col("d2").alias("distance"))
     return judged.unionByName(alone).unionByName(failed)
 
 
@@ -297,6 +302,5 @@ def keep_good(docs: DataFrame, **options) -> DataFrame:
     Rows that share an id go only if each of them is rejected. Rows without id stay.
     """
     id_col = options.get("id_col", "doc_id")
-    verdict = judge(docs, **options).groupBy(F.col("doc_id").alias("_gone_id")).agg(F.max("kept").alias("_kept"))
-    gone = verdict.filter("not _kept").select("_gone_id")
-    return docs.join(gone, F.col(id_col) == F.col("_gone_id"), "left_anti")
+    verdict = judge(docs, **options).groupBy("doc_id").agg(F.max("kept").alias("kept"))
+    return without_ids(docs, verdict.filter("not kept").select("doc_id"), id_col)

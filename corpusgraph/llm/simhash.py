@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusgraph.llm.components import components
+from corpusgraph.llm.native import without_ids
 from corpusgraph.llm.words import batch_words
 from corpusgraph.sources.scratch import materialize
 
@@ -302,5 +303,4 @@ def keep_one(
     """
     found = near_duplicates(docs, id_col, text_col, shingle, radius)
     gone = found.groupBy("doc_id").agg(F.min(F.col("doc_id") - F.col("component_id")).alias("above"))
-    gone = gone.filter("above > 0").select(F.col("doc_id").alias("_gone_id"))
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone_id"), "left_anti")
+    return without_ids(docs, gone.filter("above > 0").select("doc_id"), id_col)

@@ -205,6 +205,22 @@ def test_repeated_passages_of_two_lines_and_more(spark):
     assert got[400].text == "" and got[409].text == "p\nq"
 
 
+def test_op2_query(spark):
+    """The registered query against brute force, over a whole table."""
+    from corpusgraph.llm.queries import op2_line_dedup
+    from tests.conftest import SF
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    left = without_windows(sorted((r.doc_id, r.text) for r in docs if r.text is not None))
+    before = {r.doc_id: r.text for r in docs}
+    got = op2_line_dedup(spark, SF).collect()
+    assert len(got) == len(docs) and sum(r.n_removed for r in got) > 0
+    for r in got:
+        text = left.get(r.doc_id)
+        assert r.kept_sha256 == (None if text is None else hashlib.sha256(text.encode()).hexdigest())
+        assert r.n_lines == (0 if text is None else before[r.doc_id].count("\n") + 1)
+
+
 def test_lines_that_share_a_hash(spark):
     from pyspark.sql import functions as F
 
@@ -368,6 +384,52 @@ def test_shards(spark, docs, empty, tmp_path):
     assert assign_shards(empty).count() == 0
 
 
+def test_shards_of_hot_and_missing_ids(spark):
+    """A third of the rows without id, a third with one id: shards stay near equal."""
+    from corpusgraph.llm.shards import assign_shards
+
+    ids = [None] * 2000 + [7] * 2000 + list(range(1000, 3000))
+    docs = spark.createDataFrame([(i, "x" * 60) for i in ids], "doc_id long, text string")
+    rows = assign_shards(docs, shards=16).collect()
+    sizes, places = Counter(), defaultdict(list)
+    for r in rows:
+        sizes[r.shard] += r["size"]
+        places[r.shard].append(r.position)
+    assert len(rows) == 6000 and max(sizes.values()) <= 1.02 * min(sizes.values())
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+
+
+def test_op7_query(spark):
+    """The query stores two versions of the map, and its rows are near equal in bytes."""
+    from corpusgraph.llm.queries import op7_sharding
+    from tests.conftest import SF
+
+    rows = op7_sharding(spark, SF).collect()
+    sizes = Counter()
+    for r in rows:
+        sizes[r.shard] += r["size"]
+    largest = max(r["size"] for r in rows)
+    assert len(sizes) == 16 and max(sizes.values()) - min(sizes.values()) <= largest
+    shard_of = {}
+    assert all(shard_of.setdefault(r.virtual_slot, r.shard) == r.shard for r in rows)
+
+
+def test_clashing_names(spark):
+    """Stages keep columns that are named like their own."""
+    from pyspark.sql import functions as F
+
+    from corpusgraph.llm.contamination import keep_clean
+    from corpusgraph.llm.quality import keep_good
+    from corpusgraph.llm.simhash import keep_one
+    from tests.conftest import SF
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    docs = docs.withColumns({c: F.lit(1) for c in ("_gone_id", "__gone_id", "kept", "tag", "n_words")})
+    bench = spark.read.parquet(f"{SF}/benchmark.parquet")
+    for kept in (keep_good(docs), keep_one(docs), keep_clean(docs, bench)):
+        assert kept.columns == docs.columns and 0 < kept.count() <= 60
+
+
 def test_warc_round_trip(spark, empty, tmp_path):
     from corpusgraph.llm.warc import read_archive, sha1_digest, write_archive
 

@@ -340,3 +340,108 @@ def test_queries_over_whole_tables(spark):
     )
     aligned = QUERIES["op13_tokenizer_alignment"](spark, sf)
     assert by_value(aligned.collect()) == by_value(r[:-1] for r in alignment_rows(items))
+
+
+def _license_probes():
+    from corpusgraph.llm import licenses as li
+
+    conditions = li._REDISTRIBUTE.replace("met: ", "met:\n\n").replace(" 2. ", "\n\n2. ")
+    bsd = f"Copyright (c) 2019, Some Body\nAll rights reserved.\n\n{conditions}\n\n{li._ENDORSE}\n\n{li._HOLDERS}"
+    mit = f"MIT License\n\nCopyright (c) 2021 Jane\n\n{li._PERMIT}\n\n{li._PERMIT_NOTICE}\n\n{li._AS_IS}"
+    comment = "\n".join(f"# {line}" for line in bsd.split("\n"))
+    return [
+        ("spdx", "// SPDX-License-Identifier: Apache-2.0\nint main;", "Apache-2.0"),
+        ("tag", "SPDX-License-Identifier: MIT", "MIT"),
+        ("id", "GPL-3.0-only", "GPL-3.0"),
+        ("later", "LGPL-3.0-or-later", "LGPL-3.0"),
+        ("short", "released under the GPLv3", "GPL-3.0"),
+        ("cc", "available under CC BY 4.0", "CC-BY-4.0"),
+        ("nc", "Licensed under CC BY-NC 4.0.", "CC-BY-NC-4.0"),
+        ("d1/LICENSE", bsd, "BSD-3-Clause"),
+        ("d1/e/f", None, "BSD-3-Clause"),
+        ("d2/COPYING", mit, "MIT"),
+        ("d2/f.LICENSE", "words of nothing", "MIT"),
+        ("code.py", f"{comment}\nimport x", "BSD-3-Clause"),
+        ("two", f"{li._REDISTRIBUTE} {li._HOLDERS}", "BSD-2-Clause"),
+        ("reserved", "Copyright 2020 Foo. All rights reserved.", "Proprietary"),
+        ("other", "Licensed under the Foo License, Version 2.0", None),
+        ("zlib", "SPDX-License-Identifier: Zlib", None),
+        ("german", "Mit.\nDen mit und.", None),
+        ("prose", "the license of the public and the software is in the terms of use", None),
+        ("long", "word " * 200_000 + "\nReleased under the MIT License.", "MIT"),
+        ("long line", "Released under the MIT License. " + "word " * 200_000, None),
+    ]
+
+
+def test_licence_files_headers_and_ids(spark):
+    from corpusgraph.llm.licenses import scan_licenses
+
+    probes = _license_probes()
+    files = spark.createDataFrame([p[:2] for p in probes], "path string, text string")
+    got = {r.path: r.license for r in scan_licenses(files).collect()}
+    assert got == {path: name for path, _, name in probes}
+
+
+def test_licences_equal_cosines_over_all_units_and_templates(spark):
+    """Every unit against every template, without the filter that finds headers first."""
+    import math
+    from collections import Counter
+
+    from corpusgraph.llm import licenses as li
+    from tests.conftest import SF
+
+    texts = {path: text for path, text, _ in _license_probes() if text and "long" not in path}
+    documents = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    texts |= {f"d/{r.doc_id}": r.text for r in documents.collect() if r.text}
+    files = spark.createDataFrame(list(texts.items()), "path string, text string")
+    got = {r.path: (r.license, r.similarity) for r in li.declared(files).collect()}
+
+    held = li._held(li.TEMPLATES)
+    least = 1 / len({name for name, _ in li.TEMPLATES})
+    low, other = 1 - math.log(least), (1 - math.log(least) / 2) ** 2
+
+    def weight(word, n):
+        return (1 + math.log(n)) * (low + 1 - math.log(held[word])) / 2
+
+    units, df = {}, Counter()
+    for path, text in texts.items():
+        name = path.split("/")[-1]
+        mine = {(w, tuple(sorted(Counter(words).items()))) for w, words in li._units(text, name in ("LICENSE", "COPYING"))}
+        for one in mine:
+            top = sum(weight(w, n) ** 2 for w, n in one[1] if w in held)
+            rest = other * sum(w not in held for w, _ in one[1])
+            if sum(w in held for w, _ in one[1]) > 1 and top >= li.THRESHOLD**2 * (top + rest):
+                units.setdefault(path, set()).add(one)
+                df.update(w for w, _ in one[1])
+    total = sum(map(len, units.values()))
+
+    def idf(word):
+        seen = max(df[word] / total, least)
+        return 1 - (math.log(seen) + math.log(max(held.get(word, least), least))) / 2
+
+    def vector(counts):
+        raw = {w: (1 + math.log(n)) * idf(w) for w, n in counts}
+        size = math.sqrt(sum(v * v for v in raw.values()))
+        return {w: v / size for w, v in raw.items()}
+
+    models = [(name, vector(Counter(li._words(text)).items())) for name, text in li.TEMPLATES]
+    want = {}
+    for path, text in texts.items():
+        name = path.split("/")[-1]
+        best = None
+        for whole, words in li._units(text, name in ("LICENSE", "COPYING")):
+            own = vector(Counter(words).items()) if words else {}
+            for license_name, model in models:
+                shared = own.keys() & model.keys()
+                rare = min(held[w] for w in model)
+                if len(shared) < 2 or all(held[w] > rare for w in shared):
+                    continue
+                cosine = round(sum(own[w] * model[w] for w in shared), 9)
+                if cosine >= li.THRESHOLD:
+                    one = (license_name != "Proprietary", whole, cosine, license_name)
+                    best = max(best, one) if best else one
+        if best:
+            want[path] = best
+    assert {p: one[0] for p, one in got.items()} == {p: one[3] for p, one in want.items()}
+    assert all(abs(got[p][1] - one[2]) < 1e-8 for p, one in want.items())
+    assert sum(p.startswith("d/") for p in want) > 3

@@ -7,13 +7,14 @@ largest cosine. Terms are words and numbers, so an SPDX id is several terms; ``2
 are ``2``, and years are no terms.
 
 The weight of a term falls with the mean of two logarithms: its share of the headers and its share
-of the licences, both at least one licence's share. A header is a unit that could reach the
-threshold if its licence terms were as rare as they can be, and its other terms as common. That
-is known from the unit and the templates alone, so no declaration is lost, and prose is neither
-shuffled nor counted. Weights do not depend on the table's size.
-
-After the cosine, two checks: a unit shares two terms with the template, and one of the template's
-rarest, so the wording of a notice alone names no licence. Of the declarations in a file, that
+of the licences, both at least one licence's share. Two checks stand beside the cosine: a unit
+shares two terms with the template, and one of the template's rarest, so the wording of a notice
+alone names no licence. A header is a unit that passes them for some template and could reach
+the threshold if the shared terms were as rare as they can be among headers, and all others as
+common. That is known from the unit and the templates alone, so no declaration is lost, and prose
+is neither shuffled nor counted. Weights do not depend on the table's size.
+
+Of the declarations in a file, that
 of a whole text or comment comes first, then the most similar. A reservation of rights counts only where
 nothing else is declared, since licence texts contain one. A file without a declaration of its own
 takes that of the licence file in the nearest directory above it.
@@ -24,7 +25,7 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from hashlib import blake2b
 from itertools import chain, groupby
 
@@ -171,6 +172,7 @@ def _id_templates() -> Iterator[tuple[str, str]]:
 
 
 _WORD = re.compile(r"[^\W\d_]+|\d+(?:\.\d+)*")
+_DIGIT = re.compile(r"\d")
 _VERSION = re.compile(r"v\.?(?=\d)")
 _YEAR = re.compile(r"(?:19|20)\d\d")
 _COMMENT = re.compile(r"\s*(?:#|//|/\*|\*|--|;|%|<!--|\"\"\"|')")
@@ -178,7 +180,10 @@ _COMMENT = re.compile(r"\s*(?:#|//|/\*|\*|--|;|%|<!--|\"\"\"|')")
 
 def _words(text: str) -> list[str]:
     """Terms of a text, in order."""
-    found = _WORD.findall(_VERSION.sub(" ", text.lower()))
+    text = text.lower()
+    if not _DIGIT.search(text):
+        return _WORD.findall(text)
+    found = _WORD.findall(_VERSION.sub(" ", text))
     return [w.removesuffix(".0") if w[0].isdigit() else w for w in found if not _YEAR.fullmatch(w)]
 
 
@@ -208,33 +213,64 @@ def _held(templates: Sequence[tuple[str, str]]) -> dict[str, float]:
     return {word: len(names) / total for word, names in holders.items()}
 
 
-def _headers(files: DataFrame, templates: Sequence[tuple[str, str]], threshold: float, named: str) -> DataFrame:
-    """(path, whole, unit, terms) of the units that could reach the threshold, once per file row.
+def _bounds(templates: Sequence[tuple[str, str]], threshold: float) -> Callable[[list[str]], bool]:
+    """Whether terms pass the checks of some template, and could have its cosine at the threshold.
 
-    ``unit`` is a digest of the terms and their counts; equal vectors are one unit.
+    Weights lie between those of a term in all headers and of one in at most a licence's share.
+    Over the shared terms, no cosine exceeds the product of their parts of the two lengths.
     """
     held = _held(templates)
     least = 1 / len({name for name, _ in templates})
-    # The largest squared weight of a template's term, the smallest of any other.
-    most = {word: (1 - (math.log(least) + math.log(share)) / 2) ** 2 for word, share in held.items()}
+    low = {word: (1 - math.log(share) / 2) ** 2 for word, share in held.items()}
+    high = {word: (1 - (math.log(least) + math.log(share)) / 2) ** 2 for word, share in held.items()}
     other = (1 - math.log(least) / 2) ** 2
-    square = threshold * threshold
+    # Templates by their rarest terms: squared counts of terms, and the least squared length.
+    models = defaultdict(list)
+    for _, text in templates:
+        part = {word: (1 + math.log(n)) ** 2 for word, n in Counter(_words(text)).items()}
+        model = part, sum(n * low[word] for word, n in part.items())
+        fewest = min(held[word] for word in part)
+        for word in part:
+            if held[word] == fewest:
+                models[word].append(model)
+    names, square = models.keys(), threshold * threshold
+
+    def passes(words: list[str]) -> bool:
+        distinct = set(words)
+        found = distinct & names
+        if not found:
+            return False
+        part = {w: (1 + math.log(n)) ** 2 for w, n in Counter(words).items()}
+        least_size = sum(n * low.get(w, other) for w, n in part.items())
+        for model, model_size in (one for word in found for one in models[word]):
+            shared = distinct & model.keys()
+            if len(shared) > 1:
+                top = sum(part[w] * high[w] for w in shared)
+                size = top + least_size - sum(part[w] * low[w] for w in shared)
+                model_top = sum(model[w] * high[w] for w in shared)
+                size *= model_top + model_size - sum(model[w] * low[w] for w in shared)
+                # A little room for rounding.
+                if top * model_top * (1 + 1e-6) >= square * size:
+                    return True
+        return False
+
+    return passes
+
+
+def _headers(files: DataFrame, templates: Sequence[tuple[str, str]], threshold: float, named: str) -> DataFrame:
+    """(path, whole, unit, terms) of the units that could reach the threshold, once per file row.
+
+    ``unit`` is a digest of the terms and their counts; equal vectors are one unit.
+    """
 
     def find(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = most.keys()
+        passes = _bounds(templates, threshold)
         for batch in batches:
             rows = []
             for path, text, whole in zip(batch["path"], batch["text"], batch["whole"], strict=True):
                 seen = set()
                 for wide, words in _units(text, whole):
-                    distinct = set(words)
-                    hits = distinct & known
-                    if len(hits) < 2:
-                        continue
-                    rest = other * (len(distinct) - len(hits))
-                    tf = Counter(w for w in words if w in hits)
-                    top = sum((1 + math.log(n)) ** 2 * most[w] for w, n in tf.items())
-                    if top < square * (top + rest):
+                    if not passes(words):
                         continue
                     counts = sorted(Counter(words).items())
                     unit = blake2b(repr(counts).encode(), digest_size=16).digest()

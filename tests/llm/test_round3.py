@@ -398,19 +398,28 @@ def test_licences_equal_cosines_over_all_units_and_templates(spark):
 
     held = li._held(li.TEMPLATES)
     least = 1 / len({name for name, _ in li.TEMPLATES})
-    low, other = 1 - math.log(least), (1 - math.log(least) / 2) ** 2
-
-    def weight(word, n):
-        return (1 + math.log(n)) * (low + 1 - math.log(held[word])) / 2
+    tallies = [Counter(li._words(text)) for _, text in li.TEMPLATES]
+
+    def squares(counts, shared, seen):
+        """Squared parts of a length: of shared terms with a share ``seen`` of headers, of the others with 1."""
+        parts = [0.0, 0.0]
+        for w, n in counts.items():
+            logs = math.log(held.get(w, least)) + (math.log(seen) if w in shared else 0)
+            parts[w not in shared] += ((1 + math.log(n)) * (1 - logs / 2)) ** 2
+        return parts[0] / sum(parts)
+
+    def could(counts, model):
+        shared = counts.keys() & model.keys()
+        if len(shared) < 2 or all(held[w] > min(held[v] for v in model) for w in shared):
+            return False
+        return squares(counts, shared, least) * squares(model, shared, least) >= li.THRESHOLD**2
 
     units, df = {}, Counter()
     for path, text in texts.items():
         name = path.split("/")[-1]
         mine = {(w, tuple(sorted(Counter(words).items()))) for w, words in li._units(text, name in ("LICENSE", "COPYING"))}
         for one in mine:
-            top = sum(weight(w, n) ** 2 for w, n in one[1] if w in held)
-            rest = other * sum(w not in held for w, _ in one[1])
-            if sum(w in held for w, _ in one[1]) > 1 and top >= li.THRESHOLD**2 * (top + rest):
+            if any(could(dict(one[1]), model) for model in tallies):
                 units.setdefault(path, set()).add(one)
                 df.update(w for w, _ in one[1])
     total = sum(map(len, units.values()))

@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusgraph.llm.sql import SQL  # noqa: F401
+
 
 def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -235,6 +237,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op12_periodic_runs": op12_periodic_runs,
     "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }
-
-
-SQL: dict[str, str] = {}

@@ -454,3 +454,19 @@ def test_licences_equal_cosines_over_all_units_and_templates(spark):
     assert {p: one[0] for p, one in got.items()} == {p: one[3] for p, one in want.items()}
     assert all(abs(got[p][1] - one[2]) < 1e-8 for p, one in want.items())
     assert sum(p.startswith("d/") for p in want) > 3
+
+
+@pytest.mark.parametrize("name", ["op4_decontamination", "op9_substring_dedup", "op10_warc"])
+def test_sql_gives_the_rows_of_the_query(spark, name):
+    import duckdb
+
+    from corpusgraph.llm.queries import QUERIES, SQL
+    from tests.conftest import SF
+
+    base = duckdb.connect()
+    for table in ("documents", "benchmark", "pages"):
+        base.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF}/{table}.parquet'")
+    found = QUERIES[name](spark, SF)
+    want = base.execute(SQL[name])
+    assert found.columns == [column[0] for column in want.description]
+    assert Counter(map(tuple, found.collect())) == Counter(want.fetchall())

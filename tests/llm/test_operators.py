@@ -335,6 +335,26 @@ def test_language_model(docs, empty):
     assert score(empty).count() == 0
 
 
+def test_language_model_lower_case(spark):
+    from corpusgraph.llm.language_model import score
+
+    made = ["The cat", "the CAT THE", "É é cat", "THE É unSeen", "Unseen zebra-ZEBRA", None, "A\u00a0b a\u00a0B"] * 3
+    rows = list(enumerate([*made, "never MET", "Never Met"], start=1))
+    held = {i: zlib.crc32(str(i).encode()) % 10 == 0 for i, _ in rows}
+    assert 0 < sum(held.values()) < len(rows)
+    tokens = {i: [*WORD.findall(lowered(t)), "\n"] for i, t in rows}
+    count = Counter(w for i, t in tokens.items() if not held[i] for w in t)
+    total = sum(count.values())
+    found = score(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(found) == len(rows)
+    for r in found:
+        t = tokens[r.doc_id]
+        base = sum(np.log10((count[w] + 0.1) / (total + 0.1 * (len(count) + 1))) for w in t)
+        known = sum(count[w] > 0 for w in t)
+        assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), known, total)
+        assert r.base_score == pytest.approx(base)
+
+
 def test_packing(docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer

@@ -388,6 +388,64 @@ def test_distribution_without_pairs(spark, rows):
     assert pairs.box()["median"] is None and pairs.box()["outliers"] == 0
 
 
+def test_counting_passes_are_exact_next_to_their_marks():
+    """Single precision leaves the side of these pairs open; values are marks themselves."""
+    rng = np.random.default_rng(8)
+    left, right = (rng.normal(size=(n, 64)) for n in (300, 1300))
+    left, right = (m / np.linalg.norm(m, axis=1, keepdims=True) for m in (left, right))
+    left[5], left[7], right[3] = right[9], 0, -left[8]
+    left[20:90] = left[4]
+    one = 10**blocks.SIMILARITY_DIGITS
+    for a, b, same in ((left, right, False), (left, left, True)):
+        whole = np.rint(a @ b.T * one).astype(np.int64)
+        whole = whole[np.triu_indices(len(a), 1)] if same else whole.ravel()
+
+        def tiles():
+            return distribution._pairs_of(a, b, same)
+
+        assert sum(pairs.near.size for pairs in tiles()) == len(whole)
+        even = np.arange(60) * 30_000_001 - 800_000_000
+        for marks in (even, whole[11] + np.arange(5), whole[:1]):
+            reached = np.searchsorted(marks, whole, side="right")
+            found = sum(pairs.tally(marks) for pairs in tiles())
+            assert found.tolist() == np.bincount(reached, minlength=len(marks) + 1).tolist()
+        for mark in (int(whole[0]), int(whole[40]) + 1, -one, 0, one):
+            low, high = 2 * one, -2 * one
+            for pairs in tiles():
+                low, high = pairs.smallest(mark, low), pairs.greatest(mark, high)
+            assert sum(pairs.at_least(mark) for pairs in tiles()) == (whole >= mark).sum()
+            assert low == whole[whole >= mark].min(initial=2 * one)
+            assert high == whole[whole <= mark].max(initial=-2 * one)
+
+
+def test_curve_and_histogram_need_no_ranks(spark, monkeypatch):
+    """The curve is one pass over the pairs, the histogram two; no order statistics."""
+    matrix = np.random.default_rng(4).normal(size=(40, 8))
+    pairs = distribution.sample_pairs(frame(spark, matrix), "id", ["v"])["v"]
+    passes, reduce = [], type(pairs.strips).reduce
+
+    def counted(strips, *args):
+        passes.append(args)
+        return reduce(strips, *args)
+
+    monkeypatch.setattr(type(pairs.strips), "reduce", counted)
+    values = cosines(matrix)[np.triu_indices(40, 1)]
+    curve = pairs.cumulative()
+    assert len(passes) == 1
+    assert [p for _, p in curve] == pytest.approx([(values >= t).mean() * 100 for t, _ in curve])
+    assert sum(row[3] for row in pairs.histogram()) == len(values)
+    assert len(passes) == 3 and "first_pass" not in vars(pairs)
+
+
+def test_order_statistics_are_exact_at_every_rank(spark):
+    matrix = np.random.default_rng(6).normal(size=(30, 3))
+    matrix[[4, 9]] = matrix[2]
+    pairs = distribution.sample_pairs(frame(spark, matrix), "id", ["v"])["v"]
+    values = np.sort(np.round(cosines(matrix)[np.triu_indices(30, 1)], 9))
+    found = pairs.order_statistics(range(len(values)))
+    assert [found[r] for r in range(len(values))] == pytest.approx(values.tolist(), abs=2e-9)
+
+
 def test_vectors_must_be_finite(spark):
     with pytest.raises(Exception, match="vectors must be finite"):
         blocks.load_vectors(frame(spark, np.array([[1.0, np.nan]])), "id", "v")

@@ -30,6 +30,8 @@ EMBED_LIMIT = 8000
 MIN_ANSWER = 10
 EMBED_BATCH = 10
 EMBEDDING_DIM = 4096
+# Answers of small batches leave a task together, up to so many elements of vectors.
+YIELDED_ELEMENTS = 1 << 16
 
 Answer = dict[str, Any] | None
 Extractor = Callable[[str, str], Answer]
@@ -254,10 +256,19 @@ def embed_pairs(
     kinds = _ddl(inputs.schema[k] for k in keys)
 
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        waiting, room = [], YIELDED_ELEMENTS
         for rows in _whole_batches(batches):
-            empty = rows["missing"].astype(bool)
-            yield _embedded(rows[~empty].reset_index(drop=True), embedder, keys)
-            yield _unasked(rows[empty], keys)
+            empty = rows["missing"].to_numpy(bool)
+            if not empty.all():
+                waiting.append(_embedded(rows[~empty], embedder, keys))
+            if empty.any():
+                waiting.append(_unasked(rows[empty], keys))
+            room -= 2 * max(dim, 1) * len(rows)
+            if room <= 0:
+                yield pd.concat(waiting, ignore_index=True)
+                waiting, room = [], YIELDED_ELEMENTS
+        if waiting:
+            yield pd.concat(waiting, ignore_index=True)
 
     asked = spread.sortWithinPartitions("batch", *keys).mapInPandas(
         call,
@@ -273,13 +284,17 @@ def _whole_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Regroup sorted rows of a partition by their batch."""
     rest: pd.DataFrame | None = None
     for rows in batches:
+        if not len(rows):
+            continue
         rest = rows if rest is None else pd.concat([rest, rows], ignore_index=True)
-        last = rest["batch"].iloc[-1] if len(rest) else None
-        for _, whole in rest[rest["batch"] != last].groupby("batch"):
-            yield whole.reset_index(drop=True)
-        rest = rest[rest["batch"] == last]
-    if rest is not None and len(rest):
-        yield rest.reset_index(drop=True)
+        number = rest["batch"].to_numpy()
+        cuts = (number[1:] != number[:-1]).nonzero()[0] + 1
+        for start, stop in zip([0, *cuts[:-1]], cuts):
+            yield rest.iloc[start:stop]
+        if len(cuts):
+            rest = rest.iloc[cuts[-1] :]
+    if rest is not None:
+        yield rest
 
 
 def _unasked(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
@@ -292,8 +307,8 @@ def _unasked(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
 
 def _embedded(rows: pd.DataFrame, embedder: Embedder, keys: list[str]) -> pd.DataFrame:
     result = rows[keys].copy()
-    pairs = rows[["problem_input", "solution_input"]]
-    texts = [t for pair in pairs.itertuples(index=False) for t in pair]
+    pairs = zip(rows["problem_input"], rows["solution_input"])
+    texts = [t for pair in pairs for t in pair]
     try:
         vectors = [[float(x) for x in v] for v in embedder(texts)] if texts else []
         if len(vectors) != len(texts):

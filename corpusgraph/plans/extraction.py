@@ -94,6 +94,7 @@ def _spread(df: DataFrame, concurrency: int | None) -> DataFrame:
 CHUNK_ROWS = 100_000
 MAX_CHUNKS = 1_000
 VERSION = ["model_name", "prompt_version"]
+_CHUNK = "_chunk"
 
 
 @dataclass(frozen=True)
@@ -117,20 +118,36 @@ class _Run:
     ) -> DataFrame:
         """The answers to all rows, from earlier calls of the same run where there are any.
 
-        Chunks are cut by a hash of the keys, so they are the same in every call.
+        Chunks are cut by a hash of the keys and stored in folders of their own, so they are
+        the same in every call, and each reads its own rows alone.
         """
-        spark, rows = self.lake.spark, f"{self.folder}/rows"
+        spark, rows = self.lake.spark, f"{self.folder}/chunks"
         if not files.finished(spark, rows):
-            todo.write.mode("overwrite").parquet(rows)
-        fixed = spark.read.schema(todo.schema).parquet(rows)
-        chunks = max(1, min(MAX_CHUNKS, math.ceil(fixed.count() / chunk_rows)))
-        place = F.pmod(F.xxhash64(*keys), F.lit(chunks))
-        paths = [f"{self.folder}/answers-{k}" for k in range(chunks)]
-        for k, path in enumerate(paths):
+            cut = self._cut(todo, keys, chunk_rows).write.partitionBy(_CHUNK)
+            cut.mode("overwrite").option("partitionOverwriteMode", "static").parquet(rows)
+        kinds = T.StructType([*todo.schema, T.StructField(_CHUNK, T.IntegerType())])
+        fixed = spark.read.schema(kinds).parquet(rows)
+        # At most MAX_CHUNKS numbers.
+        chunks = sorted(r[0] for r in fixed.select(_CHUNK).distinct().collect()) or [0]
+        paths = [f"{self.folder}/answers-{k}" for k in chunks]
+        for k, path in zip(chunks, paths, strict=True):
             if not files.finished(spark, path):
-                ask(fixed.where(place == k)).write.mode("overwrite").parquet(path)
+                chunk = fixed.where(F.col(_CHUNK) == k).drop(_CHUNK)
+                ask(chunk).write.mode("overwrite").parquet(path)
         return spark.read.parquet(*paths)
 
+    def _cut(self, todo: DataFrame, keys: list[str], chunk_rows: int) -> DataFrame:
+        """The rows with their chunk, each chunk in about as many tasks as there are cores."""
+        chunks = max(1, min(MAX_CHUNKS, math.ceil(todo.count() / chunk_rows)))
+        cores = self.lake.spark.sparkContext.defaultParallelism
+        place = F.pmod(F.xxhash64(*keys), F.lit(chunks)).cast("int")
+        numbered = todo.withColumn(_CHUNK, place)
+        if chunks == 1:
+            return numbered
+        # By all columns, as many rows may have one key or none.
+        share = F.pmod(F.xxhash64(*todo.columns, F.lit("share")), F.lit(cores))
+        return numbered.repartition(min(chunks, 16) * cores, _CHUNK, share)
+
     def close(self) -> None:
         files.delete_folder(self.lake.spark, self.folder)
 

@@ -360,6 +360,28 @@ def test_a_killed_run_asks_each_row_once(spark, lake, tmp_path, monkeypatch):
     assert run().selected == 0
 
 
+def test_a_chunk_reads_its_own_files_alone(spark, lake, monkeypatch):
+    """Chunks that each read all rows read the square of them together."""
+    lake.write(_cleaned(spark, 40), "cleaned")
+    asked, read, rows_of = extraction.jobs.extract_pairs, [], []
+
+    def looks(rows, *args):
+        named = rows.select(F.input_file_name()).collect()
+        read.append({r[0] for r in named})
+        rows_of.append(len(named))
+        return asked(rows, *args)
+
+    def model(title, abstract):
+        return {"problem": f"the problem of {title}", "solution": f"a solution of {title}", "generation_id": title}
+
+    monkeypatch.setattr(extraction.jobs, "extract_pairs", looks)
+    report = extraction.run_extraction(
+        lake, "cleaned", "done", model, ("prov", "m"), "v1", chunk_rows=8
+    )
+    assert report.selected == report.succeeded == sum(rows_of) == 40
+    assert len(read) > 1 and len(set.union(*read)) == sum(map(len, read))
+
+
 def test_embedding_of_two_versions_of_a_publication(spark, lake):
     lake.write(_cleaned(spark, 4), "cleaned")
 

@@ -271,6 +271,33 @@ def test_clustering_in_two_runs_equals_one(spark):
     assert found and found.items() <= links.items()
 
 
+def test_settled_rows_are_not_compared_with_leaders(spark, monkeypatch):
+    """Rows with no more earlier neighbours than are kept need one pass over pairs; of a
+    larger group, only rows none of whose kept neighbours leads need another."""
+    asked = []
+
+    def noted(job):
+        def run(base, queries, *rest, **options):
+            asked.append(queries.count)
+            return job(base, queries, *rest, **options)
+
+        return run
+
+    monkeypatch.setattr(clustering, "_merged", noted(clustering._merged))
+    monkeypatch.setattr(clustering, "nearest_in", noted(clustering.nearest_in))
+    rng = np.random.default_rng(5)
+    centres = np.linalg.qr(rng.normal(size=(40, 40)))[0]
+    small = np.repeat(centres, 3, axis=0) + 0.01 * rng.normal(size=(120, 40))
+    large = centres[0] + 0.01 * rng.normal(size=(30, 40))
+    for matrix, most in ((small, 0), (np.vstack([small, large]), 33)):
+        asked.clear()
+        vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
+        found = clustering.cluster(vectors, finish_rows=1).members.collect()
+        members, _ = one_at_a_time(cosines(matrix))
+        assert {r["id"]: r["leader"] for r in found} == members
+        assert max(asked, default=0) <= most
+
+
 def test_a_chain_takes_few_rounds(spark):
     """Of 10,000 rows each merges with the one before and the one after it alone."""
     n = 10_000

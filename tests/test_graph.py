@@ -7,7 +7,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from corpusgraph.operators import sampling
 from corpusgraph.plans import graph
+from corpusgraph.sources import scratch
 from corpusgraph.sources.scratch import scratch_dir
 
 KEY = "publication_number"
@@ -182,6 +184,53 @@ def test_replica_has_new_ids_and_no_vectors(spark, rows):
     assert nodes.where("description is null or title is null").count() == 0
 
 
+def stored_copies(spark, monkeypatch, job):
+    """The labels of the tables that a job stores on the way."""
+    labels = []
+    write = scratch.materialize
+
+    def noted(df, label="step", partition_by=()):
+        labels.append(label)
+        return write(df, label, partition_by)
+
+    monkeypatch.setattr(sampling, "materialize", noted)
+    monkeypatch.setattr(graph, "materialize", noted)
+    return job(), labels
+
+
+def test_replica_stores_its_nodes_once(spark, rows, monkeypatch):
+    """Nodes without an id, or with one that occurs twice, are numbered like others."""
+    nodes = graph.dense_nodes(rows)
+    odd = nodes.where("node_id = 'Patent:a'")
+    odd = odd.unionByName(odd.withColumn("node_id", F.lit(None).cast("string")))
+    original = graph.Graph(nodes.unionByName(odd), graph.dense_graph(rows).edges)
+    found, labels = stored_copies(spark, monkeypatch, lambda: graph.replica(original))
+    assert len(labels) == 1
+    numbers = sorted((r["node_id"], r["source_id"]) for r in found.nodes.collect())
+    assert [n for n, _ in numbers] == list(range(14))
+    assert [s for _, s in numbers][:3] == [None, "Patent:a", "Patent:a"]
+
+
+def joined_in(plan):
+    return sum(plan.count(f"{kind}Join") for kind in ("SortMerge", "BroadcastHash", "ShuffledHash"))
+
+
+def test_rows_without_later_versions_do_not_move(spark, rows):
+    """Only clusters and their links with several versions are compared with each other."""
+
+    def plan(frame):
+        return frame._jdf.queryExecution().executedPlan().toString()
+
+    path = scratch_dir(spark, "graph")
+    graph.write_graph(graph.dense_graph(rows), path)
+    one = graph.read_graph(spark, path)
+    assert joined_in(plan(one.nodes)) == joined_in(plan(one.edges)) == 0
+    graph.write_graph(graph.dense_change(one, patents(spark, [("z", UNIT["x"], UNIT["y"])])), path, 1)
+    two = graph.read_graph(spark, path)
+    assert joined_in(plan(two.edges)) == 0
+    assert two.nodes.count() == 15 and "version" not in two.nodes.columns
+
+
 def test_links_keep_the_score_that_was_set_last(spark):
     """Two members of one cluster link to the same leader; the later one counts."""
     rows = patents(

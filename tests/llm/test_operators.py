@@ -355,6 +355,34 @@ def test_language_model_lower_case(spark):
         assert r.base_score == pytest.approx(base)
 
 
+def test_language_model_sums_and_places():
+    from corpusgraph.llm.language_model import _added, _places, _summed
+
+    def in_pairs(values):
+        while len(values) > 1:
+            pairs = [values[i : i + 2] for i in range(0, len(values), 2)]
+            values = [p[0] + p[1] if len(p) == 2 else p[0] for p in pairs]
+        return values[0]
+
+    random = np.random.default_rng(1)
+    rows = np.concatenate([np.full(1000, 7), random.integers(1, 400, 500), random.integers(1, 1 << 14, 300)])
+    rows = random.permutation(rows)
+    values = random.normal(size=(len(rows), 3)).astype(np.float32)
+    before = values.copy()
+    found, sums = _summed(rows, values)
+    assert found.tolist() == sorted(set(rows.tolist())) and (values == before).all()
+    for row, got in zip(found, sums):
+        assert got.tolist() == in_pairs(list(values[rows == row])).tolist()
+    for size in (1, 2, 3, 7, 1000):
+        assert _added(values[:size]).tolist() == [in_pairs(list(values[:size])).tolist()]
+
+    for size in (0, 1, 5, 4000):
+        words = np.unique(random.integers(0, 1 << 64, size, dtype=np.uint64) >> np.uint64(size % 2 * 40))
+        asked = np.concatenate([words, words + np.uint64(1), random.integers(0, 1 << 64, 3000, dtype=np.uint64)])
+        wanted = np.minimum(np.searchsorted(words, asked), max(0, len(words) - 1))
+        assert _places(words, asked).tolist() == wanted.tolist()
+
+
 def test_packing(docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer

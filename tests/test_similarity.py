@@ -464,6 +464,40 @@ def test_curve_and_histogram_need_no_ranks(spark, monkeypatch):
     assert len(passes) == 3 and "first_pass" not in vars(pairs)
 
 
+def test_rough_tally_counts_marks_exactly(monkeypatch):
+    from corpusgraph.operators import distribution
+
+    random = np.random.default_rng(3)
+    left, right = (random.normal(size=(n, 6)) for n in (90, 70))
+    right[:40] = left[:40]
+    left[7] = 0
+    left, right = (m / np.maximum(np.linalg.norm(m, axis=1), 1e-9)[:, None] for m in (left, right))
+    unit = distribution._UNIT
+    for placed in (1 << 17, 64, 1000):
+        monkeypatch.setattr(distribution, "_PLACED", placed)
+        for same in (False, True):
+            other = left if same else right
+            values = np.rint(left @ other.T * unit).astype(np.int64)
+            values = values[np.triu_indices(len(left), 1)] if same else values.ravel()
+            # Marks that pairs lie on, one below and one above them, and beyond all.
+            marks = [int(v) + d for v in (*values[::400], 0, unit) for d in (-1, 0, 1)]
+            tally, above = 0, np.zeros(len(marks), np.int64)
+            number, inside = 0, 0
+            for pairs in distribution._pairs_of(left, other, same):
+                rough, reached = pairs.rough_tally(marks)
+                tally, above = tally + rough, above + reached
+                below, chosen = pairs.below(0, unit // 2)
+                exact = pairs.exact(chosen)
+                number += below + (exact < 0).sum()
+                inside += ((exact >= 0) & (exact < unit // 2)).sum()
+            assert above.tolist() == [(values >= m).sum() for m in marks]
+            assert (number, inside) == ((values < 0).sum(), ((values >= 0) & (values < unit // 2)).sum())
+            codes = np.floor((values / unit + 1) / distribution._ROUGH_STEP + 1)
+            assert tally.sum() == len(values)
+            moved = np.cumsum(np.bincount(codes.astype(int), minlength=len(tally)))
+            assert (np.cumsum(tally)[1:] >= moved[:-1]).all() and (np.cumsum(tally)[:-1] <= moved[1:]).all()
+
+
 def test_order_statistics_are_exact_at_every_rank(spark):
     matrix = np.random.default_rng(6).normal(size=(30, 3))
     matrix[[4, 9]] = matrix[2]

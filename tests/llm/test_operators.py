@@ -355,6 +355,54 @@ def test_language_model_lower_case(spark):
         assert r.base_score == pytest.approx(base)
 
 
+def test_language_model_tells_words_of_a_class_apart(spark):
+    from corpusgraph.llm.language_model import score
+
+    # "xaar" and "ybar" end alike, so they are of one class, and come equally often.
+    filler = [f"f{k}" for k in range(16)]
+    rows = [("red", "xaar"), ("blue", "ybar")] * 150 + [("blue", "xaar"), ("red", "ybar")] * 3
+    made = [(i, " ".join([*filler, *pair, *filler])) for i, pair in enumerate(rows, start=1) if zlib.crc32(str(i).encode()) % 10]
+    held = [i for i in range(1000, 2000) if zlib.crc32(str(i).encode()) % 10 == 0][:4]
+    asked = [(x, y) for x in ("red", "blue") for y in ("xaar", "ybar")]
+    made += [(i, " ".join([*filler, *pair, *filler])) for i, pair in zip(held, asked, strict=True)]
+    found = score(spark.createDataFrame(made, "doc_id long, text string")).collect()
+    got = {pair: next(r for r in found if r.doc_id == i) for i, pair in zip(held, asked)}
+    assert all(r.held_out for r in got.values())
+    assert got["red", "xaar"].score > got["red", "ybar"].score + 0.05
+    assert got["blue", "ybar"].score > got["blue", "xaar"].score + 0.05
+
+
+def test_language_model_trees():
+    from corpusgraph.llm.language_model import SMOOTHING, Model, _inner_log, _learn_inner, _trees
+
+    random = np.random.default_rng(2)
+    counts = random.integers(1, 50, 40)
+    classes = np.concatenate([[0, 1], random.integers(2, 5, 38)])
+    others = np.array([7.0, 8.0, 0.1, 900.0, 12.3, 5.0])  # the last class has no frequent word
+    trees = _trees(classes, counts, others, 2)
+    words, none = np.arange(1, 41, dtype=np.uint64), np.zeros(0)
+    cells = np.zeros(1 << 12, dtype=np.float32)
+    model = Model(words, counts, words[:1], 0, 0, none, none, none, *trees, others, cells)
+    before = tuple(np.full(46, m, dtype=np.uint32) for m in (3, 1 << 30, 77))
+    leaves, of_class = np.arange(46), np.concatenate([classes, np.arange(6)])
+    mass = np.concatenate([counts + SMOOTHING, others])
+    flat = 10 ** _inner_log(model, leaves, before)
+    for k in range(2, 6):
+        mine = of_class == k
+        assert flat[mine] == pytest.approx(mass[mine] / mass[mine].sum())
+    model.cells = random.normal(size=len(cells)).astype(np.float32)
+    for k in range(2, 6):
+        assert (10 ** _inner_log(model, leaves, before))[of_class == k].sum() == pytest.approx(1)
+    # One step is towards the words that were seen, by the sum of their slopes.
+    seen = np.flatnonzero(of_class == 3)[[0, 0, 0, 1]]
+    some = tuple(m[:4] for m in before)
+    changed = model.cells.copy()
+    _learn_inner(model, changed, np.full(len(cells), 1e-3, np.float32), seen, some)
+    was = _inner_log(model, seen, some).sum()
+    model.cells = changed
+    assert _inner_log(model, seen, some).sum() > was
+
+
 def test_language_model_sums_and_places():
     from corpusgraph.llm.language_model import _added, _places, _summed
 

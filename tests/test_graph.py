@@ -11,6 +11,8 @@ from corpusgraph.operators import sampling
 from corpusgraph.plans import graph
 from corpusgraph.sources import scratch
 from corpusgraph.sources.scratch import scratch_dir
+from workload import inputs
+from workload.registry import CHECKS
 
 KEY = "publication_number"
 UNIT = {"x": [1.0, 0.0, 0.0], "near": [0.95, 0.3, 0.0], "y": [0.0, 0.0, 1.0]}
@@ -244,3 +246,78 @@ def test_links_keep_the_score_that_was_set_last(spark):
     found = graph.clustered_graph(rows, seed_for("a", "b", "c")).edges.where("type = 'SIMILAR_TO'").collect()
     assert [(r["src"], r["dst"]) for r in found] == [("Problem:b", "Problem:a")]
     assert found[0]["similarity"] == pytest.approx(0.86, abs=1e-3)
+
+
+def noted_tables(monkeypatch, *modules):
+    """Columns of the tables that some modules store on the way."""
+    columns = []
+    for module in modules:
+        for name in ("materialize", "materialize_measured"):
+            if hasattr(module, name):
+                def noted(df, *rest, write=getattr(scratch, name), **options):
+                    columns.append(df.columns)
+                    return write(df, *rest, **options)
+
+                monkeypatch.setattr(module, name, noted)
+    return columns
+
+
+def test_numbers_are_found_from_keys_alone(spark, rows, monkeypatch):
+    """Texts are not stored to number the nodes; every number fits in several ranges."""
+    monkeypatch.setattr(sampling, "RANGE_ROWS", 2)
+    original = graph.dense_graph(rows)
+    columns = noted_tables(monkeypatch, sampling, graph)
+    found = graph.replica(original)
+    assert columns and all(set(c) <= {"source_id", "_mark"} for c in columns)
+    names = [r["source_id"] for r in found.nodes.orderBy("node_id").collect()]
+    assert names == sorted(r["node_id"] for r in original.nodes.collect())
+    assert [r["node_id"] for r in found.nodes.orderBy("source_id").collect()] == list(range(12))
+    links = {(names[r["src"]], names[r["dst"]]) for r in found.edges.collect()}
+    assert links == {(r["src"], r["dst"]) for r in original.edges.collect()}
+
+
+@pytest.mark.parametrize("keys", [[], [None, None], [None, "b", "b", "a", "c", "b"], list("hgfedcba")])
+def test_positions_of_odd_keys(spark, monkeypatch, keys):
+    monkeypatch.setattr(sampling, "RANGE_ROWS", 1)
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k string, v int").repartition(3)
+    positions = sampling.Positions.of(df, "k")
+    wanted = sorted((k or "" for k in keys))
+    found = positions.give(df, "n").collect()
+    assert sorted(r["v"] for r in found) == list(range(len(keys)))
+    for got in (found, positions.numbers("n").collect()):
+        assert [(r["n"], r["k"] or "") for r in sorted(got, key=lambda r: r["n"])] == list(enumerate(wanted))
+
+
+@pytest.fixture
+def small_tables(spark, tmp_path):
+    vectors = [(i, np.eye(3)[i % 3].tolist(), "x") for i in range(4)]
+    made = spark.createDataFrame(vectors, "vec_id long, embedding array<float>, label string")
+    made.write.parquet(f"{tmp_path}/embeddings.parquet")
+    texts = [(i, f"head {i}\nbody {i}\nlast {i}") for i in range(20)] + [(20, None)]
+    spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    return str(tmp_path)
+
+
+def test_texts_of_patents_are_stored_once(spark, small_tables, monkeypatch):
+    columns = noted_tables(monkeypatch, inputs)
+    found = {r[KEY]: r for r in inputs.patents(spark, small_tables).collect()}
+    assert columns == [[KEY, "text", "problem_embedding", "solution_embedding"]]
+    assert len(found) == 16
+    for i in range(16):
+        r, text = found[f"P{i:09}"], "\n".join(f"head {k}\nbody {k}\nlast {k}" for k in range(i, 20, 16))
+        assert r["abstract_text"] == r["problem"] == text
+        assert (r["title_text"], r["solution"]) == (text.split("\n")[0], text.split("\n")[-1])
+
+
+@pytest.mark.parametrize("query", ["dense_incremental", "graph_incremental"])
+def test_each_version_of_a_graph_is_written_once(spark, small_tables, monkeypatch, query):
+    versions, write = [], graph.write_graph
+
+    def noted(part, path, version=0):
+        versions.append(version)
+        write(part, path, version)
+
+    monkeypatch.setattr(graph, "write_graph", noted)
+    found = CHECKS[query].job(spark, small_tables)
+    assert versions == [0, 1]
+    assert found.where("type = 'HAS_PROBLEM'").count() == 16

@@ -298,6 +298,58 @@ def test_settled_rows_are_not_compared_with_leaders(spark, monkeypatch):
         assert max(asked, default=0) <= most
 
 
+@pytest.mark.parametrize("kept", [1, 8])
+@pytest.mark.parametrize("matrix", [families()[:-1], wheel(), chained(60)])
+def test_links_of_the_first_pass_equal_one_at_a_time(spark, monkeypatch, matrix, kept):
+    monkeypatch.setattr(clustering, "KEPT_RELATED", kept)
+    vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
+    clusters = clustering.cluster(vectors, link=clustering.LINK_THRESHOLD)
+    members, links = one_at_a_time(cosines(matrix))
+    assert {r["id"]: r["leader"] for r in clusters.members.collect()} == members
+    found = clustering.similar_links(clusters).collect()
+    assert {(r["src"], r["dst"]): r["similarity"] for r in found} == links
+
+
+@pytest.mark.parametrize("split", [0, 200])
+def test_links_of_two_runs_of_the_first_pass(spark, split):
+    """The second run finds the links of all its rows, and of a run without new leaders."""
+    matrix = families(4)[:-1]
+    size = len(matrix)
+    if not split:
+        matrix = np.vstack([matrix, matrix])
+    old = split or size
+    vectors = blocks.load_vectors(frame(spark, matrix), "id", "v")
+    first = clustering.cluster(vectors.subset(vectors.rows.where(F.col("id") < old)))
+    rest = vectors.subset(vectors.rows.where(F.col("id") >= old))
+    found = {}
+    for link in (None, clustering.LINK_THRESHOLD):
+        second = clustering.cluster(rest, known=first.leaders, link=link)
+        links = clustering.similar_links(second).collect()
+        found[link] = sorted((r["src"], r["dst"], r["similarity"]) for r in links)
+    assert found[None] and found[None] == found[clustering.LINK_THRESHOLD]
+
+
+def test_rows_with_few_related_rows_need_no_pass_for_links(spark, monkeypatch):
+    asked = []
+
+    def noted(base, queries, *rest, job=blocks.reduce_cross, **options):
+        asked.append(queries.count)
+        return job(base, queries, *rest, **options)
+
+    monkeypatch.setattr(blocks, "reduce_cross", noted)
+    rng = np.random.default_rng(6)
+    axes = np.linalg.qr(rng.normal(size=(40, 40)))[0]
+    matrix = np.vstack([axes, 0.85 * axes + 0.5268 * np.roll(axes, 1, axis=0)])
+    for many in (matrix, np.vstack([matrix, np.c_[np.full(30, 0.85), 0.5268 * np.eye(30)] @ axes[:31]])):
+        asked.clear()
+        vectors = blocks.load_vectors(frame(spark, many), "id", "v")
+        clusters = clustering.cluster(vectors, link=clustering.LINK_THRESHOLD)
+        found = clustering.similar_links(clusters).collect()
+        _, links = one_at_a_time(cosines(many))
+        assert found and {(r["src"], r["dst"]): r["similarity"] for r in found} == links
+        assert sum(asked) <= (0 if many is matrix else 10)
+
+
 def test_a_chain_takes_few_rounds(spark):
     """Of 10,000 rows each merges with the one before and the one after it alone."""
     n = 10_000

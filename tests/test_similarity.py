@@ -622,3 +622,40 @@ def test_pairs_of_blocks_equal_all_products():
             assert len(found) == len(wanted)
             assert {f[:2] for f in found} == {w[:2] for w in wanted}
             assert sum(f[2] for f in found) == pytest.approx(sum(w[2] for w in wanted))
+
+
+def test_codes_are_counted_two_at_a_time(monkeypatch):
+    """Few marks, in pairs of bytes, and many, one by one; odd numbers of pairs."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(301, 6))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    whole = np.rint(np.clip(vectors @ vectors.T, -1, 1)[np.triu_indices(301, 1)] * 1e9)
+    kinds, count = [], np.bincount
+
+    def noted(codes, *rest, **options):
+        kinds.append(codes.dtype.itemsize)
+        return count(codes, *rest, **options)
+
+    monkeypatch.setattr(distribution, "_PLACED", 777)
+    for number in (1, 49, 100, 255, 256, 400):
+        marks = np.rint(np.linspace(-0.9, 0.95, number) * 1e9).astype(np.int64)
+        kinds.clear()
+        with monkeypatch.context() as patched:
+            patched.setattr(distribution.np, "bincount", noted)
+            found = sum(p.tally(marks) for p in distribution._pairs_of(vectors, vectors, True))
+        reached = np.searchsorted(marks, whole, side="right")
+        assert found.tolist() == count(reached, minlength=number + 1).tolist()
+        assert (2 in kinds) == (number <= 255)
+
+
+@pytest.mark.parametrize("dim", [2, 64, 5000])
+def test_error_of_single_precision_covers_the_worst_product(dim):
+    rng = np.random.default_rng(dim)
+    some = [np.ones((1, dim)), np.abs(rng.normal(size=(40, dim))), rng.normal(size=(40, dim))]
+    rows = np.concatenate([m / np.linalg.norm(m, axis=1, keepdims=True) for m in some])
+    single = rows.astype(np.float32)
+    one_by_one = np.zeros((len(rows), len(rows)), np.float32)
+    for k in range(dim):
+        one_by_one += single[:, k : k + 1] * single[:, k]
+    for near in (single @ single.T, one_by_one):
+        assert np.abs(near - rows @ rows.T).max() < distribution._error(dim) < dim * 2.0**-23 + 1e-6
